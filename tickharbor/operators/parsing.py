@@ -29,7 +29,7 @@ def _cases(branches: list[tuple[Column, Column]], otherwise: Column) -> Column:
 def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFrame:
     """Classify every frame and read its symbol, sequence id and venue time.
 
-    The input columns stay; ``PARSED_COLUMNS`` are added. A frame that does not parse,
+    The input columns stay; ``PARSED_COLUMNS`` and the normalised ``symbol`` are added. A frame that does not parse,
     or that comes from an unknown venue, becomes a row of kind ``error``; it never
     fails the job. Three projections: parse once, pick the rule, read that rule's
     fields. The VARIANT is used several times in each step, so Catalyst keeps it in
@@ -89,7 +89,10 @@ def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFram
         error.cast("string").alias("error"),
         pick("notice_code").cast("string").alias("notice_code"),
         pick("notice_message").cast("string").alias("notice_msg"),
-    ).withColumn("data", F.when(F.col("kind").isin(ORDERBOOK, TRADE, OTHER), F.col("frame")))
+    ).withColumns({
+        "data": F.when(F.col("kind").isin(ORDERBOOK, TRADE, OTHER), F.col("frame")),
+        "symbol": normalize_symbol("native_symbol"),
+    })
 
 
 def parse_venue(frames: DataFrame, name: str) -> DataFrame:
@@ -116,7 +119,7 @@ def market_events(parsed: DataFrame, *keep: str) -> DataFrame:
     """
     columns = [
         F.col("exchange"),
-        normalize_symbol("native_symbol").alias("symbol"),
+        F.col("symbol"),
         F.col("kind").alias("data_type"),
         F.col("sequence_id").alias("exchange_sequence_id"),
         F.col("timestamp_collector"),
