@@ -1 +1,77 @@
-"""Placeholder."""
+"""Queries that write the archive to the shared folder and read it back."""
+
+from pyspark.sql import functions as F
+
+from tickharbor.operators.parsing import market_events, parse_frames
+from tickharbor.operators.quality import rows_and_files
+from tickharbor.plans.catalog import add
+from tickharbor.plans.frames import DUCK_EXPECTED
+from tickharbor.session import work_folder
+from tickharbor.sources import archive as A
+from tickharbor.sources.sample_market import landed_frames
+
+_KEYS = "exchange, symbol, data_type"
+_STORED = f"""{DUCK_EXPECTED}, stored AS (SELECT exchange, symbol, kind AS data_type, sequence_id AS exchange_sequence_id, timestamp_collector,
+  timestamp_exchange_us AS timestamp_exchange, data, strftime(make_timestamp(timestamp_collector), '%Y-%m-%d') AS date
+  FROM expected WHERE kind IN ('orderbook', 'trade'))"""
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
+def _tasks(spark):
+    """The test tables have as many folders as rows per folder, so write with all cores."""
+    return spark.sparkContext.defaultParallelism
+
+
+def _archived(spark, d):
+    """Root of the archive of a test folder, written once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _written:
+        root = work_folder(spark, "archive")
+        A.write_archive(market_events(parse_frames(landed_frames(spark, d))), root, server="srv1", tasks=_tasks(spark))
+        _written[key] = root
+    return _written[key]
+
+
+add("archive_round_trip", lambda spark, d: A.read_archive(spark, _archived(spark, d)).drop("_metadata"), "SNK-1, SRT-1, SRC-2",
+    f"WITH {_STORED} SELECT *, 'srv1' AS server FROM stored")
+
+add("archive_one_day", lambda spark, d: A.read_archive(spark, _archived(spark, d))
+    .where("date = '2024-01-15' AND data_type = 'trade'").groupBy("exchange", "symbol").agg(F.count("*").alias("rows")),
+    "SRC-2, partition pruning", f"""WITH {_STORED} SELECT exchange, symbol, count(*) AS rows FROM stored
+WHERE date = '2024-01-15' AND data_type = 'trade' GROUP BY ALL""")
+
+
+def _manifest(spark, d):
+    manifest = A.file_manifest(spark, _archived(spark, d))
+    return manifest.groupBy("exchange", "symbol", "data_type").agg(
+        F.sum("rows").alias("rows"), (F.min("size") > 0).alias("sized"), (F.count("*") > 0).alias("has_files"))
+
+
+add("file_manifest", _manifest, "SNK-3, FLT-4, FN-10",
+    f"WITH {_STORED} SELECT {_KEYS}, count(*) AS rows, true AS sized, true AS has_files FROM stored GROUP BY ALL")
+
+
+def _compacted(spark, d):
+    root, target = _archived(spark, d), work_folder(spark, "compact")
+    A.compact(spark, root, target, ["2024-01-10", "2024-01-11"])
+    rows = A.read_archive(spark, target).withColumn("file_path", F.col("_metadata.file_path"))
+    return rows_and_files(rows)
+
+
+add("compacted_days", _compacted, "SNK-6, SNK-2, AGG-4",
+    f"""WITH {_STORED} SELECT {_KEYS}, count(*) AS rows, count(DISTINCT date) AS files FROM stored
+WHERE date IN ('2024-01-10', '2024-01-11') GROUP BY ALL""")
+
+
+def _both_roots(spark, d):
+    remote, local = work_folder(spark, "remote"), work_folder(spark, "local")
+    A.write_by_mode(market_events(parse_frames(landed_frames(spark, d))), "both", remote, local, tasks=_tasks(spark))
+    counted = [A.read_archive(spark, root).groupBy("data_type").agg(F.count("*").alias("rows")).withColumn("root", F.lit(name))
+               for name, root in (("remote", remote), ("local", local))]
+    return counted[0].unionByName(counted[1])
+
+
+add("storage_fan_out", _both_roots, "SNK-4", f"""WITH {_STORED}
+SELECT data_type, count(*) AS rows, root FROM stored CROSS JOIN (VALUES ('remote'), ('local')) AS roots(root) GROUP BY ALL""")

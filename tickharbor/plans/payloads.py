@@ -76,9 +76,9 @@ add("trade_fills", lambda spark, d: explode_trades(_events(spark, d), "event_id"
 t AS MATERIALIZED (SELECT event_id, exchange, symbol, timestamp_collector, ts_ms_us, CAST(data AS JSON) AS j FROM (SELECT *, timestamp_exchange_us AS ts_ms_us FROM expected WHERE kind = 'trade')),
 f AS (
   SELECT *, coalesce(j ->> '$.t', j ->> '$.a') AS trade_id, j ->> '$.p' AS price, j ->> '$.q' AS size, CASE j ->> '$.m' WHEN 'true' THEN 'sell' ELSE 'buy' END AS side FROM t WHERE exchange = 'binance'
-  UNION ALL SELECT *, j ->> '$.trade_id', j ->> '$.price', j ->> '$.size', lower(j ->> '$.side') FROM t WHERE exchange = 'coinbase' AND j -> '$.events' IS NULL
+  UNION ALL SELECT *, j ->> '$.trade_id', j ->> '$.price', j ->> '$.size', lower(j ->> '$.side') FROM t WHERE exchange = 'coinbase' AND (j -> '$.events') IS NULL
   UNION ALL SELECT event_id, exchange, symbol, timestamp_collector, ts_ms_us, j, x ->> '$.trade_id', x ->> '$.price', x ->> '$.size', lower(x ->> '$.side')
-    FROM (SELECT *, unnest(CAST(j -> '$.events[0].trades' AS JSON[])) AS x FROM t WHERE exchange = 'coinbase' AND j -> '$.events' IS NOT NULL)
+    FROM (SELECT *, unnest(CAST(j -> '$.events[0].trades' AS JSON[])) AS x FROM t WHERE exchange = 'coinbase' AND (j -> '$.events') IS NOT NULL)
   UNION ALL SELECT event_id, exchange, symbol, timestamp_collector, ts_ms_us, j, x ->> '$.tradeId', x ->> '$.px', x ->> '$.sz', x ->> '$.side'
     FROM (SELECT *, unnest(CAST(j -> '$.data' AS JSON[])) AS x FROM t WHERE exchange = 'okx')
   UNION ALL SELECT event_id, exchange, symbol, timestamp_collector, ts_ms_us, j, x ->> '$.i', x ->> '$.p', x ->> '$.v', lower(x ->> '$.S')

@@ -1 +1,124 @@
-"""Placeholder."""
+"""Streams over the landed tables, run until everything that has landed is processed.
+
+The sink is a table in the shared folder; the query then reads that table. The driver
+holds no rows.
+"""
+
+from pyspark.sql import functions as F
+
+from tickharbor.operators.parsing import market_events, parse_frames
+from tickharbor.plans.catalog import add
+from tickharbor.plans.frames import DUCK_EXPECTED
+from tickharbor.plans.quality import DUCK_CHECKED
+from tickharbor.session import configure, work_folder
+from tickharbor.sources import archive as A
+from tickharbor.sources.frames import read_frames
+from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_base
+from tickharbor.streaming import ingest, state
+
+_STREAM = "exchange, symbol, feed"
+
+
+def _landed(spark, d, table=landed_frames, files=1):
+    """Write a derived table once, as files that a stream can pick up."""
+    path = work_folder(spark, "landed")
+    rows = table(spark, d)
+    (rows.repartitionByRange(files, "timestamp_collector") if files > 1 else rows).write.parquet(path)
+    return path, rows.schema
+
+
+def _stream_of(spark, d, table=landed_frames, files=1):
+    path, schema = _landed(spark, d, table, files)
+    return configure(spark).readStream.schema(schema).parquet(path)
+
+
+def _to_table(rows):
+    spark = rows.sparkSession
+    path = work_folder(spark, "stream-table")
+    query = rows.writeStream.format("parquet").option("path", path).outputMode("append") \
+        .option("checkpointLocation", work_folder(spark, "stream-checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _stream_archive(spark, d):
+    path, _ = _landed(spark, d, files=spark.sparkContext.defaultParallelism)
+    root = work_folder(spark, "stream-archive")
+    frames = read_frames(spark, path, stream=True, form="parquet")
+    ingest.drain([ingest.archive_stream(frames, root, work_folder(spark, "checkpoint"), server="srv1")], 600)
+    return A.read_archive(spark, root).groupBy("exchange", "symbol", "data_type").agg(
+        F.count("*").alias("rows"), F.min("timestamp_collector").alias("first_us"))
+
+
+add("stream_archive", _stream_archive, "STR-1, STR-2, STR-7, SRC-1, SNK-1", f"""WITH {DUCK_EXPECTED} SELECT exchange, symbol, kind AS data_type,
+  count(*) AS rows, min(timestamp_collector) AS first_us FROM expected WHERE kind IN ('orderbook', 'trade') GROUP BY ALL""")
+
+
+def _stream_per_feed(spark, d):
+    path, _ = _landed(spark, d, files=spark.sparkContext.defaultParallelism)
+    root = work_folder(spark, "feeds")
+    started = ingest.streams_per_feed(read_frames(spark, path, stream=True, form="parquet"), root, work_folder(spark, "checkpoints"))
+    ingest.drain(list(started.values()), 600)
+    counted = [A.read_archive(spark, f"{root}/{feed}").groupBy("exchange", "data_type").agg(F.count("*").alias("rows"))
+               .withColumn("feed", F.lit(feed)) for feed in started]
+    return counted[0].unionByName(counted[1])
+
+
+add("stream_per_feed", _stream_per_feed, "STR-8", f"""WITH {DUCK_EXPECTED} SELECT exchange, kind AS data_type, count(*) AS rows, feed
+FROM expected WHERE kind IN ('orderbook', 'trade') GROUP BY ALL""")
+
+
+def _stream_dead_letters(spark, d):
+    path, _ = _landed(spark, d)
+    target = work_folder(spark, "dead-letters")
+    ingest.drain([ingest.dead_letter_stream(read_frames(spark, path, stream=True, form="parquet"), target, work_folder(spark, "checkpoint"))], 600)
+    return spark.read.schema("exchange string, native_symbol string, feed string, timestamp_collector bigint, frame string, error string").json(target)
+
+
+add("stream_dead_letters", _stream_dead_letters, "SNK-5, STR-1", f"""WITH {DUCK_EXPECTED}
+SELECT exchange, native_symbol, feed, timestamp_collector, frame, error FROM expected WHERE kind = 'error'""")
+
+
+def _stream_fan_out(spark, d):
+    path, _ = _landed(spark, d)
+    remote, local = work_folder(spark, "remote"), work_folder(spark, "local")
+    frames = read_frames(spark, path, stream=True, form="parquet")
+    ingest.drain([ingest.fan_out_stream(frames, "both", remote, local, work_folder(spark, "checkpoint"), tasks=spark.sparkContext.defaultParallelism)], 600)
+    counted = [spark.read.parquet(root).groupBy("data_type").agg(F.count("*").alias("rows")).withColumn("root", F.lit(name))
+               for name, root in (("remote", remote), ("local", local))]
+    return counted[0].unionByName(counted[1])
+
+
+add("stream_fan_out", _stream_fan_out, "SNK-4, STR-1", f"""WITH {DUCK_EXPECTED} SELECT kind AS data_type, count(*) AS rows, root FROM expected
+CROSS JOIN (VALUES ('remote'), ('local')) AS roots(root) WHERE kind IN ('orderbook', 'trade') GROUP BY ALL""")
+
+add("stream_sequence_check", lambda spark, d: _to_table(state.sequence_stream(_stream_of(spark, d, market_base), "event_id")), "STR-4",
+    f"""WITH {DUCK_CHECKED} SELECT exchange, symbol, data_type, timestamp_collector, event_id, sequence, result, gap_size FROM checked""")
+
+
+def _stream_dedup(spark, d):
+    kept = state.drop_duplicates(_stream_of(spark, d, market_base), watermark="40 days")
+    return _to_table(kept).select("exchange", "symbol", "data_type", "exchange_sequence_id")
+
+
+add("stream_dedup", _stream_dedup, "STR-5, WIN-2",
+    f"WITH {DUCK_MARKET} SELECT DISTINCT exchange, symbol, data_type, exchange_sequence_id FROM priced")
+
+# A watermark has millisecond precision and trails the latest receipt by a minute.
+_PASSED = "(SELECT max(timestamp_collector) // 1000 * 1000 - 60000000 FROM {})"
+
+add("stream_error_windows", lambda spark, d: _to_table(state.parse_error_stream(
+    parse_frames(_stream_of(spark, d)), window_seconds=86_400, ratio=0.1, min_samples=5)), "STR-3, AGG-5",
+    f"""WITH {DUCK_EXPECTED}, counted AS (SELECT * FROM expected WHERE kind IN ('orderbook', 'trade', 'error')),
+w AS (SELECT {_STREAM}, timestamp_collector // 86400000000 * 86400000000 AS window_us, count(*) FILTER (kind = 'error') AS errors, count(*) AS samples
+  FROM counted GROUP BY ALL)
+SELECT *, errors / samples AS error_ratio, samples >= 5 AND errors / samples >= 0.1 AND errors > 0 AS tripped
+FROM w WHERE window_us + 86400000000 <= {_PASSED.format('counted')}""")
+
+add("stream_sessions", lambda spark, d: _to_table(state.session_stream(_stream_of(spark, d, market_base))), "STR-6, WIN-5",
+    f"""WITH {DUCK_MARKET},
+linked AS (SELECT {_STREAM}, timestamp_collector, lag(timestamp_collector) OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector) AS previous_us FROM priced),
+numbered AS (SELECT *, sum(CASE WHEN timestamp_collector - previous_us < 90000000 THEN 0 ELSE 1 END)
+  OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector ROWS UNBOUNDED PRECEDING) AS session FROM linked),
+s AS (SELECT {_STREAM}, session, min(timestamp_collector) AS opened_us, max(timestamp_collector) AS closed_us, count(*) AS frames FROM numbered GROUP BY ALL)
+SELECT {_STREAM}, opened_us, closed_us, frames FROM s WHERE closed_us + 90000000 <= {_PASSED.format('priced')}""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,19 +38,28 @@ def build_session(app: str = "tickharbor", master: str | None = None, **settings
     return configure(builder.getOrCreate())
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint that outlives any executor.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    ``local`` master, as in tests, may fall back to a temporary folder.
+    Only a ``local`` master, as in tests, may fall back to a temporary folder.
     """
-    context = df.sparkSession.sparkContext
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(folder)
-    elif not context.getCheckpointDir():
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tickharbor-checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="tickharbor-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for tables that a job writes and reads again."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder, which outlives any executor."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -36,7 +36,7 @@ def dead_letter_stream(frames: DataFrame, path: str, checkpoint: str, trigger: d
 
 def fan_out_stream(
     frames: DataFrame, mode: str, remote_root: str, local_root: str, checkpoint: str,
-    server: str | None = None, trigger: dict | None = None,
+    server: str | None = None, trigger: dict | None = None, tasks: int | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch to the roots that ``mode`` names.
 
@@ -44,7 +44,7 @@ def fan_out_stream(
     a failure replaces what it wrote before.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_by_mode(batch, mode, f"{remote_root}/batch={batch_id}", f"{local_root}/batch={batch_id}", server, write_mode="overwrite")
+        write_by_mode(batch, mode, f"{remote_root}/batch={batch_id}", f"{local_root}/batch={batch_id}", server, write_mode="overwrite", tasks=tasks)
 
     writer = market_events(parse_frames(frames)).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, trigger)
