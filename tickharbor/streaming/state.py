@@ -56,15 +56,16 @@ def session_stream(frames: DataFrame, keys: list[str] = STREAM_KEY, watermark: s
         F.count("*").alias("frames")).drop("w")
 
 
-def sequence_stream(events: DataFrame, tiebreak: str, idle: str = "1 hour") -> DataFrame:
+def sequence_stream(events: DataFrame, tiebreak: str, idle: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
     """Sequence checks with the highest id per key as state.
 
     Rows of a micro-batch are put in receipt order per key; the size of a micro-batch, and
     with it of a group, is bounded by the source's limit per trigger. The state of a key
-    that stays silent for ``idle`` is dropped.
+    is dropped once the watermark is ``idle`` past its last row. The timeout follows
+    receipt times: one by the clock would keep an ``availableNow`` query running for ever.
     """
     numbered = events.select(
-        *WRITER_KEY, "timestamp_collector", tiebreak, numeric_sequence("exchange_sequence_id").alias("sequence")
+        *WRITER_KEY, "timestamp_collector", tiebreak, numeric_sequence("exchange_sequence_id").alias("sequence"),
     ).where(F.col("sequence").isNotNull())
     output = T.StructType(numbered.schema.fields + [
         T.StructField("result", T.StringType()), T.StructField("gap_size", T.LongType())])
@@ -88,9 +89,10 @@ def sequence_stream(events: DataFrame, tiebreak: str, idle: str = "1 hour") -> D
         if not known:
             result[0], gap[0] = "first", 0
         state.update((int(max(carried, current.max())),))
-        state.setTimeoutDuration(idle_ms)
+        latest_ms = int(rows["timestamp_collector"].iloc[-1]) // 1000
+        state.setTimeoutTimestamp(max(latest_ms, state.getCurrentWatermarkMs()) + idle_ms)
         yield rows.assign(result=result, gap_size=gap)[[field.name for field in output]]
 
-    return numbered.groupBy(*WRITER_KEY).applyInPandasWithState(
-        check, output, state_type, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return with_receipt_time(numbered, watermark).groupBy(*WRITER_KEY).applyInPandasWithState(
+        check, output, state_type, "append", GroupStateTimeout.EventTimeTimeout)
 
