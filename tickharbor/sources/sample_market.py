@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickharbor.session import configure
+from tickharbor.session import configure, spread
 
 # Names that differ between the two SQL dialects.
 SPARK_SQL = {
@@ -105,7 +105,7 @@ def _fill(text: str, dialect: dict[str, str]) -> str:
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return spread(configure(spark).read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def _project(df: DataFrame, projection: str) -> DataFrame:
