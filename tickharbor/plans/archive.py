@@ -34,7 +34,7 @@ def _archived(spark, d):
     return _written[key]
 
 
-add("archive_round_trip", lambda spark, d: A.read_archive(spark, _archived(spark, d)).drop("_metadata"), "SNK-1, SRT-1, SRC-2",
+add("archive_round_trip", lambda spark, d: A.read_archive(spark, _archived(spark, d)), "SNK-1, SRT-1, SRC-2",
     f"WITH {_STORED} SELECT *, 'srv1' AS server FROM stored")
 
 add("archive_one_day", lambda spark, d: A.read_archive(spark, _archived(spark, d))

@@ -19,9 +19,14 @@ MAX_RECORDS_PER_FILE = 500_000
 
 
 def archive_rows(events: DataFrame, server: str | None = None) -> DataFrame:
-    """Events with the partition columns of the archive. The date is that of the receipt."""
+    """Events with the partition columns of the archive. The date is that of the receipt.
+
+    The server is tied to a column on purpose: a literal would be dropped from the sort
+    order, and the writer would then sort again by folder only and lose the arrival order.
+    """
+    name = F.concat(F.substring("exchange", 1, 0), F.lit(server or "none"))
     return events.select(
-        *WRITER_KEY, F.lit(server or "none").alias("server"), utc_date("timestamp_collector").alias("date"), *_VALUES)
+        *WRITER_KEY, name.alias("server"), utc_date("timestamp_collector").alias("date"), *_VALUES)
 
 
 def _hour(column: str = "timestamp_collector") -> Column:
@@ -51,7 +56,7 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
     """The archive written by :func:`write_archive`; filters on key and date prune folders."""
     partitions = "exchange string, symbol string, data_type string, server string, date string"
     values = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in MARKET_EVENT if f.name in _VALUES)
-    return configure(spark).read.schema(f"{values}, {partitions}").parquet(root).select(*PARTITIONS, *_VALUES, "_metadata")
+    return configure(spark).read.schema(f"{values}, {partitions}").parquet(root).select(*PARTITIONS, *_VALUES)
 
 
 def read_plain_archive(spark: SparkSession, root: str, globs: Iterable[str] = ()) -> DataFrame:
