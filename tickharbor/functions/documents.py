@@ -7,6 +7,8 @@ hash is the second element only if the frame was exactly one value.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,18 +29,22 @@ class Document:
     def __init__(self, column: Column):
         self._column = column
 
+    @cache  # noqa: B019
     def value(self, path: str) -> Column:
         """The field as a variant; NULL only if the key is absent. A JSON null is a value."""
         return F.variant_get(self._column, f"$[0].{path}", "variant")
 
+    @cache  # noqa: B019
     def has(self, path: str) -> Column:
         return self.value(path).isNotNull()
 
+    @cache  # noqa: B019
     def string(self, path: str) -> Column:
         """The field if it is a JSON string; no other type is turned into text."""
         value = self.value(path)
         return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(self._column, f"$[0].{path}", "string"))
 
+    @cache  # noqa: B019
     def integer(self, path: str) -> Column:
         """The field if it is a whole number within BIGINT; strings and fractions are NULL."""
         value = self.value(path)
@@ -54,6 +60,7 @@ class Document:
                                                      F.lit("18446744073709551615").cast("decimal(38,0)"))
         return F.when(small | (kind.rlike(r"^DECIMAL\(\d+,0\)$") & big), text)
 
+    @cache  # noqa: B019
     def json(self, path: str) -> Column:
         """The field as JSON text: numbers bare, strings in quotes, ``null`` for a JSON null."""
         return F.to_json(self.value(path))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,18 +29,19 @@ def _cases(branches: list[tuple[Column, Column]], otherwise: Column) -> Column:
     return chain.otherwise(otherwise)
 
 
-def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFrame:
-    """Classify every frame and read its symbol, sequence id and venue time.
+@dataclass(frozen=True)
+class _RuleColumns:
+    """The columns that pick a rule and read its fields; none depends on a particular table."""
 
-    The input columns stay; ``PARSED_COLUMNS`` and the normalised ``symbol`` are added. A frame that does not parse,
-    or that comes from an unknown venue, becomes a row of kind ``error``; it never
-    fails the job. Three projections: parse once, pick the rule, read that rule's
-    fields. The VARIANT is used several times in each step, so Catalyst keeps it in
-    a column of its own instead of parsing again. The rule comes out of a generator
-    because a filter on ``kind`` would otherwise be pushed below the projections and
-    parse every frame a second time.
-    """
-    names = venues or list(VENUES)
+    chosen: Column
+    kind: Column
+    error: Column
+    fields: dict[str, Column]
+
+
+@lru_cache(maxsize=32)
+def _rule_columns(names: tuple[str, ...], application: str) -> _RuleColumns:
+    """Build the columns once per application; they are a few thousand nodes."""
     exchange = F.lower(F.col("exchange"))
     document = F.col("__document")
     rules: dict[str, list[Rule]] = {name: VENUES[name](Document(document)) for name in names}
@@ -51,17 +55,12 @@ def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFram
         (exchange == name, _cases([(rule.when, F.lit(f"{name}/{rule.name}")) for rule in rules[name]], F.lit(_NO_RULE)))
         for name in names
     ]
-    known = F.coalesce(exchange.isin(names), F.lit(False))
+    known = F.coalesce(exchange.isin(*names), F.lit(False))
     chosen = _cases(
         [(~known, F.lit(_UNKNOWN_VENUE)), *plain, (~is_one_value(document, F.col("frame")), F.lit(_INVALID))],
         _cases(by_venue, F.lit(_UNKNOWN_VENUE)),
     )
 
-    ruled = (
-        frames.withColumn("__document", enclose(F.col("frame")))
-        .select("*", F.explode(F.array(chosen)).alias("__rule"))
-    )
-
     rule_name = F.col("__rule")
     flat = [(f"{name}/{rule.name}", rule) for name in names for rule in rules[name]]
 
@@ -80,15 +79,34 @@ def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFram
          (rule_name == _UNKNOWN_VENUE, F.concat(F.lit("unknown exchange: "), F.coalesce(F.col("exchange"), F.lit("NULL"))))],
         pick("error"),
     )
+    return _RuleColumns(chosen, kind, error, {
+        "msg_symbol": pick("symbol").cast("string"),
+        "sequence_id": pick("sequence").cast("string"),
+        "timestamp_exchange_us": pick("time_us").cast("bigint"),
+        "notice_code": pick("notice_code").cast("string"),
+        "notice_msg": pick("notice_message").cast("string"),
+    })
+
+
+def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFrame:
+    """Classify every frame and read its symbol, sequence id and venue time.
+
+    The input columns stay; ``PARSED_COLUMNS`` and the normalised ``symbol`` are added. A frame that does not parse,
+    or that comes from an unknown venue, becomes a row of kind ``error``; it never
+    fails the job. Three projections: parse once, pick the rule, read that rule's
+    fields. The VARIANT is used several times in each step, so Catalyst keeps it in
+    a column of its own instead of parsing again. The rule comes out of a generator
+    because a filter on ``kind`` would otherwise be pushed below the projections and
+    parse every frame a second time.
+    """
+    application = frames.sparkSession.sparkContext.applicationId
+    columns = _rule_columns(tuple(venues or VENUES), application)
+    ruled = frames.withColumn("__document", enclose(F.col("frame"))).select("*", F.explode(F.array(columns.chosen)).alias("__rule"))
     return ruled.select(
         *[F.col(name) for name in frames.columns],
-        kind.alias("kind"),
-        pick("symbol").cast("string").alias("msg_symbol"),
-        pick("sequence").cast("string").alias("sequence_id"),
-        pick("time_us").cast("bigint").alias("timestamp_exchange_us"),
-        error.cast("string").alias("error"),
-        pick("notice_code").cast("string").alias("notice_code"),
-        pick("notice_message").cast("string").alias("notice_msg"),
+        columns.kind.alias("kind"),
+        columns.error.cast("string").alias("error"),
+        *[column.alias(name) for name, column in columns.fields.items()],
     ).withColumns({
         "data": F.when(F.col("kind").isin(ORDERBOOK, TRADE, OTHER), F.col("frame")),
         "symbol": normalize_symbol("native_symbol"),

@@ -166,18 +166,26 @@ def stale_periods(events: DataFrame, tiebreak: str, keys: list[str] = STREAM_KEY
         F.when(silence > limit * 3, "reconnect").otherwise("warn").alias("action"))
 
 
-def silent_subscriptions(subscriptions: DataFrame, events: DataFrame, until_us: int) -> DataFrame:
+def silent_subscriptions(subscriptions: DataFrame, events: DataFrame, until_us: int, hot_rows: int | None = None) -> DataFrame:
     """Subscriptions by how long they waited for their first row.
 
     ``subscriptions`` has (stream key, subscribed_us, timeout_s). No data within the
     grace period is a warning, within three timeouts a reconnect. A stream that never
-    sent data is judged at ``until_us``.
+    sent data is judged at ``until_us``. Subscriptions and rows are merged in descending
+    time, where the row before a subscription is the first one after it; a join would
+    pair every row with every subscription of its stream.
     """
-    asked = subscriptions.select(*STREAM_KEY, "subscribed_us", "timeout_s")
-    received = events.join(asked, STREAM_KEY).where(F.col("timestamp_collector") >= F.col("subscribed_us"))
-    first = received.groupBy(*STREAM_KEY, "subscribed_us").agg(F.min("timestamp_collector").alias("first_us"))
+    asked = subscriptions.select(
+        *STREAM_KEY, (-F.col("subscribed_us")).alias("__back_us"), F.lit(1).alias("__rank"), F.lit(None).cast("bigint").alias("__row_us"),
+        "subscribed_us", F.col("timeout_s").cast("bigint").alias("timeout_s"))
+    rows = events.select(
+        *STREAM_KEY, (-F.col("timestamp_collector")).alias("__back_us"), F.lit(0).alias("__rank"),
+        F.col("timestamp_collector").alias("__row_us"), F.lit(None).cast("bigint").alias("subscribed_us"),
+        F.lit(None).cast("bigint").alias("timeout_s"))
+    merged = with_previous(
+        rows.unionByName(asked), STREAM_KEY, ["__back_us", "__rank"], {"first_us": Previous("last", "__row_us")}, hot_rows)
     waited = F.coalesce("first_us", F.lit(until_us).cast("bigint")) - F.col("subscribed_us")
-    return asked.join(first, [*STREAM_KEY, "subscribed_us"], "left").select(
+    return merged.where(F.col("subscribed_us").isNotNull()).select(
         *STREAM_KEY, "subscribed_us", "first_us", waited.alias("waited_us"),
         F.when(waited > F.col("timeout_s") * 3 * SECOND, "reconnect")
         .when(waited > SUBSCRIPTION_GRACE_SECONDS * SECOND, "warn").otherwise("ok").alias("action"))

@@ -2,10 +2,11 @@
 
 A file takes rows until the first one that is more than the maximum age after its
 opening row; that row opens the next file. Each opening depends on the one before,
-so a key is folded in order. The fold needs only times, jumps from file to file by
-binary search, and never holds more than ``hot_rows`` times of a key: a larger key is
-folded in stretches of time, and only the open file of each key goes from one stretch
-to the next.
+so a key is folded in order. The fold needs only times and jumps from file to file by
+binary search. A key beyond ``hot_rows`` is folded in stretches of time: rows of the
+same microsecond are counted first, a stretch ends before any key exceeds the bound, and
+only the open file of each key goes from one stretch to the next. The least stretch is
+one cell of ten seconds, which has at most ten million distinct times, however many rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickharbor.functions.scalars import whole
 from tickharbor.operators.ordered import hot_rows_bound, key_sizes
 from tickharbor.schemas import WRITER_KEY
 from tickharbor.session import durable
@@ -30,18 +32,21 @@ _PIECE = [("opened_us", T.LongType()), ("last_us", T.LongType()), ("rows", T.Lon
 
 
 def _fold(times: DataFrame, keys: list[str], age_us: int) -> DataFrame:
-    """Pieces of files per key. Column ``open_us`` is the file left open by earlier times, or NULL."""
+    """Pieces of files per key. Column ``n`` counts the rows of a time; ``open_us`` is the file
+    left open by earlier times, or NULL."""
     schema = T.StructType([times.schema[key] for key in keys] + [T.StructField(n, t) for n, t in _PIECE])
 
     def pieces(group: pd.DataFrame) -> pd.DataFrame:
-        moments = np.sort(group["timestamp_collector"].to_numpy(dtype="int64"))
+        group = group.sort_values("timestamp_collector")
+        moments = group["timestamp_collector"].to_numpy(dtype="int64")
+        rows_until = np.concatenate([[0], np.cumsum(group["n"].to_numpy(dtype="int64"))])
         carried = group["open_us"].iloc[0]
         opened = moments[0] if pd.isna(carried) else np.int64(carried)
         found, start = [], 0
         while start < len(moments):
             end = int(np.searchsorted(moments, opened + age_us, side="right"))
             if end > start:
-                found.append((opened, moments[end - 1], end - start))
+                found.append((opened, moments[end - 1], rows_until[end] - rows_until[start]))
             if end == len(moments):
                 break
             start, opened = end, moments[end]
@@ -58,11 +63,11 @@ def _merge(pieces: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _stretches(times: DataFrame, keys: list[str], bound: int, cell_us: int) -> Iterator[tuple[int, int]]:
-    """Time ranges in which no key has more rows than the bound, as far as one cell allows.
+    """Time ranges in which no key has more distinct times than the bound, as far as one cell allows.
 
-    The driver sees one row per non-empty cell of time, whatever the number of rows.
+    The driver iterates over one row per non-empty cell of time, whatever the number of rows.
     """
-    cell = F.floor(F.col("timestamp_collector") / cell_us).cast("bigint")
+    cell = whole("timestamp_collector", cell_us)
     largest = times.groupBy(*keys, cell.alias("cell")).agg(F.count("*").alias("n")) \
         .groupBy("cell").agg(F.max("n").alias("n")).orderBy("cell")
     start, filled, last = None, 0, None
@@ -82,7 +87,7 @@ def rotation_files(
     keys: list[str] = WRITER_KEY,
     age_us: int = MAX_FILE_AGE_US,
     hot_rows: int | None = None,
-    cell_us: int = 60_000_000,
+    cell_us: int = 10_000_000,
 ) -> DataFrame:
     """One row per file: key, opening time, last time, rows."""
     bound = hot_rows_bound(events) if hot_rows is None else hot_rows
@@ -90,9 +95,10 @@ def rotation_files(
     largest, _ = key_sizes(times, keys)
     nothing_open = F.lit(None).cast("bigint").alias("open_us")
     if largest <= bound:
-        return _merge(_fold(times.select("*", nothing_open), keys, age_us), keys)
+        return _merge(_fold(times.select("*", F.lit(1).cast("bigint").alias("n"), nothing_open), keys, age_us), keys)
 
-    kept = durable(times.repartitionByRange("timestamp_collector"))
+    distinct = times.groupBy(*keys, "timestamp_collector").agg(F.count("*").alias("n"))
+    kept = durable(distinct.repartitionByRange("timestamp_collector"))
     done, still_open = None, None
     for start, end in _stretches(kept, keys, bound, cell_us):
         stretch = kept.where((F.col("timestamp_collector") >= start) & (F.col("timestamp_collector") < end))
