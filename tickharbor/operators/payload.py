@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickharbor.functions.scalars import iso8601_to_us, ms_to_us, text_ms_to_us
 from tickharbor.schemas import WRITER_KEY
+from tickharbor.session import durable
 
 _PAIRS = "array<array<string>>"
 # The payload fields that hold levels and fills, by venue.
@@ -178,16 +179,19 @@ def book_totals(events: DataFrame, *keep: str) -> DataFrame:
 def current_book(levels: DataFrame, tiebreak: str, at_us: int | None = None) -> DataFrame:
     """The book per symbol: the last size at each price since the latest snapshot; size 0 removes.
 
-    The latest snapshot is a maximum per symbol and the last size a maximum per price
-    level, so both aggregate on the map side however hot a symbol or level is. A symbol
-    without a snapshot starts from its first update.
+    The levels are read once. One aggregation keeps the last size of each price level and
+    the latest snapshot that holds it, on the map side first, however hot a symbol or level
+    is. The latest snapshot of a symbol is the maximum over its levels; a level whose last
+    size is older than that is no longer in the book. A symbol without a snapshot starts
+    from its first update.
     """
     keys = WRITER_KEY[:2]
-    moment = F.struct("timestamp_collector", tiebreak)
     seen = levels if at_us is None else levels.where(F.col("timestamp_collector") <= at_us)
-    start = seen.where("snapshot").groupBy(*keys).agg(F.max(moment).alias("__start"))
-    since = seen.join(start, keys, "left").where(F.col("__start").isNull() | (moment >= F.col("__start")))
+    moment = F.struct("timestamp_collector", tiebreak)
     order = F.struct("timestamp_collector", tiebreak, "position")
-    last = since.groupBy(*keys, "side", "price").agg(
-        F.max_by("size", order).alias("size"), F.max("timestamp_collector").alias("updated_us"))
-    return last.where(F.col("size") > 0)
+    last = durable(seen.groupBy(*keys, "side", "price").agg(
+        F.max_by("size", order).alias("size"), F.max(moment).alias("__updated"), F.max(F.when(F.col("snapshot"), moment)).alias("__snapshot")))
+    start = last.groupBy(*keys).agg(F.max("__snapshot").alias("__start"))
+    current = last.join(start, keys).where(F.col("__start").isNull() | (F.col("__updated") >= F.col("__start")))
+    return current.where(F.col("size") > 0).select(
+        *keys, "side", "price", "size", F.col("__updated.timestamp_collector").alias("updated_us"))
