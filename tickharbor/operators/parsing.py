@@ -101,7 +101,8 @@ def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFram
     """
     application = frames.sparkSession.sparkContext.applicationId
     columns = _rule_columns(tuple(venues or VENUES), application)
-    ruled = frames.withColumn("__document", enclose(F.col("frame"))).select("*", F.explode(F.array(columns.chosen)).alias("__rule"))
+    documents = frames.withColumn("__document", enclose(F.col("frame"))).withColumn("__chosen", columns.chosen)
+    ruled = documents.select("*", F.explode(F.array("__chosen")).alias("__rule"))
     return ruled.select(
         *[F.col(name) for name in frames.columns],
         columns.kind.alias("kind"),

@@ -78,6 +78,13 @@ def upload_histogram(uploads: DataFrame) -> DataFrame:
     return histogram(uploads, ["status"], F.col("duration_s"), UPLOAD_BOUNDS_S)
 
 
+def upload_summary(uploads: DataFrame) -> DataFrame:
+    """Uploads, failures and retries in total."""
+    return uploads.agg(
+        F.count("*").alias("uploads"), F.count_if(F.col("status") != "success").alias("failures"),
+        F.coalesce(F.sum("retries"), F.lit(0)).alias("retries"))
+
+
 # --- sequences --------------------------------------------------------------------------------
 
 def sequence_check(events: DataFrame, tiebreak: str, keys: list[str] = WRITER_KEY, hot_rows: int | None = None) -> DataFrame:

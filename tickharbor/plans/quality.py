@@ -44,6 +44,10 @@ add("upload_duration_histogram", _upload_histogram, "AGG-9",
     f"WITH {DUCK_UPLOADS} SELECT status, observations, le, cumulative FROM ("
     + duck_histogram("uploads", "status", "duration_s", Q.UPLOAD_BOUNDS_S) + ")")
 
+add("upload_summary", lambda spark, d: Q.upload_summary(upload_log(spark, d)), "AGG-9",
+    f"""WITH {DUCK_UPLOADS} SELECT count(*) AS uploads, count(*) FILTER (status <> 'success') AS failures,
+  CAST(sum(retries) AS BIGINT) AS retries FROM uploads""")
+
 # --- sequences --------------------------------------------------------------------------------
 
 _KEYS = "exchange, symbol, data_type"

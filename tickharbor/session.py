@@ -20,6 +20,8 @@ RESULT_SETTINGS = {
 SPEED_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # Sessions of a hot key are merged where they are read, before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

@@ -39,17 +39,21 @@ def write_archive(
 ) -> None:
     """Write events under ``key=value`` folders, in arrival order within a file.
 
-    Range partitioning over (key, date, receipt) gives each task neighbouring rows:
-    few files per folder, and a hot symbol is cut into as many ranges as its rows need
-    instead of landing in one task. Sorting by the partition columns first also lets the
-    writer keep one file open at a time.
+    Rows are rebalanced by folder: adaptive execution splits the shuffle partition of a hot
+    symbol among several tasks and joins small ones, from the sizes it finds and without
+    reading the input twice. Sorting by folder first lets a task keep one file open at a
+    time. ``tasks`` asks for a fixed number of range partitions instead, which are cut after
+    sampling the input; it suits small tables with many folders.
     """
     rows = archive_rows(events, server)
     order = [*PARTITIONS, "timestamp_collector", "exchange_sequence_id"]
-    # The random last column lets even a group of identical rows be cut into several ranges.
-    ranged = rows.repartitionByRange(*([tasks] if tasks else []), *order, F.rand(0)).sortWithinPartitions(*order)
-    ranged.write.mode(write_mode).option("compression", "zstd").option("maxRecordsPerFile", max_records) \
-        .partitionBy(*PARTITIONS).parquet(root)
+    if tasks:
+        # The random last column lets even a group of identical rows be cut into several ranges.
+        spread_out = rows.repartitionByRange(tasks, *order, F.rand(0))
+    else:
+        spread_out = rows.hint("rebalance", *PARTITIONS)
+    spread_out.sortWithinPartitions(*order).write.mode(write_mode).option("compression", "zstd") \
+        .option("maxRecordsPerFile", max_records).partitionBy(*PARTITIONS).parquet(root)
 
 
 def read_archive(spark: SparkSession, root: str) -> DataFrame:
