@@ -3,9 +3,9 @@
 A window over ``PARTITION BY key`` puts a whole key into one task. That is the best
 plan while every key is small, and no plan at all once a single symbol holds a third
 of the archive. ``with_previous`` measures the largest key first. Beyond the bound it
-cuts the rows into range partitions over (key, order), keeps those cuts with a durable
-checkpoint, runs the window inside each slice, and carries the state of earlier slices
-of the same key in through a table of one row per (slice, key).
+cuts the rows into range partitions over (key, order), keeps those cuts as a column of a
+table in the shared folder, runs the window inside each slice, and carries the state of
+earlier slices of the same key in through a table of one row per (slice, key).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickharbor.session import durable
+from tickharbor.session import stored
 
 # Rows of one key that a single task may sort; override per session.
 HOT_ROWS_SETTING = "spark.tickharbor.hotKeyRows"
@@ -85,7 +85,7 @@ def with_previous(
         return df.select("*", *[_over(s.kind, F.col(s.column), window).alias(name) for name, s in states.items()])
 
     slices = max(2, min(total // max(bound // 4, 1) + 1, 50_000))
-    sliced = durable(df.repartitionByRange(slices, *keys, *order).withColumn("__slice", F.spark_partition_id()))
+    sliced = stored(df.repartitionByRange(slices, *keys, *order).withColumn("__slice", F.spark_partition_id()), "slices")
 
     within = Window.partitionBy("__slice", *keys).orderBy(*order)
     local = sliced.select("*", *[_over(s.kind, F.col(s.column), within).alias(name) for name, s in states.items()])

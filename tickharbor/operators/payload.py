@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tickharbor.functions.scalars import iso8601_to_us, ms_to_us, text_ms_to_us
 from tickharbor.schemas import WRITER_KEY
-from tickharbor.session import durable
+from tickharbor.session import stored
 
 _PAIRS = "array<array<string>>"
 # The payload fields that hold levels and fills, by venue.
@@ -189,8 +189,8 @@ def current_book(levels: DataFrame, tiebreak: str, at_us: int | None = None) ->
     seen = levels if at_us is None else levels.where(F.col("timestamp_collector") <= at_us)
     moment = F.struct("timestamp_collector", tiebreak)
     order = F.struct("timestamp_collector", tiebreak, "position")
-    last = durable(seen.groupBy(*keys, "side", "price").agg(
-        F.max_by("size", order).alias("size"), F.max(moment).alias("__updated"), F.max(F.when(F.col("snapshot"), moment)).alias("__snapshot")))
+    last = stored(seen.groupBy(*keys, "side", "price").agg(
+        F.max_by("size", order).alias("size"), F.max(moment).alias("__updated"), F.max(F.when(F.col("snapshot"), moment)).alias("__snapshot")), "levels")
     start = last.groupBy(*keys).agg(F.max("__snapshot").alias("__start"))
     current = last.join(start, keys).where(F.col("__start").isNull() | (F.col("__updated") >= F.col("__start")))
     return current.where(F.col("size") > 0).select(

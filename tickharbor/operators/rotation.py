@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tickharbor.functions.scalars import whole
 from tickharbor.operators.ordered import hot_rows_bound, key_sizes
 from tickharbor.schemas import WRITER_KEY
-from tickharbor.session import durable
+from tickharbor.session import durable, work_folder
 
 # Age and size at which a file is closed.
 MAX_FILE_AGE_US = 3600 * 1_000_000
@@ -36,26 +36,27 @@ def _fold(times: DataFrame, keys: list[str], age_us: int) -> DataFrame:
     left open by earlier times, or NULL."""
     schema = T.StructType([times.schema[key] for key in keys] + [T.StructField(n, t) for n, t in _PIECE])
 
-    def pieces(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("timestamp_collector")
-        moments = group["timestamp_collector"].to_numpy(dtype="int64")
-        rows_until = np.concatenate([[0], np.cumsum(group["n"].to_numpy(dtype="int64"))])
-        carried = group["open_us"].iloc[0]
-        opened = moments[0] if pd.isna(carried) else np.int64(carried)
+    def pieces(key: tuple, group: pa.Table) -> pa.Table:
+        times_us, counts = group["timestamp_collector"].to_numpy(), group["n"].to_numpy()
+        order = np.argsort(times_us, kind="stable")
+        moments = times_us[order]
+        rows_until = np.concatenate([[0], np.cumsum(counts[order])])
+        carried = group["open_us"][0].as_py()
+        opened = int(moments[0]) if carried is None else carried
         found, start = [], 0
         while start < len(moments):
             end = int(np.searchsorted(moments, opened + age_us, side="right"))
             if end > start:
-                found.append((opened, moments[end - 1], rows_until[end] - rows_until[start]))
+                found.append((opened, int(moments[end - 1]), int(rows_until[end] - rows_until[start])))
             if end == len(moments):
                 break
-            start, opened = end, moments[end]
-        out = pd.DataFrame(found, columns=[name for name, _ in _PIECE])
-        for key in keys:
-            out[key] = group[key].iloc[0]
-        return out[[field.name for field in schema]]
+            start, opened = end, int(moments[end])
+        columns = {name: pa.array([value.as_py()] * len(found), value.type) for name, value in zip(keys, key, strict=True)}
+        for i, (name, _) in enumerate(_PIECE):
+            columns[name] = pa.array([piece[i] for piece in found], pa.int64())
+        return pa.table(columns)
 
-    return times.groupBy(*keys).applyInPandas(pieces, schema)
+    return times.groupBy(*keys).applyInArrow(pieces, schema)
 
 
 def _merge(pieces: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,15 +98,19 @@ def rotation_files(
     if largest <= bound:
         return _merge(_fold(times.select("*", F.lit(1).cast("bigint").alias("n"), nothing_open), keys, age_us), keys)
 
+    # Files of the first table hold a stretch of time each, so that reading one stretch skips the others.
+    spark = events.sparkSession
+    kept_path, pieces_path = work_folder(spark, "rotation-times"), work_folder(spark, "rotation-pieces")
     distinct = times.groupBy(*keys, "timestamp_collector").agg(F.count("*").alias("n"))
-    kept = durable(distinct.repartitionByRange("timestamp_collector"))
-    done, still_open = None, None
-    for start, end in _stretches(kept, keys, bound, cell_us):
+    distinct.repartitionByRange("timestamp_collector").sortWithinPartitions("timestamp_collector").write.parquet(kept_path)
+    kept = spark.read.schema(distinct.schema).parquet(kept_path)
+    still_open = None
+    for number, (start, end) in enumerate(_stretches(kept, keys, bound, cell_us)):
         stretch = kept.where((F.col("timestamp_collector") >= start) & (F.col("timestamp_collector") < end))
-        stretch = stretch.select("*", nothing_open) if still_open is None else stretch.join(still_open, keys, "left")
-        pieces = durable(_fold(stretch, keys, age_us))
-        opened = pieces.select(*keys, F.col("opened_us").alias("open_us"))
+        folded = _fold(stretch.select("*", nothing_open) if still_open is None else stretch.join(still_open, keys, "left"), keys, age_us)
+        path = f"{pieces_path}/stretch={number}"
+        folded.write.mode("overwrite").parquet(path)
+        opened = spark.read.schema(folded.schema).parquet(path).select(*keys, F.col("opened_us").alias("open_us"))
         known = opened if still_open is None else opened.unionByName(still_open)
         still_open = durable(known.groupBy(*keys).agg(F.max("open_us").alias("open_us")))
-        done = pieces if done is None else done.unionByName(pieces)
-    return _merge(done, keys)
+    return _merge(spark.read.schema(folded.schema).parquet(pieces_path), keys)

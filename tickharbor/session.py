@@ -83,3 +83,10 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder, which outlives any executor."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: a durable cut whose columns can be pruned."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
