@@ -113,6 +113,7 @@ def stream_channel(exchange: ColumnOrName, symbol: ColumnOrName, feed: ColumnOrN
     """The stream, topic or channel that a venue serves a canonical feed under.
 
     Two venues put the symbol into the name; the other three take it as a separate argument.
+    The names are fixed values of the venues, with their default depth and update speed.
     """
     exchange, book = F.lower(_col(exchange)), _col(feed) == "orderbook"
     native = api_symbol(exchange, symbol)

@@ -14,7 +14,7 @@ from tickharbor.session import configure, work_folder
 from tickharbor.sources import archive as A
 from tickharbor.sources.frames import read_frames
 from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_base
-from tickharbor.streaming import ingest, state
+from tickharbor.streaming import ingest, progress, state
 
 _STREAM = "exchange, symbol, feed"
 
@@ -92,6 +92,20 @@ def _stream_fan_out(spark, d):
 add("stream_fan_out", _stream_fan_out, "SNK-4, STR-1", f"""WITH {DUCK_EXPECTED} SELECT kind AS data_type, count(*) AS rows, root FROM expected
 CROSS JOIN (VALUES ('remote'), ('local')) AS roots(root) WHERE kind IN ('orderbook', 'trade') GROUP BY ALL""")
 
+
+
+def _stream_counters(spark, d):
+    """Counters observed while the rows pass, without a sink of their own."""
+    rows = progress.observed(market_events(parse_frames(_stream_of(spark, d))), "archived")
+    query = rows.writeStream.format("noop").option("checkpointLocation", work_folder(spark, "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    counted = [(name, *counters) for name, counters in progress.totals(query).items()]
+    return spark.createDataFrame(counted, "name string, rows bigint, last_us bigint")
+
+
+add("stream_counters", _stream_counters, "STR-9, STR-1", f"""WITH {DUCK_EXPECTED}
+SELECT 'archived' AS name, count(*) AS rows, max(timestamp_collector) AS last_us FROM expected WHERE kind IN ('orderbook', 'trade')""")
+
 add("stream_sequence_check", lambda spark, d: _to_table(state.sequence_stream(_stream_of(spark, d, market_base), "event_id")), "STR-4",
     f"""WITH {DUCK_CHECKED} SELECT exchange, symbol, data_type, timestamp_collector, event_id, sequence, result, gap_size FROM checked""")
 

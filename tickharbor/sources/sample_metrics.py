@@ -19,6 +19,7 @@ from tickharbor.sources.sample_market import events_table, market_base
 HORIZON_SECONDS = 120
 HOSTS = 3
 
+# The metric and label names that dashboards ask for. The formulas are made up.
 # Metric: (labels of its series, formula). s is the scrape time in seconds, h the host, i the series.
 # Counters start again every day, at another hour on each host.
 _COUNTER = "((s + h * 7200) % 86400) * (i + 2)"

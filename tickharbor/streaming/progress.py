@@ -25,6 +25,17 @@ def lag(query: StreamingQuery) -> list[dict]:
     } for source in json.loads(progress.json)["sources"]]
 
 
+def totals(query: StreamingQuery) -> dict[str, tuple[int, int | None]]:
+    """Rows and latest receipt per observed name, over the progress reports that the query still holds."""
+    found: dict[str, tuple[int, int | None]] = {}
+    for report in query.recentProgress:
+        for name, row in report.observedMetrics.items():
+            rows, last = found.get(name, (0, None))
+            seen = [us for us in (last, row["last_us"]) if us is not None]
+            found[name] = (rows + row["rows"], max(seen) if seen else None)
+    return found
+
+
 class CounterListener(StreamingQueryListener):
     """Adds up the observed counters of all queries, and notes which queries are alive."""
 
