@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,11 +13,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "documents")
 
 
-def text_of(column: str = "text") -> Column:
-    """The text, with null as the empty text."""
-    return F.coalesce(F.col(column), F.lit(""))
-
-
 def tasks_of(spark: SparkSession) -> int:
     """Number of tasks for a shuffle that adaptive execution must not change, as the session sets it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def vocabulary(name: str) -> str:
+    """Path of a vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
