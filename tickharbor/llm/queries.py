@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickharbor.llm import tables
 from tickharbor.llm.fingerprints import edited_fingerprints
+from tickharbor.llm.language import languages, vocabulary_pieces
 from tickharbor.llm.near_duplicates import near_duplicates
 from tickharbor.llm.packing import pack
 from tickharbor.llm.token_files import read_token_files, write_token_files
 
 # Vocabularies of public tokenizers and the ids that end a document.
 FILE_VOCABULARY, FILE_END = "word_bpe_49k.json", 1
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 PACK_VOCABULARY, PACK_END, SEQUENCE = "byte_bpe_50k.json", 2, 1024
 
 
@@ -21,6 +23,10 @@ def op1_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(tables.documents(spark, folder))
 
 
+def op2_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return languages(tables.documents(spark, folder), vocabulary_pieces(tables.vocabulary(PIECE_VOCABULARY)))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = write_token_files(tables.documents(spark, folder), tables.vocabulary(FILE_VOCABULARY), FILE_END)
     return read_token_files(manifest)
@@ -36,6 +42,7 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chunks": op1_chunks,
+    "op2_languages": op2_languages,
     "op7_token_files": op7_token_files,
     "op8_packing": op8_packing,
     "op9_minhash": op9_minhash,
