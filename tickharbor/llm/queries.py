@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickharbor.llm import tables
+from tickharbor.llm.extraction import main_text
 from tickharbor.llm.fingerprints import edited_fingerprints
 from tickharbor.llm.language import languages, vocabulary_pieces
 from tickharbor.llm.near_duplicates import near_duplicates
 from tickharbor.llm.packing import pack
+from tickharbor.llm.personal_data import personal_data, spans_text
 from tickharbor.llm.token_files import read_token_files, write_token_files
 
 # Vocabularies of public tokenizers and the ids that end a document.
@@ -27,6 +30,15 @@ def op2_languages(spark: SparkSession, folder: str) -> DataFrame:
     return languages(tables.documents(spark, folder), vocabulary_pieces(tables.vocabulary(PIECE_VOCABULARY)))
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(tables.documents(spark, folder)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), spans_text().alias("spans"))
+
+
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(tables.read(spark, folder, "pages"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = write_token_files(tables.documents(spark, folder), tables.vocabulary(FILE_VOCABULARY), FILE_END)
     return read_token_files(manifest)
@@ -43,6 +55,8 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chunks": op1_chunks,
     "op2_languages": op2_languages,
+    "op3_personal_data": op3_personal_data,
+    "op4_main_text": op4_main_text,
     "op7_token_files": op7_token_files,
     "op8_packing": op8_packing,
     "op9_minhash": op9_minhash,
