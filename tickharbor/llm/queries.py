@@ -14,6 +14,7 @@ from tickharbor.llm.language import languages, vocabulary_pieces
 from tickharbor.llm.near_duplicates import near_duplicates
 from tickharbor.llm.packing import pack
 from tickharbor.llm.personal_data import personal_data, spans_text
+from tickharbor.llm.repeats import without_repeats
 from tickharbor.llm.token_files import read_token_files, write_token_files
 
 # Vocabularies of public tokenizers and the ids that end a document.
@@ -52,6 +53,10 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(tables.documents(spark, folder))
 
 
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(tables.documents(spark, folder)).drop("removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chunks": op1_chunks,
     "op2_languages": op2_languages,
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_packing": op8_packing,
     "op9_minhash": op9_minhash,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLES: dict[str, str] = {}
