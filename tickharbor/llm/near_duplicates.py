@@ -4,8 +4,8 @@ Documents are sets of five-word shingles. Equal sets are folded into one class f
 128 minima of universal hash functions; classes that agree on all four minima of one of 32 bands are
 candidates. Candidates are compared by signature, then exactly on their full texts. A band bucket is
 never expanded into pairs: its members are first compared with its least member only, and components
-are built; only buckets that then still hold several components are compared further, block by block,
-and only across components.
+are built; only buckets that then still hold several components are compared further, block by block
+within tasks, and only across components. Joins are merges at every size, so plans grow with the input.
 
 At a similarity of 0.75 a pair shares no band with probability (1 - 0.75**4)**32 = 5e-6.
 """
@@ -112,54 +112,89 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose signatures agree often enough."""
     for side in ("a", "b"):
-        pairs = pairs.join(classes.select(F.col("doc_id").alias(side), F.col("signature").alias(f"mark_{side}")), side)
+        marks = classes.select(F.col("doc_id").alias(side), F.col("signature").alias(f"mark_{side}"))
+        pairs = pairs.join(marks.hint("merge"), side)
     return pairs.select("a", "b", "mark_a", "mark_b").mapInArrow(_estimated, "a long, b long")
 
 
+def _is_link(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
         for x, y in zip(shingle_sets(batch.column("text_a")), shingle_sets(batch.column("text_b"))):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
+            keep.append(_is_link(x, y))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of the wanted ``doc_id``s, stored; the others move once and are left behind."""
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return stored(texts.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidate-texts")
+
+
 def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs that are links, from the full texts of both. Only texts that occur in pairs are moved twice."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(wanted, "doc_id")
-                   .dropDuplicates(["doc_id"]), "candidate-texts")
+    """The pairs that are links, from the full texts of both."""
+    texts = _texts(documents, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
+        own = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
+        pairs = pairs.join(own.hint("merge"), side)
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join components of a cell, each pair compared in the first band that it shares."""
     table = pa.Table.from_batches(list(batches))
-    ids, labels = (table.column(c).to_numpy() for c in ("doc_id", "component"))
+    ids, labels, own = (table.column(c).to_numpy().copy() for c in ("doc_id", "component", "own"))
+    bucket, one_block = table.column("bucket")[0].as_py(), len(np.unique(own)) == 1
     marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, MINIMA)
-    for i in range(len(ids)):
-        other = np.flatnonzero(labels[i + 1:] != labels[i]) + i + 1
-        other = other[(marks[other] == marks[i]).mean(axis=1) >= LEAST_ESTIMATE]
-        if len(other):
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.minimum(ids[other], ids[i])), pa.array(np.maximum(ids[other], ids[i]))], names=["a", "b"])
-
-
-def _remaining(buckets: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Plausible pairs across components within buckets that still hold several components."""
+    bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
+    sets: dict[int, np.ndarray] = {}
+    texts = table.column("text")
+
+    def shingles(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = next(shingle_sets(texts.slice(k, 1)))
+        return sets[k]
+
+    found = []
+    for x in range(len(ids)):
+        other = np.flatnonzero(labels[x + 1:] != labels[x]) + x + 1
+        if not one_block:
+            other = other[own[other] != own[x]]
+        other = other[(marks[other] == marks[x]).mean(axis=1) >= LEAST_ESTIMATE]
+        other = other[bands[other, (bands[other] == bands[x]).argmax(axis=1)] == bucket]
+        for y in other.tolist():
+            if labels[x] != labels[y] and _is_link(shingles(x), shingles(y)):
+                found.append((ids[x], ids[y]))
+                labels[labels == labels[y]] = labels[x]
+    if found:
+        a, b = np.array(found, dtype=np.int64).T
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _remaining(buckets: DataFrame, labels: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links across components within buckets that still hold several components.
+
+    Members of a bucket are dealt into blocks; a cell of two blocks is compared in one task, which gives
+    the links that join its components, so a cell never gives more rows than it has.
+    """
     named = (buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
              .withColumn("component", F.coalesce("component", "doc_id")))
     mixed = (named.groupBy("bucket").agg(
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
         .where("members > 2 AND low < high").select("bucket", F.ceil(F.col("members") / BUCKET_BLOCK).alias("blocks")))
-    place = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
-    cells = (named.join(mixed, "bucket").withColumn("own", place)
+    left = stored(named.join(mixed.hint("merge"), "bucket"), "mixed-buckets")
+    texts = _texts(documents, left.select("doc_id").distinct())
+    cells = (left.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+             .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
                      "doc_id", "component")
-             .join(classes.select("doc_id", "signature"), "doc_id"))
+             .join(classes.select("doc_id", "signature", "bands").hint("merge"), "doc_id")
+             .join(texts.hint("merge"), "doc_id"))
     return cells.groupBy("bucket", "i", "j").applyInArrow(_across, "a long, b long").distinct()
 
 
@@ -176,17 +211,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     known = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
     heads = known.groupBy("digest").agg(F.min("doc_id").alias("head"))
     members = stored(known.select("doc_id", "digest").join(heads, "digest").select("doc_id", "head"), "classes")
-    classes = (known.join(members.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    classes = (known.join(members.select(F.col("head").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
                .dropDuplicates(["doc_id"]))
     classes = stored(classes.select("doc_id", "signature", "bands"), "class-signatures")
     placed = classes.select("doc_id", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
-    buckets = stored(placed.join(shared.select("bucket", "lead"), "bucket"), "buckets")
+    buckets = stored(placed.join(shared.select("bucket", "lead").hint("merge"), "bucket"), "buckets")
     stars = buckets.where("doc_id > lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = stored(_verified(stored(_plausible(stars, classes), "star-pairs"), documents), "star-links")
     labels = stored(components(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "star-components")
-    rest = stored(_remaining(buckets.select("bucket", "doc_id"), labels, classes), "rest-pairs")
-    more = _verified(rest, documents)
+    more = stored(_remaining(buckets.select("bucket", "doc_id"), labels, classes, documents), "rest-links")
     edges = links.unionByName(more).select(F.col("b").alias("u"), F.col("a").alias("v"))
     # The same doc_id with several texts is one document.
     edges = edges.unionByName(members.where("doc_id > head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")))
