@@ -30,6 +30,8 @@ SAMPLE = 1500
 ROUNDS = 3
 # Probability of a letter that no piece covers, and of a piece that a language never used.
 UNKNOWN, SMOOTHING = 1e-6, 0.01
+# Score below which a document is in none of the languages.
+KEPT_SCORE = 0.5
 # Letters of the even hypothesis.
 EVEN_LETTERS = 40
 # Longer runs of letters are scored in stretches of this many.
@@ -294,6 +296,27 @@ def predict(documents: DataFrame, model: Model, *keep: str) -> DataFrame:
     return chosen.mapInArrow(_predictor(model), shape + "lang_pred string, score double")
 
 
+def _keeper(model: Model):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            if model.languages:
+                _, scores = scorer.predict(batch.column("text"))
+                yield batch.filter(pa.array(scores >= KEPT_SCORE))
+            else:
+                yield batch.filter(pa.array([bool(t and _LETTERS.search(t)) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return keep
+
+
+def in_known_language(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows whose text has a letter and is likelier in a learned language than as even letters; all columns stay.
+
+    If nothing was learned, only texts without a letter go.
+    """
+    return documents.mapInArrow(_keeper(model), documents.schema)
+
+
 def is_held_out() -> F.Column:
     """True for the third of the documents that are never learned from; false without an id."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickharbor.llm import tables
+from tickharbor.llm.chat import chat_fragments
+from tickharbor.llm.decontamination import leaks
 from tickharbor.llm.extraction import main_text
 from tickharbor.llm.fingerprints import edited_fingerprints
 from tickharbor.llm.language import languages, vocabulary_pieces
@@ -40,6 +42,14 @@ def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(tables.read(spark, folder, "pages"))
 
 
+def op5_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(tables.documents(spark, folder), tables.read(spark, folder, "benchmark"))
+
+
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_fragments(tables.read(spark, folder, "conversations"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = write_token_files(tables.documents(spark, folder), tables.vocabulary(FILE_VOCABULARY), FILE_END)
     return read_token_files(manifest)
@@ -62,6 +72,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_languages": op2_languages,
     "op3_personal_data": op3_personal_data,
     "op4_main_text": op4_main_text,
+    "op5_leaks": op5_leaks,
+    "op6_chat": op6_chat,
     "op7_token_files": op7_token_files,
     "op8_packing": op8_packing,
     "op9_minhash": op9_minhash,

@@ -19,6 +19,9 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
+_PLAIN = np.zeros(256, dtype=bool)
+_PLAIN[0x30:0x3A] = _PLAIN[0x41:0x5B] = _PLAIN[0x61:0x7B] = _PLAIN[0x80:] = True
+
 _RANDOM = np.random.default_rng(20_240_131)
 _BYTE_CODES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -79,15 +82,17 @@ class SpanHash:
         return mix(sums + (ends - starts).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray | None = None) -> tuple[
+        np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs of bytes that are no ASCII white space), and each row's first word.
 
-    ``offsets`` are those of the rows within ``data``; the last array has one more entry than rows.
+    ``offsets`` are those of the rows within ``data``; the last array has one more entry than rows. ``solid``
+    tells which bytes are part of words, where that is other than all but white space.
     """
     if not len(data):
         none = np.empty(0, dtype=np.int64)
         return none, none, np.zeros(len(offsets), dtype=np.int64)
-    solid = ~SPACE[data]
+    solid = ~SPACE[data] if solid is None else solid
     begins, finishes = solid.copy(), solid.copy()
     begins[1:] &= ~solid[:-1]
     finishes[:-1] &= ~solid[1:]
@@ -103,3 +108,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """A hash for each lower-cased word, and each row's first word."""
     starts, ends, firsts = word_spans(data, offsets)
     return SpanHash(LOWER[data]).of(starts, ends), firsts
+
+
+def plain_word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``word_hashes``, for runs of letters and digits only: case (up to U+00DE) and punctuation do not count."""
+    folded = LOWER[data]
+    upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+    folded[upper] += 0x20
+    starts, ends, firsts = word_spans(data, offsets, _PLAIN[data])
+    return SpanHash(folded).of(starts, ends), firsts
