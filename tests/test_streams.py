@@ -23,18 +23,53 @@ def finish(rows, path, checkpoint):
     query.awaitTermination()
 
 
-def test_sequence_state_survives_a_restart(spark, tmp_path):
+def test_every_row_is_answered_over_restarts_and_late_rows(spark, tmp_path):
     base = market_base(spark, SMALL)
-    for low, high in ((0, 400), (400, 1000)):
+    # The middle rows arrive last, long after later ones.
+    for low, high in ((0, 300), (600, 1000), (300, 600)):
         land(base, tmp_path / "in", low, high)
         source = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-        finish(state.sequence_stream(source, "event_id", idle="100 days", watermark="100 days"), tmp_path / "out", tmp_path / "cp")
-    got = spark.read.parquet(str(tmp_path / "out")).select("event_id", "result", "gap_size").collect()
-    # Receipts of the second file are not before those of the first, bar a few: check in file order.
-    files = base.withColumn("timestamp_collector", F.col("timestamp_collector") + F.when(F.col("event_id") >= 400, 10**15).otherwise(0))
+        ingest.drain([state.sequence_stream(source, "event_id", str(tmp_path / "out"), str(tmp_path / "cp"))])
+    got = state.checked_rows(spark, str(tmp_path / "out"), "event_id").select("event_id", "result", "gap_size").collect()
+    # As if the files had been received one after another.
+    turn = F.when(F.col("event_id") < 300, 0).when(F.col("event_id") >= 600, 1).otherwise(2)
+    files = base.withColumn("timestamp_collector", F.col("timestamp_collector") + turn * 10**15)
     assert sorted(got) == sorted(Q.sequence_check(files, "event_id").select("event_id", "result", "gap_size").collect())
 
 
+def test_counters_over_more_batches_than_a_query_remembers(spark, tmp_path):
+    base = market_base(spark, SMALL).select("event_id", "timestamp_collector")
+    base.repartition(105).write.parquet(str(tmp_path / "in"))
+    files = [f for f in (tmp_path / "in").iterdir() if f.suffix == ".parquet"]
+    source = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    ingest.drain([progress.counter_stream(source, "all", str(tmp_path / "n"), str(tmp_path / "cp"))])
+    assert len(files) > 100 and len(list((tmp_path / "n").iterdir())) == len(files)
+    expected = base.agg(F.count("*"), F.max("timestamp_collector")).first()
+    assert progress.counted(spark, str(tmp_path / "n")).collect() == [("all", *expected)]
+
+
+def test_an_unfinished_stream_is_no_result(spark, tmp_path):
+    base = market_base(spark, SMALL).select("event_id", "timestamp_collector")
+    base.repartition(40).write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = progress.counter_stream(source, "all", str(tmp_path / "n"), str(tmp_path / "cp"))
+    with pytest.raises(ingest.Unfinished):
+        ingest.drain([query], 1)
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    listener = progress.CounterListener()
+    spark.streams.addListener(listener)
+    base = market_base(spark, SMALL)
+    for k, (low, high) in enumerate(((500, 1000), (0, 500))):
+        land(base, tmp_path / "in", low, high)
+        source = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        finish(state.drop_duplicates(source, "1 minute"), tmp_path / "out", tmp_path / "cp")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    spark.streams.removeListener(listener)
+    assert sum(listener.late.values()) > 0
+
+
 def test_dedup_over_a_restart(spark, tmp_path):
     base = market_base(spark, SMALL)
     for low, high in ((0, 500), (300, 1000)):
@@ -59,7 +94,7 @@ def test_archive_stream_counts_as_it_goes(spark, landed, tmp_path):
     listener = progress.CounterListener()
     spark.streams.addListener(listener)
     query = ingest.archive_stream(read_frames(spark, path, stream=True, form="parquet"), str(tmp_path / "a"), str(tmp_path / "cp"))
-    assert ingest.drain([query], 120) == []
+    ingest.drain([query], 120)
     assert read_archive(spark, str(tmp_path / "a")).count() == expected.count()
     assert progress.lag(query)[0]["source"].startswith("FileStreamSource")
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()

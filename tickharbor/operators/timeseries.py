@@ -148,7 +148,9 @@ def histogram_quantile(buckets: DataFrame, by: list[str], quantile: float, value
     here, before = F.element_at("b", F.col("i")), F.when(F.col("i") > 1, F.get("b", F.col("i") - 2))
     start = F.when(F.col("i") > 1, before["le"]).otherwise(0.0)
     below = F.when(F.col("i") > 1, before["n"]).otherwise(0.0)
-    interpolated = start + (here["le"] - start) * ((F.col("rank") - below) / (here["n"] - below))
+    # Quantile 0 falls into the first bucket even if that is empty: the answer is its lower end.
+    share = F.coalesce(F.try_divide(F.col("rank") - below, here["n"] - below), F.lit(0.0))
+    interpolated = start + (here["le"] - start) * share
     answer = F.when(here["le"] == float("inf"), before["le"]) \
         .when((F.col("i") == 1) & (here["le"] <= 0), here["le"]).otherwise(interpolated)
     usable = (F.element_at("b", -1)["le"] == float("inf")) & (F.element_at("b", -1)["n"] > 0) & (F.size("b") > 1)

@@ -74,10 +74,16 @@ SELECT CAST(2 * count(*) AS BIGINT) AS workers, CAST(2000 * count(*) AS BIGINT)
 
 # --- joins ------------------------------------------------------------------------------------
 
-add("expected_counts", lambda spark, d: J.expected_counts(_streams(spark, d), market_base(spark, d).where("user_id % 8 < 6")), "JN-1",
+def _with_silent_pairs(streams):
+    """The configured pairs, and one more per venue that no event has."""
+    return streams.select("exchange", "symbol").unionByName(streams.select("exchange", F.lit("silentusdt").alias("symbol")))
+
+
+add("expected_counts", lambda spark, d: J.expected_counts(_with_silent_pairs(_streams(spark, d)), market_base(spark, d)), "JN-1",
     f"""{_BASE} SELECT e.exchange, e.symbol, e.data_type, count(event_id) AS messages
-FROM (SELECT DISTINCT exchange, symbol, t AS data_type FROM streams CROSS JOIN (VALUES ('orderbook'), ('trade')) AS types(t)) e
-LEFT JOIN (SELECT * FROM priced WHERE user_id % 8 < 6) p ON e.exchange = p.exchange AND e.symbol = p.symbol AND e.data_type = p.data_type GROUP BY ALL""")
+FROM (SELECT DISTINCT exchange, symbol, t AS data_type FROM (SELECT exchange, symbol FROM streams UNION ALL SELECT exchange, 'silentusdt' FROM streams)
+  CROSS JOIN (VALUES ('orderbook'), ('trade')) AS types(t)) e
+LEFT JOIN priced p ON e.exchange = p.exchange AND e.symbol = p.symbol AND e.data_type = p.data_type GROUP BY ALL""")
 
 _EVENT = ["event_id", "exchange", "symbol", "data_type", "timestamp_collector"]
 _IS_CONFIGURED = "EXISTS (SELECT 1 FROM streams s WHERE s.exchange = p.exchange AND s.symbol = p.symbol AND s.feed = p.feed)"

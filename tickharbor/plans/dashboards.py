@@ -262,6 +262,7 @@ FROM {_duck_memory('MemTotal', 't')} JOIN {_duck_memory('Buffers', 'b')} USING (
 JOIN {_duck_memory('MemFree', 'f')} USING (instance) LEFT JOIN {_duck_memory('MemAvailable', 'a')} USING (instance)""")
 
 _SIZE, _AVAIL = "node_filesystem_size_bytes", "node_filesystem_avail_bytes"
+# Label patterns of the panels.
 _ROOT = [("mountpoint", "=", "/"), ("fstype", "!=", "rootfs")]
 _REAL = [("fstype", "!~", "tmpfs|overlay|squashfs")]
 
@@ -319,6 +320,7 @@ for _number, _name, _left, _right in (
         f"""SELECT instance, a.value - b.value AS value FROM {duck_instant(duck_node(_left), ['instance'])} a
 JOIN {duck_instant(duck_node(_right), ['instance'])} b USING (instance)""")
 
+# Fixed value: label pattern of the panels.
 _NOT_VIRTUAL = [("device", "!~", "lo|veth.*|docker.*|br-.*")]
 for _number, _name, _metric in (
     ("45", "network_bytes_in", "node_network_receive_bytes_total"), ("46", "network_bytes_out", "node_network_transmit_bytes_total"),

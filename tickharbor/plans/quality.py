@@ -36,13 +36,14 @@ add("latency_histogram", lambda spark, d: Q.latency_histogram(market_base(spark,
 
 
 def _upload_histogram(spark, d):
-    rows = Q.upload_histogram(upload_log(spark, d))
-    return rows.drop("total")
+    """The sum of durations as a decimal, which does not depend on the order of the rows."""
+    uploads = upload_log(spark, d).withColumn("duration_s", F.col("duration_s").cast("decimal(18,6)"))
+    return Q.upload_histogram(uploads).withColumn("total", F.col("total").cast("decimal(28,6)"))
 
 
 add("upload_duration_histogram", _upload_histogram, "AGG-9",
-    f"WITH {DUCK_UPLOADS} SELECT status, observations, le, cumulative FROM ("
-    + duck_histogram("uploads", "status", "duration_s", Q.UPLOAD_BOUNDS_S) + ")")
+    f"WITH {DUCK_UPLOADS} SELECT status, observations, CAST(total AS DECIMAL(28,6)) AS total, le, cumulative FROM ("
+    + duck_histogram("uploads", "status", "CAST(duration_s AS DECIMAL(18,6))", Q.UPLOAD_BOUNDS_S) + ")")
 
 add("upload_summary", lambda spark, d: Q.upload_summary(upload_log(spark, d)), "AGG-9",
     f"""WITH {DUCK_UPLOADS} SELECT count(*) AS uploads, count(*) FILTER (status <> 'success') AS failures,

@@ -17,6 +17,8 @@ from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_
 from tickharbor.streaming import ingest, progress, state
 
 _STREAM = "exchange, symbol, feed"
+# Files that are taken in one after another where a query shows several micro-batches.
+_BATCHES = 4
 
 
 def _landed(spark, d, table=landed_frames, files=1):
@@ -27,9 +29,11 @@ def _landed(spark, d, table=landed_frames, files=1):
     return path, rows.schema
 
 
-def _stream_of(spark, d, table=landed_frames, files=1):
+def _stream_of(spark, d, table=landed_frames, files=1, batch=None):
+    """The landed table as a stream, ``batch`` files in each micro-batch."""
     path, schema = _landed(spark, d, table, files)
-    return configure(spark).readStream.schema(schema).parquet(path)
+    reader = configure(spark).readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", batch) if batch else reader).parquet(path)
 
 
 def _to_table(rows):
@@ -45,7 +49,7 @@ def _stream_archive(spark, d):
     path, _ = _landed(spark, d, files=spark.sparkContext.defaultParallelism)
     root = work_folder(spark, "stream-archive")
     frames = read_frames(spark, path, stream=True, form="parquet")
-    ingest.drain([ingest.archive_stream(frames, root, work_folder(spark, "checkpoint"), server="srv1")], 600)
+    ingest.drain([ingest.archive_stream(frames, root, work_folder(spark, "checkpoint"), server="srv1")])
     return A.read_archive(spark, root).groupBy("exchange", "symbol", "data_type").agg(
         F.count("*").alias("rows"), F.min("timestamp_collector").alias("first_us"))
 
@@ -58,7 +62,7 @@ def _stream_per_feed(spark, d):
     path, _ = _landed(spark, d, files=spark.sparkContext.defaultParallelism)
     root = work_folder(spark, "feeds")
     started = ingest.streams_per_feed(read_frames(spark, path, stream=True, form="parquet"), root, work_folder(spark, "checkpoints"))
-    ingest.drain(list(started.values()), 600)
+    ingest.drain(list(started.values()))
     counted = [A.read_archive(spark, f"{root}/{feed}").groupBy("exchange", "data_type").agg(F.count("*").alias("rows"))
                .withColumn("feed", F.lit(feed)) for feed in started]
     return counted[0].unionByName(counted[1])
@@ -71,7 +75,7 @@ FROM expected WHERE kind IN ('orderbook', 'trade') GROUP BY ALL""")
 def _stream_dead_letters(spark, d):
     path, _ = _landed(spark, d)
     target = work_folder(spark, "dead-letters")
-    ingest.drain([ingest.dead_letter_stream(read_frames(spark, path, stream=True, form="parquet"), target, work_folder(spark, "checkpoint"))], 600)
+    ingest.drain([ingest.dead_letter_stream(read_frames(spark, path, stream=True, form="parquet"), target, work_folder(spark, "checkpoint"))])
     return spark.read.schema("exchange string, native_symbol string, feed string, timestamp_collector bigint, frame string, error string").json(target)
 
 
@@ -83,7 +87,7 @@ def _stream_fan_out(spark, d):
     path, _ = _landed(spark, d)
     remote, local = work_folder(spark, "remote"), work_folder(spark, "local")
     frames = read_frames(spark, path, stream=True, form="parquet")
-    ingest.drain([ingest.fan_out_stream(frames, "both", remote, local, work_folder(spark, "checkpoint"), tasks=spark.sparkContext.defaultParallelism)], 600)
+    ingest.drain([ingest.fan_out_stream(frames, "both", remote, local, work_folder(spark, "checkpoint"), tasks=spark.sparkContext.defaultParallelism)])
     counted = [spark.read.parquet(root).groupBy("data_type").agg(F.count("*").alias("rows")).withColumn("root", F.lit(name))
                for name, root in (("remote", remote), ("local", local))]
     return counted[0].unionByName(counted[1])
@@ -95,18 +99,24 @@ CROSS JOIN (VALUES ('remote'), ('local')) AS roots(root) WHERE kind IN ('orderbo
 
 
 def _stream_counters(spark, d):
-    """Counters observed while the rows pass, without a sink of their own."""
-    rows = progress.observed(market_events(parse_frames(_stream_of(spark, d))), "archived")
-    query = rows.writeStream.format("noop").option("checkpointLocation", work_folder(spark, "checkpoint")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    counted = [(name, *counters) for name, counters in progress.totals(query).items()]
-    return spark.createDataFrame(counted, "name string, rows bigint, last_us bigint")
+    """Counters of all micro-batches, summed up from their table."""
+    path = work_folder(spark, "counters")
+    rows = market_events(parse_frames(_stream_of(spark, d, files=_BATCHES, batch=1)))
+    ingest.drain([progress.counter_stream(rows, "archived", path, work_folder(spark, "checkpoint"))])
+    return progress.counted(spark, path)
 
 
 add("stream_counters", _stream_counters, "STR-9, STR-1", f"""WITH {DUCK_EXPECTED}
 SELECT 'archived' AS name, count(*) AS rows, max(timestamp_collector) AS last_us FROM expected WHERE kind IN ('orderbook', 'trade')""")
 
-add("stream_sequence_check", lambda spark, d: _to_table(state.sequence_stream(_stream_of(spark, d, market_base), "event_id")), "STR-4",
+def _stream_sequence_check(spark, d):
+    """Several micro-batches in order of receipt; their files do not overlap in time, so the batch form says the same."""
+    path = work_folder(spark, "sequence")
+    ingest.drain([state.sequence_stream(_stream_of(spark, d, market_base, _BATCHES, batch=1), "event_id", path, work_folder(spark, "checkpoint"))])
+    return state.checked_rows(spark, path, "event_id")
+
+
+add("stream_sequence_check", _stream_sequence_check, "STR-4",
     f"""WITH {DUCK_CHECKED} SELECT exchange, symbol, data_type, timestamp_collector, event_id, sequence, result, gap_size FROM checked""")
 
 
@@ -132,7 +142,7 @@ FROM w WHERE window_us + 86400000000 <= {_PASSED.format('counted')}""")
 add("stream_sessions", lambda spark, d: _to_table(state.session_stream(_stream_of(spark, d, market_base))), "STR-6, WIN-5",
     f"""WITH {DUCK_MARKET},
 linked AS (SELECT {_STREAM}, timestamp_collector, lag(timestamp_collector) OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector) AS previous_us FROM priced),
-numbered AS (SELECT *, sum(CASE WHEN timestamp_collector - previous_us < 90000000 THEN 0 ELSE 1 END)
+numbered AS (SELECT *, sum(CASE WHEN timestamp_collector - previous_us <= 90000000 THEN 0 ELSE 1 END)
   OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector ROWS UNBOUNDED PRECEDING) AS session FROM linked),
 s AS (SELECT {_STREAM}, session, min(timestamp_collector) AS opened_us, max(timestamp_collector) AS closed_us, count(*) AS frames FROM numbered GROUP BY ALL)
 SELECT {_STREAM}, opened_us, closed_us, frames FROM s WHERE closed_us + 90000000 <= {_PASSED.format('priced')}""")

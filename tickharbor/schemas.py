@@ -44,13 +44,6 @@ MARKET_CONFIG = _struct(
     ("data_timeout_secs", T.LongType()),
 )
 
-METRIC_SAMPLES = _struct(
-    ("ts_us", T.LongType()),
-    ("metric", T.StringType()),
-    ("labels", T.MapType(T.StringType(), T.StringType())),
-    ("value", T.DoubleType()),
-)
-
 # The key an archive file belongs to, and the key a connection belongs to.
 WRITER_KEY = ["exchange", "symbol", "data_type"]
 STREAM_KEY = ["exchange", "symbol", "feed"]

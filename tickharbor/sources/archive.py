@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +49,8 @@ def write_archive(
     rows = archive_rows(events, server)
     order = [*PARTITIONS, "timestamp_collector", "exchange_sequence_id"]
     if tasks:
-        # The random last column lets even a group of identical rows be cut into several ranges.
-        spread_out = rows.repartitionByRange(tasks, *order, F.rand(0))
+        # A hash, not a random number: a repeated task must place its rows as before.
+        spread_out = rows.repartitionByRange(tasks, *order, F.xxhash64("data"))
     else:
         spread_out = rows.hint("rebalance", *PARTITIONS)
     spread_out.sortWithinPartitions(*order).write.mode(write_mode).option("compression", "zstd") \
@@ -101,10 +102,19 @@ def hourly_groups(events: DataFrame) -> DataFrame:
 
 
 def write_by_mode(events: DataFrame, mode: str, remote_root: str, local_root: str, server: str | None = None, **options) -> list[str]:
-    """Write to the remote root, the local root or both, as ``mode`` says."""
+    """Write to the remote root, the local root or both, as ``mode`` says.
+
+    For both, the events are held on the executors' disks, so that they are parsed once; what
+    a lost executor held is parsed again.
+    """
     roots = {"s3": [remote_root], "local": [local_root], "both": [remote_root, local_root]}[mode]
-    for root in roots:
-        write_archive(events, root, server, **options)
+    held = events.persist(StorageLevel.DISK_ONLY) if len(roots) > 1 else events
+    try:
+        for root in roots:
+            write_archive(held, root, server, **options)
+    finally:
+        if len(roots) > 1:
+            held.unpersist()
     return roots
 
 
@@ -118,7 +128,8 @@ def compact(spark: SparkSession, root: str, target: str, dates: list[str], max_r
     """
     chosen = read_archive(spark, root).where(F.col("date").isin(dates))
     sizes = chosen.groupBy(*PARTITIONS).agg(F.ceil(F.count("*") / max_records).cast("bigint").alias("__buckets"))
-    bucket = F.floor(F.rand(0) * F.col("__buckets"))
+    # A hash of the row, so that a repeated stage places every row where it was.
+    bucket = F.pmod(F.xxhash64("exchange_sequence_id", "timestamp_collector", "data"), F.col("__buckets"))
     spread = chosen.join(sizes, PARTITIONS).withColumn("__bucket", bucket).repartition(*PARTITIONS, "__bucket")
     ordered = spread.sortWithinPartitions(*PARTITIONS, "timestamp_collector", "exchange_sequence_id")
     ordered.drop("__buckets", "__bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \

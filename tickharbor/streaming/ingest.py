@@ -58,14 +58,23 @@ def streams_per_feed(frames: DataFrame, root: str, checkpoint: str, feeds: tuple
     }
 
 
-def drain(queries: list[StreamingQuery], seconds: int = 60) -> list[StreamingQuery]:
-    """Let queries finish what has landed, then stop them. Returns those that did not finish in time.
+class Unfinished(RuntimeError):
+    """Streams were stopped before they had taken in what had landed."""
 
-    A stopped query goes on from its checkpoint when it is started again.
+
+def drain(queries: list[StreamingQuery], seconds: int | None = None) -> None:
+    """Wait until queries have finished what has landed, then stop them.
+
+    Without a limit of ``seconds`` it waits as long as that takes. With one it raises if a
+    query has not finished in time: what that has written so far must not be read as a
+    result. A stopped query goes on from its checkpoint when it is started again.
     """
     unfinished = []
     for query in queries:
-        if not query.awaitTermination(seconds):
-            unfinished.append(query)
+        if seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(seconds):
+            unfinished.append(str(query.id))
         query.stop()
-    return unfinished
+    if unfinished:
+        raise Unfinished(f"stopped after {seconds} s: {', '.join(unfinished)}")

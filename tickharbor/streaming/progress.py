@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -25,23 +25,37 @@ def lag(query: StreamingQuery) -> list[dict]:
     } for source in json.loads(progress.json)["sources"]]
 
 
-def totals(query: StreamingQuery) -> dict[str, tuple[int, int | None]]:
-    """Rows and latest receipt per observed name, over the progress reports that the query still holds."""
-    found: dict[str, tuple[int, int | None]] = {}
-    for report in query.recentProgress:
-        for name, row in report.observedMetrics.items():
-            rows, last = found.get(name, (0, None))
-            seen = [us for us in (last, row["last_us"]) if us is not None]
-            found[name] = (rows + row["rows"], max(seen) if seen else None)
-    return found
+def counter_stream(rows: DataFrame, name: str, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Count rows and note the latest receipt of every micro-batch in a table, one row for each batch.
+
+    A batch overwrites its own folder, so one that is repeated after a failure counts once, and
+    the sums hold over any number of batches and restarts; read them with :func:`counted`.
+    """
+    def count(batch: DataFrame, batch_id: int) -> None:
+        batch.agg(F.lit(name).alias("name"), F.count("*").alias("rows"), F.max("timestamp_collector").alias("last_us")) \
+            .write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return rows.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint) \
+        .trigger(**(trigger or {"availableNow": True})).start()
+
+
+def counted(spark: SparkSession, path: str) -> DataFrame:
+    """``name, rows, last_us`` over all batches of a counter stream."""
+    batches = spark.read.schema("name string, rows bigint, last_us bigint").parquet(path)
+    return batches.groupBy("name").agg(F.sum("rows").alias("rows"), F.max("last_us").alias("last_us"))
 
 
 class CounterListener(StreamingQueryListener):
-    """Adds up the observed counters of all queries, and notes which queries are alive."""
+    """Adds up the observed counters of all queries, and notes which queries are alive.
+
+    Register it before the queries start: it hears of every batch, however many reports a
+    query keeps. ``late`` counts, by query, rows that a watermark has left out.
+    """
 
     def __init__(self):
         self.rows: dict[str, int] = {}
         self.last_us: dict[str, int] = {}
+        self.late: dict[str, int] = {}
         self.alive: set[str] = set()
 
     def onQueryStarted(self, event):
@@ -53,6 +67,9 @@ class CounterListener(StreamingQueryListener):
             if row["last_us"] is not None:
                 self.last_us[name] = max(self.last_us.get(name, 0), row["last_us"])
 
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        self.late[str(event.progress.id)] = self.late.get(str(event.progress.id), 0) + late
+
     def onQueryIdle(self, event):
         pass
 

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from tickharbor.functions.scalars import numeric_sequence
+from tickharbor.operators.ordered import Previous, with_previous
 from tickharbor.operators.quality import (
     BREAKER_MIN_SAMPLES, BREAKER_RATIO, BREAKER_WINDOW_SECONDS, dead_after_us)
 from tickharbor.schemas import STREAM_KEY, WRITER_KEY
@@ -37,8 +33,11 @@ def parse_error_stream(
     parsed: DataFrame, window_seconds: int = BREAKER_WINDOW_SECONDS, ratio: float = BREAKER_RATIO,
     min_samples: int = BREAKER_MIN_SAMPLES, keys: list[str] = STREAM_KEY, watermark: str = WATERMARK,
 ) -> DataFrame:
-    """Error share per window. A window is emitted once the watermark has passed its end."""
-    counted = with_receipt_time(parsed.where(F.col("kind").isin("orderbook", "trade", "error")), watermark)
+    """Error share per window. A window is emitted once the watermark has passed its end.
+
+    Every parsed row moves the watermark, whatever its kind.
+    """
+    counted = with_receipt_time(parsed, watermark).where(F.col("kind").isin("orderbook", "trade", "error"))
     totals = counted.groupBy(*keys, F.window("receipt_time", f"{window_seconds} seconds").alias("w")).agg(
         F.count_if(F.col("kind") == "error").alias("errors"), F.count("*").alias("samples"))
     share = F.col("errors") / F.col("samples")
@@ -56,43 +55,46 @@ def session_stream(frames: DataFrame, keys: list[str] = STREAM_KEY, watermark: s
         F.count("*").alias("frames")).drop("w")
 
 
-def sequence_stream(events: DataFrame, tiebreak: str, idle: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
-    """Sequence checks with the highest id per key as state.
+def _marks(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """The highest id of each key after the batch before; none before the first batch."""
+    return spark.read.schema(schema).parquet(f"{path}/batch={batch_id - 1}") if batch_id else spark.createDataFrame([], schema)
 
-    Rows of a micro-batch are put in receipt order per key; the size of a micro-batch, and
-    with it of a group, is bounded by the source's limit per trigger. The state of a key
-    is dropped once the watermark is ``idle`` past its last row. The timeout follows
-    receipt times: one by the clock would keep an ``availableNow`` query running for ever.
+
+def sequence_stream(
+    events: DataFrame, tiebreak: str, path: str, checkpoint: str, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Sequence checks of a stream; every row gets a result, however late it arrives.
+
+    Rows are answered in the order of their micro-batches, and within one in the order of
+    their receipt. The highest id of each key is a table of one row per key under
+    ``path/marks``; results are under ``path/checked``. A batch reads the marks that the one
+    before has left and overwrites its own folders, so one that is repeated gives the same.
     """
     numbered = events.select(
         *WRITER_KEY, "timestamp_collector", tiebreak, numeric_sequence("exchange_sequence_id").alias("sequence"),
     ).where(F.col("sequence").isNotNull())
-    output = T.StructType(numbered.schema.fields + [
-        T.StructField("result", T.StringType()), T.StructField("gap_size", T.LongType())])
-    state_type = T.StructType([T.StructField("highest", T.LongType())])
-    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
-    order = ["timestamp_collector", tiebreak]
-
-    def check(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
-        current = rows["sequence"].to_numpy(dtype="int64")
-        known = state.exists
-        carried = np.int64(state.get[0]) if known else np.iinfo("int64").min
-        before = np.maximum.accumulate(np.concatenate([[carried], current]))[:-1]
-        ahead = (current > before) & (current - 1 > before)
-        result = np.select(
-            [current == before, current < before, ahead], ["duplicate", "out_of_order", "gap"], "ok").astype(object)
-        gap = np.where(ahead, current - 1 - before, 0)
-        if not known:
-            result[0], gap[0] = "first", 0
-        state.update((int(max(carried, current.max())),))
-        latest_ms = int(rows["timestamp_collector"].iloc[-1]) // 1000
-        state.setTimeoutTimestamp(max(latest_ms, state.getCurrentWatermarkMs()) + idle_ms)
-        yield rows.assign(result=result, gap_size=gap)[[field.name for field in output]]
-
-    return with_receipt_time(numbered, watermark).groupBy(*WRITER_KEY).applyInPandasWithState(
-        check, output, state_type, "append", GroupStateTimeout.EventTimeTimeout)
-
+    shape = ", ".join(f"{key} string" for key in WRITER_KEY) + ", highest bigint"
+
+    def check(batch: DataFrame, batch_id: int) -> None:
+        marks = _marks(batch.sparkSession, f"{path}/marks", batch_id, shape)
+        marked = with_previous(batch, WRITER_KEY, ["timestamp_collector", tiebreak], {"__within": Previous("max", "sequence")})
+        before = F.greatest("__within", "highest")
+        ahead = F.col("sequence") - 1 > before
+        result = F.when(before.isNull(), "first").when(F.col("sequence") == before, "duplicate") \
+            .when(F.col("sequence") < before, "out_of_order").when(ahead, "gap").otherwise("ok")
+        gap = F.when(ahead, F.col("sequence") - 1 - before).otherwise(0)
+        marked.join(marks, WRITER_KEY, "left").select(*numbered.columns, result.alias("result"), gap.alias("gap_size")) \
+            .write.mode("overwrite").parquet(f"{path}/checked/batch={batch_id}")
+        reached = batch.groupBy(*WRITER_KEY).agg(F.max("sequence").alias("highest"))
+        marks.unionByName(reached).groupBy(*WRITER_KEY).agg(F.max("highest").alias("highest")) \
+            .write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
+
+    return numbered.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint) \
+        .trigger(**(trigger or {"availableNow": True})).start()
+
+
+def checked_rows(spark: SparkSession, path: str, tiebreak: str) -> DataFrame:
+    """What a sequence stream has written under ``path``."""
+    keys = ", ".join(f"{key} string" for key in WRITER_KEY)
+    shape = f"{keys}, timestamp_collector bigint, {tiebreak} bigint, sequence bigint, result string, gap_size bigint"
+    return spark.read.schema(shape).parquet(f"{path}/checked")
