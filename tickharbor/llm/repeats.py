@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickharbor.llm.tables import drop_shuffles
 from tickharbor.llm.textbytes import SpanHash, column_bytes, mix, row_blocks
 from tickharbor.session import stored
 
@@ -202,6 +203,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     Spans may overlap and pass the ends of the text by up to LENGTH bytes; those that a text cuts below LENGTH
     bytes do not count.
     """
+    drop_shuffles(documents.sparkSession)
     docs = _documents(documents)
     seen = docs.select("doc", "text_key", "text").mapInArrow(_occurrences, "anchor long, context long, doc long, tag long")
     often = seen.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")

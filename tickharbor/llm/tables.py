@@ -18,6 +18,11 @@ def tasks_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let every job delete its shuffle files when it ends, for operators that write a table after each large shuffle."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def vocabulary(name: str) -> str:
     """Path of a vocabulary file of the installed public tokenizers."""
     import public_tokenizers
