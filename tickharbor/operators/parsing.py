@@ -91,7 +91,7 @@ def _rule_columns(names: tuple[str, ...], application: str) -> _RuleColumns:
 def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFrame:
     """Classify every frame and read its symbol, sequence id and venue time.
 
-    The input columns stay; ``PARSED_COLUMNS`` and the normalised ``symbol`` are added. A frame that does not parse,
+    The input columns stay, the venue in lower case; ``PARSED_COLUMNS`` and the normalised ``symbol`` are added. A frame that does not parse,
     or that comes from an unknown venue, becomes a row of kind ``error``; it never
     fails the job. Three projections: parse once, pick the rule, read that rule's
     fields. The VARIANT is used several times in each step, so Catalyst keeps it in
@@ -104,7 +104,7 @@ def parse_frames(frames: DataFrame, venues: list[str] | None = None) -> DataFram
     documents = frames.withColumn("__document", enclose(F.col("frame"))).withColumn("__chosen", columns.chosen)
     ruled = documents.select("*", F.explode(F.array("__chosen")).alias("__rule"))
     return ruled.select(
-        *[F.col(name) for name in frames.columns],
+        *[F.lower(name).alias(name) if name == "exchange" else F.col(name) for name in frames.columns],
         columns.kind.alias("kind"),
         columns.error.cast("string").alias("error"),
         *[column.alias(name) for name, column in columns.fields.items()],

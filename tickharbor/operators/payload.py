@@ -37,24 +37,34 @@ TRADE_SHAPES = {
     "upbit": "tp string, tv string, ab string, ttms bigint, sid string, trade_price string, trade_volume string, "
              "ask_bid string, trade_timestamp bigint, sequential_id string",
 }
-LEVEL = "array<struct<side string, position int, price string, size string, orders string>>"
+# ``part`` numbers the events or elements of one frame, which may each replace the book. A part that
+# replaces the book has a mark: a level without side, price and size, at position -1.
+LEVEL = "array<struct<part int, snapshot boolean, side string, position int, price string, size string, orders string>>"
 FILL = "array<struct<trade_id string, price string, size string, side string, trade_time_us bigint>>"
 AMOUNT = "decimal(38,18)"
 
 
-def _level(side, position, price, size, orders=None) -> Column:
+def _level(side, position, price, size, orders=None, part=None, snapshot=None) -> Column:
     return F.struct(
-        side.alias("side"), position.cast("int").alias("position"), price.alias("price"), size.alias("size"),
+        (F.lit(0) if part is None else part.cast("int")).alias("part"),
+        (F.lit(True) if snapshot is None else F.coalesce(snapshot, F.lit(False))).alias("snapshot"), side.alias("side"), position.cast("int").alias("position"), price.alias("price"), size.alias("size"),
         (F.lit(None).cast("string") if orders is None else orders).alias("orders"))
 
 
-def _ladder(levels: Column, side: str, with_orders: bool = False) -> Column:
+def _ladder(levels: Column, side: str, orders: bool = False, part: Column | None = None, snapshot: Column | None = None) -> Column:
     """A list of [price, size, ...] to levels; a missing list is empty."""
     opened = F.transform(levels, lambda level, i: _level(
-        F.lit(side), i, F.get(level, F.lit(0)), F.get(level, F.lit(1)), F.get(level, F.lit(3)) if with_orders else None))
+        F.lit(side), i, F.get(level, F.lit(0)), F.get(level, F.lit(1)), F.get(level, F.lit(3)) if orders else None, part, snapshot))
     return F.coalesce(opened, F.array().cast(LEVEL))
 
 
+def _mark(snapshot: Column | None = None, part: Column | None = None) -> Column:
+    """The mark of a part that replaces the book; nothing for one that does not."""
+    nothing = F.lit(None).cast("string")
+    mark = F.array(_level(nothing, F.lit(-1), nothing, nothing, None, part, None)).cast(LEVEL)
+    return mark if snapshot is None else F.when(F.coalesce(snapshot, F.lit(False)), mark).otherwise(F.array().cast(LEVEL))
+
+
 def _book_side(word: Column) -> Column:
     """Venue words for a side of the book."""
     lowered = F.lower(word)
@@ -62,37 +72,33 @@ def _book_side(word: Column) -> Column:
 
 
 def _book_levels(venue: str, p: Column) -> Column:
+    """Levels and marks of a book message. Depth frames and unit lists always replace the book."""
+    empty = F.array().cast(LEVEL)
     if venue == "binance":
-        return F.concat(_ladder(p["bids"], "bid"), _ladder(p["asks"], "ask"))
+        return F.concat(_mark(), _ladder(p["bids"], "bid"), _ladder(p["asks"], "ask"))
     if venue == "okx":
-        return F.flatten(F.transform(p["data"], lambda d: F.concat(
-            _ladder(d["bids"], "bid", True), _ladder(d["asks"], "ask", True))))
+        whole = p["action"] == "snapshot"
+        return F.coalesce(F.flatten(F.transform(p["data"], lambda d, n: F.concat(
+            _mark(whole, n), _ladder(d["bids"], "bid", True, n, whole), _ladder(d["asks"], "ask", True, n, whole)))), _mark(whole))
     if venue == "bybit":
-        return F.concat(_ladder(p["data"]["b"], "bid"), _ladder(p["data"]["a"], "ask"))
+        whole = p["type"] == "snapshot"
+        return F.concat(_mark(whole), _ladder(p["data"]["b"], "bid", snapshot=whole), _ladder(p["data"]["a"], "ask", snapshot=whole))
     if venue == "coinbase":
-        changes = F.transform(p["changes"], lambda c, i: _level(_book_side(F.get(c, F.lit(0))), i, F.get(c, F.lit(1)), F.get(c, F.lit(2))))
-        updates = F.flatten(F.transform(p["events"], lambda e: F.coalesce(F.transform(e["updates"], lambda u, i: _level(
-            _book_side(u["side"]), i, u["price_level"], u["new_quantity"])), F.array().cast(LEVEL))))
-        empty = F.array().cast(LEVEL)
-        return F.concat(_ladder(p["bids"], "bid"), _ladder(p["asks"], "ask"),
+        whole = p["type"] == "snapshot"
+        changes = F.transform(p["changes"], lambda c, i: _level(
+            _book_side(F.get(c, F.lit(0))), i, F.get(c, F.lit(1)), F.get(c, F.lit(2)), snapshot=whole))
+        updates = F.flatten(F.transform(p["events"], lambda e, n: F.concat(
+            _mark(e["type"] == "snapshot", n), F.coalesce(F.transform(e["updates"], lambda u, i: _level(
+                _book_side(u["side"]), i, u["price_level"], u["new_quantity"], None, n, e["type"] == "snapshot")), empty))))
+        return F.concat(_mark(whole), _ladder(p["bids"], "bid", snapshot=whole), _ladder(p["asks"], "ask", snapshot=whole),
                         F.coalesce(changes, empty), F.coalesce(updates, empty))
     units = F.coalesce(p["obu"], p["orderbook_units"])
     return F.concat(
+        _mark(),
         F.coalesce(F.transform(units, lambda u, i: _level(
-            F.lit("bid"), i, F.coalesce(u["bp"], u["bid_price"]), F.coalesce(u["bs"], u["bid_size"]))), F.array().cast(LEVEL)),
+            F.lit("bid"), i, F.coalesce(u["bp"], u["bid_price"]), F.coalesce(u["bs"], u["bid_size"]))), empty),
         F.coalesce(F.transform(units, lambda u, i: _level(
-            F.lit("ask"), i, F.coalesce(u["ap"], u["ask_price"]), F.coalesce(u["as"], u["ask_size"]))), F.array().cast(LEVEL)))
-
-
-def _is_snapshot(venue: str, p: Column) -> Column:
-    """Whether a book message replaces the book. Depth frames and unit lists always do."""
-    if venue in ("binance", "upbit"):
-        return F.lit(True)
-    if venue == "okx":
-        return F.coalesce(p["action"] == "snapshot", F.lit(False))
-    if venue == "bybit":
-        return F.coalesce(p["type"] == "snapshot", F.lit(False))
-    return F.coalesce(p["type"] == "snapshot", F.get(p["events"], F.lit(0))["type"] == "snapshot", F.lit(False))
+            F.lit("ask"), i, F.coalesce(u["ap"], u["ask_price"]), F.coalesce(u["as"], u["ask_size"]))), empty))
 
 
 def _fill(trade_id, price, size, side, time_us) -> Column:
@@ -143,18 +149,21 @@ def _by_venue(shapes: dict[str, str], opened) -> Column:
     return chain
 
 
-def explode_levels(events: DataFrame, *keep: str) -> DataFrame:
-    """One row per price level of every order-book message."""
+def _levels_and_marks(events: DataFrame, *keep: str) -> DataFrame:
     head = [*keep, *WRITER_KEY[:2], "timestamp_collector", "timestamp_exchange"]
     books = _open_payloads(events.where(F.col("data_type") == "orderbook"), BOOK_SHAPES, head)
-    snapshot = _by_venue(BOOK_SHAPES, _is_snapshot).alias("snapshot")
     levels = _by_venue(BOOK_SHAPES, lambda venue, p: _book_levels(venue, p).cast(LEVEL))
-    return books.select(*head, snapshot, F.inline(levels)).select(
-        *head, "snapshot", "side", "position",
+    return books.select(*head, F.inline(levels)).select(
+        *head, "part", "snapshot", "side", "position",
         F.col("price").try_cast(AMOUNT).alias("price"), F.col("size").try_cast(AMOUNT).alias("size"),
         F.col("orders").try_cast("bigint").alias("orders"))
 
 
+def explode_levels(events: DataFrame, *keep: str) -> DataFrame:
+    """One row per price level of every order-book message, in order of ``part`` and ``position`` within it."""
+    return _levels_and_marks(events, *keep).where(F.col("position") >= 0)
+
+
 def explode_trades(events: DataFrame, *keep: str) -> DataFrame:
     """One row per fill of every trade message."""
     head = [*keep, *WRITER_KEY[:2], "timestamp_collector"]
@@ -176,21 +185,22 @@ def book_totals(events: DataFrame, *keep: str) -> DataFrame:
         F.coalesce("__book.tbs", "__book.total_bid_size").try_cast(AMOUNT).alias("total_bid_size"))
 
 
-def current_book(levels: DataFrame, tiebreak: str, at_us: int | None = None) -> DataFrame:
+def current_book(events: DataFrame, tiebreak: str, at_us: int | None = None) -> DataFrame:
     """The book per symbol: the last size at each price since the latest snapshot; size 0 removes.
 
-    The levels are read once. One aggregation keeps the last size of each price level and
-    the latest snapshot that holds it, on the map side first, however hot a symbol or level
-    is. The latest snapshot of a symbol is the maximum over its levels; a level whose last
-    size is older than that is no longer in the book. A symbol without a snapshot starts
-    from its first update.
+    The payloads are opened once. One aggregation keeps the last size of each price level, on
+    the map side first, however hot a symbol or level is; the mark of a snapshot is kept like
+    a level, so one without levels empties the book too. A level whose last size is older
+    than the symbol's latest snapshot is no longer in the book. A symbol without a snapshot
+    starts from its first update. Parts of a frame count one after another.
     """
     keys = WRITER_KEY[:2]
-    seen = levels if at_us is None else levels.where(F.col("timestamp_collector") <= at_us)
-    moment = F.struct("timestamp_collector", tiebreak)
-    order = F.struct("timestamp_collector", tiebreak, "position")
-    last = stored(seen.groupBy(*keys, "side", "price").agg(
-        F.max_by("size", order).alias("size"), F.max(moment).alias("__updated"), F.max(F.when(F.col("snapshot"), moment)).alias("__snapshot")), "levels")
+    seen = events if at_us is None else events.where(F.col("timestamp_collector") <= at_us)
+    moment = F.struct("timestamp_collector", tiebreak, "part")
+    order = F.struct("timestamp_collector", tiebreak, "part", "position")
+    last = stored(_levels_and_marks(seen, tiebreak).groupBy(*keys, "side", "price").agg(
+        F.max_by("size", order).alias("size"), F.max(moment).alias("__updated"),
+        F.max(F.when(F.col("position") < 0, moment)).alias("__snapshot")), "levels")
     start = last.groupBy(*keys).agg(F.max("__snapshot").alias("__start"))
     current = last.join(start, keys).where(F.col("__start").isNull() | (F.col("__updated") >= F.col("__start")))
     return current.where(F.col("size") > 0).select(

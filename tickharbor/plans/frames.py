@@ -60,8 +60,8 @@ add("binance_trade_counts", lambda spark, d: market_events(parse_venue(landed_fr
     "PRS-B4, AGG-1", f"""WITH {DUCK_EXPECTED} SELECT exchange, symbol, kind AS data_type, count(*) AS messages
 FROM expected WHERE exchange = 'binance' AND kind = 'trade' GROUP BY ALL""")
 
-add("frame_sample", lambda spark, d: sample_frames(landed_frames(spark, d), 0.01).select("event_id", "exchange", "frame"), "FLT-8",
-    f"WITH {DUCK_FRAMES} SELECT event_id, exchange, frame FROM landed WHERE CAST('0x' || substr(md5(frame), 1, 8) AS BIGINT) < {int(0.01 * 2**32)}")
+add("frame_sample", lambda spark, d: sample_frames(landed_frames(spark, d), 0.01).select("event_id", "frame"), "FLT-8",
+    f"WITH {DUCK_FRAMES} SELECT event_id, frame FROM landed WHERE CAST('0x' || substr(md5(frame), 1, 8) AS BIGINT) < {int(0.01 * 2**32)}")
 
 
 def _scalar_functions(spark, d):

@@ -19,42 +19,45 @@ def _amount(text: str) -> str:
     return f"CAST({text} AS DECIMAL(38,18))"
 
 
-def _list_levels(path: str, side: str, orders: str = "NULL") -> str:
-    return f"""SELECT event_id, '{side}' AS side, i - 1 AS position, lv ->> '$[0]' AS price, lv ->> '$[1]' AS size, {orders} AS orders
-FROM (SELECT event_id, unnest(CAST(j -> '{path}' AS JSON[])) AS lv, generate_subscripts(CAST(j -> '{path}' AS JSON[]), 1) AS i FROM books WHERE {{where}})"""
+# The parts of every book message: events, elements of data, or the whole message.
+_PARTS = """books AS MATERIALIZED (SELECT event_id, exchange, symbol, timestamp_collector, timestamp_exchange_us AS timestamp_exchange, CAST(data AS JSON) AS j
+  FROM expected WHERE kind = 'orderbook'),
+parts AS MATERIALIZED (
+  SELECT event_id, exchange, 0 AS part, coalesce(exchange IN ('binance', 'upbit') OR j ->> '$.type' = 'snapshot', false) AS snapshot, j AS e
+  FROM books WHERE exchange <> 'okx' AND (exchange <> 'coinbase' OR (j -> '$.events') IS NULL)
+  UNION ALL SELECT event_id, exchange, i - 1, coalesce(e ->> '$.type' = 'snapshot', false), e FROM (
+    SELECT event_id, exchange, unnest(CAST(j -> '$.events' AS JSON[])) AS e, generate_subscripts(CAST(j -> '$.events' AS JSON[]), 1) AS i
+    FROM books WHERE exchange = 'coinbase' AND (j -> '$.events') IS NOT NULL)
+  UNION ALL SELECT event_id, exchange, i - 1, coalesce(action = 'snapshot', false), e FROM (
+    SELECT event_id, exchange, j ->> '$.action' AS action, unnest(CAST(j -> '$.data' AS JSON[])) AS e, generate_subscripts(CAST(j -> '$.data' AS JSON[]), 1) AS i
+    FROM books WHERE exchange = 'okx'))"""
+
+
+def _list_levels(venue: str, path: str, side: str, price: str = "$[0]", size: str = "$[1]", orders: str = "NULL") -> str:
+    return f"""SELECT event_id, part, snapshot, {side} AS side, i - 1 AS position, lv ->> '{price}' AS price, lv ->> '{size}' AS size, {orders} AS orders
+FROM (SELECT event_id, part, snapshot, unnest(CAST(e -> '{path}' AS JSON[])) AS lv, generate_subscripts(CAST(e -> '{path}' AS JSON[]), 1) AS i
+  FROM parts WHERE exchange = '{venue}')"""
 
 
 def _levels(venue: str) -> str:
     """Levels of one venue's books by the JSON functions of the comparison engine."""
-    if venue == "binance":
-        parts = [_list_levels("$.bids", "bid"), _list_levels("$.asks", "ask")]
-    elif venue == "okx":
-        parts = [_list_levels("$.data[0].bids", "bid", "lv ->> '$[3]'"), _list_levels("$.data[0].asks", "ask", "lv ->> '$[3]'")]
-    elif venue == "bybit":
-        parts = [_list_levels("$.data.b", "bid"), _list_levels("$.data.a", "ask")]
-    elif venue == "coinbase":
-        parts = [_list_levels("$.bids", "bid"), _list_levels("$.asks", "ask"),
-                 """SELECT event_id, CASE lv ->> '$[0]' WHEN 'buy' THEN 'bid' ELSE 'ask' END AS side, i - 1 AS position, lv ->> '$[1]' AS price, lv ->> '$[2]' AS size, NULL AS orders
-FROM (SELECT event_id, unnest(CAST(j -> '$.changes' AS JSON[])) AS lv, generate_subscripts(CAST(j -> '$.changes' AS JSON[]), 1) AS i FROM books WHERE {where})""",
-                 """SELECT event_id, CASE lv ->> '$.side' WHEN 'bid' THEN 'bid' ELSE 'ask' END AS side, i - 1 AS position, lv ->> '$.price_level' AS price, lv ->> '$.new_quantity' AS size, NULL AS orders
-FROM (SELECT event_id, unnest(CAST(j -> '$.events[0].updates' AS JSON[])) AS lv, generate_subscripts(CAST(j -> '$.events[0].updates' AS JSON[]), 1) AS i FROM books WHERE {where})"""]
+    ladders = {"binance": ("$.bids", "$.asks"), "coinbase": ("$.bids", "$.asks"), "okx": ("$.bids", "$.asks"), "bybit": ("$.data.b", "$.data.a")}
+    if venue == "upbit":
+        lists = [_list_levels(venue, "$.obu", f"'{side}'", p, q) for side, p, q in (("bid", "$.bp", "$.bs"), ("ask", "$.ap", "$.as"))]
     else:
-        parts = [f"""SELECT event_id, '{side}' AS side, i - 1 AS position, u ->> '$.{p}' AS price, u ->> '$.{q}' AS size, NULL AS orders
-FROM (SELECT event_id, unnest(CAST(j -> '$.obu' AS JSON[])) AS u, generate_subscripts(CAST(j -> '$.obu' AS JSON[]), 1) AS i FROM books WHERE {{where}})"""
-                 for side, p, q in (("bid", "bp", "bs"), ("ask", "ap", "as"))]
-    return " UNION ALL ".join(parts).replace("{where}", f"exchange = '{venue}'")
-
-
-_SNAPSHOT = """CASE exchange WHEN 'binance' THEN true WHEN 'upbit' THEN true WHEN 'okx' THEN j ->> '$.action' = 'snapshot'
-  WHEN 'bybit' THEN j ->> '$.type' = 'snapshot' ELSE coalesce(j ->> '$.type', j ->> '$.events[0].type') = 'snapshot' END"""
+        orders = "lv ->> '$[3]'" if venue == "okx" else "NULL"
+        lists = [_list_levels(venue, path, f"'{side}'", orders=orders) for path, side in zip(ladders[venue], ("bid", "ask"))]
+    if venue == "coinbase":
+        lists += [_list_levels(venue, "$.changes", "CASE lv ->> '$[0]' WHEN 'buy' THEN 'bid' ELSE 'ask' END", "$[1]", "$[2]"),
+                  _list_levels(venue, "$.updates", "CASE lv ->> '$.side' WHEN 'bid' THEN 'bid' ELSE 'ask' END", "$.price_level", "$.new_quantity")]
+    return " UNION ALL ".join(lists)
 
 
 def _duck_books(venues) -> str:
     return f"""{DUCK_EXPECTED},
-books AS MATERIALIZED (SELECT event_id, exchange, symbol, timestamp_collector, timestamp_exchange_us AS timestamp_exchange, CAST(data AS JSON) AS j
-  FROM expected WHERE kind = 'orderbook'),
-levels AS (SELECT b.event_id, exchange, symbol, timestamp_collector, timestamp_exchange, {_SNAPSHOT} AS snapshot, side, CAST(position AS INTEGER) AS position,
-  {_amount('price')} AS price, {_amount('size')} AS size, CAST(orders AS BIGINT) AS orders
+{_PARTS},
+levels AS (SELECT b.event_id, exchange, symbol, timestamp_collector, timestamp_exchange, CAST(part AS INTEGER) AS part, snapshot, side,
+  CAST(position AS INTEGER) AS position, {_amount('price')} AS price, {_amount('size')} AS size, CAST(orders AS BIGINT) AS orders
   FROM books b JOIN ({' UNION ALL '.join(_levels(v) for v in venues)}) l ON b.event_id = l.event_id)"""
 
 
@@ -86,11 +89,12 @@ f AS (
   UNION ALL SELECT *, j ->> '$.sid', j ->> '$.tp', j ->> '$.tv', CASE j ->> '$.ab' WHEN 'ASK' THEN 'sell' ELSE 'buy' END FROM t WHERE exchange = 'upbit')
 SELECT event_id, exchange, symbol, timestamp_collector, trade_id, {_amount('price')} AS price, {_amount('size')} AS size, side, ts_ms_us AS trade_time_us FROM f""")
 
-add("current_book", lambda spark, d: current_book(explode_levels(_events(spark, d), "event_id"), "event_id"), "PAY-7",
+add("current_book", lambda spark, d: current_book(_events(spark, d), "event_id"), "PAY-7",
     f"""WITH {_duck_books(VENUES)},
-starts AS (SELECT exchange, symbol, max(ROW(timestamp_collector, event_id)) AS start FROM levels WHERE snapshot GROUP BY ALL),
+starts AS (SELECT b.exchange, symbol, max(ROW(timestamp_collector, b.event_id, CAST(part AS INTEGER))) AS start
+  FROM books b JOIN parts p ON b.event_id = p.event_id WHERE snapshot GROUP BY ALL),
 since AS (SELECT l.* FROM levels l LEFT JOIN starts s ON l.exchange = s.exchange AND l.symbol = s.symbol
-  WHERE start IS NULL OR ROW(timestamp_collector, event_id) >= start),
+  WHERE start IS NULL OR ROW(timestamp_collector, event_id, part) >= start),
 latest AS (SELECT exchange, symbol, side, price, size, max(timestamp_collector) OVER (PARTITION BY exchange, symbol, side, price) AS updated_us FROM since
-  QUALIFY row_number() OVER (PARTITION BY exchange, symbol, side, price ORDER BY timestamp_collector DESC, event_id DESC, position DESC) = 1)
+  QUALIFY row_number() OVER (PARTITION BY exchange, symbol, side, price ORDER BY timestamp_collector DESC, event_id DESC, part DESC, position DESC) = 1)
 SELECT * FROM latest WHERE size > 0""")

@@ -10,7 +10,7 @@ from tickharbor.operators.parsing import market_events, parse_frames
 from tickharbor.plans.catalog import add
 from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.plans.quality import DUCK_CHECKED
-from tickharbor.session import configure, work_folder
+from tickharbor.session import configure, stored, work_folder
 from tickharbor.sources import archive as A
 from tickharbor.sources.frames import read_frames
 from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_base
@@ -110,9 +110,15 @@ add("stream_counters", _stream_counters, "STR-9, STR-1", f"""WITH {DUCK_EXPECTED
 SELECT 'archived' AS name, count(*) AS rows, max(timestamp_collector) AS last_us FROM expected WHERE kind IN ('orderbook', 'trade')""")
 
 def _stream_sequence_check(spark, d):
-    """Several micro-batches in order of receipt; their files do not overlap in time, so the batch form says the same."""
-    path = work_folder(spark, "sequence")
-    ingest.drain([state.sequence_stream(_stream_of(spark, d, market_base, _BATCHES, batch=1), "event_id", path, work_folder(spark, "checkpoint"))])
+    """Rows land in stretches of time, and the stream goes on after each: the batch form says the same."""
+    rows = stored(market_base(spark, d), "market")
+    low, high = rows.agg(F.min("timestamp_collector"), F.max("timestamp_collector")).first()
+    width = (high - low) // _BATCHES + 1 if low is not None else 1
+    landed, path, checkpoint = (work_folder(spark, name) for name in ("landed", "sequence", "checkpoint"))
+    for stretch in range(_BATCHES):
+        rows.where(F.floor((F.col("timestamp_collector") - (low or 0)) / width) == stretch).write.mode("append").parquet(landed)
+        source = configure(spark).readStream.schema(rows.schema).parquet(landed)
+        ingest.drain([state.sequence_stream(source, "event_id", path, checkpoint)])
     return state.checked_rows(spark, path, "event_id")
 
 

@@ -9,6 +9,7 @@ different names, and those are filled in per dialect.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickharbor.session import configure, spread
 
@@ -68,12 +69,15 @@ WHEN 'coinbase trade' THEN CASE WHEN event_id % 2 = 0
 WHEN 'coinbase orderbook' THEN CASE event_id % 5
   WHEN 0 THEN '{"type":"l2update","product_id":"' || native_symbol || '","time":"' || iso || '","changes":[["buy","' || px || '","1.5"],["sell","' || px_up || '","0"]]}'
   WHEN 1 THEN '{"type":"snapshot","product_id":"' || native_symbol || '","time":"' || iso || '","bids":[["' || px || '","3"]],"asks":[["' || px_up || '","4"]]}'
-  ELSE '{"channel":"l2_data","timestamp":"' || iso || '","sequence_num":' || seq || ',"events":[{"type":"' || CASE WHEN event_id % 10 = 2 THEN 'snapshot' ELSE 'update' END || '","product_id":"' || native_symbol || '","updates":[{"side":"bid","price_level":"' || px || '","new_quantity":"1"},{"side":"offer","price_level":"' || px_up || '","new_quantity":"' || CASE WHEN event_id % 3 = 1 THEN '0' ELSE '2' END || '"}]}]}' END
+  ELSE '{"channel":"l2_data","timestamp":"' || iso || '","sequence_num":' || seq || ',"events":[{"type":"' || CASE WHEN event_id % 10 = 2 THEN 'snapshot' ELSE 'update' END || '","product_id":"' || native_symbol || '","updates":[{"side":"bid","price_level":"' || px || '","new_quantity":"1"},{"side":"offer","price_level":"' || px_up || '","new_quantity":"' || CASE WHEN event_id % 3 = 1 THEN '0' ELSE '2' END || '"}]}'
+    || CASE WHEN event_id % 6 = 4 THEN ',{"type":"update","product_id":"' || native_symbol || '","updates":[{"side":"bid","price_level":"' || px || '","new_quantity":"7"}]}'
+       WHEN event_id % 6 = 5 THEN ',{"type":"snapshot","product_id":"' || native_symbol || '","updates":[]}' ELSE '' END || ']}' END
 WHEN 'okx trade' THEN
   '{"arg":{"channel":"trades","instId":"' || native_symbol || '"},"data":[{"instId":"' || native_symbol || '","tradeId":"' || seq || '","px":"' || px || '","sz":"0.12","side":"buy","ts":"' || ts_ms || '"}'
     || CASE WHEN event_id % 4 = 0 THEN ',{"instId":"' || native_symbol || '","tradeId":"' || event_id || '5","px":"' || px_up || '","sz":"0.3","side":"sell","ts":"' || ts_ms || '"}' ELSE '' END || ']}'
 WHEN 'okx orderbook' THEN
-  '{"arg":{"channel":"books","instId":"' || native_symbol || '"},"action":"' || CASE WHEN event_id % 10 = 1 THEN 'snapshot' ELSE 'update' END || '","data":[{"asks":[["' || px_up || '","' || CASE WHEN event_id % 4 = 1 THEN '0' ELSE '3' END || '","0","1"]],"bids":[["' || px || '","2","0","2"]],"ts":"' || ts_ms || '","seqId":' || seq || '}]}'
+  '{"arg":{"channel":"books","instId":"' || native_symbol || '"},"action":"' || CASE WHEN event_id % 10 = 1 THEN 'snapshot' ELSE 'update' END || '","data":[{"asks":[["' || px_up || '","' || CASE WHEN event_id % 4 = 1 THEN '0' ELSE '3' END || '","0","1"]],"bids":[["' || px || '","2","0","2"]],"ts":"' || ts_ms || '","seqId":' || seq || '}'
+    || CASE WHEN event_id % 6 = 1 THEN ',{"asks":[],"bids":[["' || px || '","6","0","3"]],"ts":"' || ts_ms || '","seqId":' || (seq + 1) || '}' ELSE '' END || ']}'
 WHEN 'bybit trade' THEN
   '{"topic":"publicTrade.' || native_symbol || '","type":"snapshot","ts":' || ts_ms || ',"data":[{"i":"' || seq || '","T":' || ts_ms || ',"p":"' || px || '","v":"0.001","S":"' || CASE WHEN event_id % 2 = 0 THEN 'Buy' ELSE 'Sell' END || '","s":"' || native_symbol || '","BT":false}]}'
 WHEN 'bybit orderbook' THEN
@@ -119,9 +123,10 @@ def market_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw_frames`` as landed, with the event id to compare by."""
+    """``raw_frames`` as landed, with the event id to compare by. One frame in 13 spells its venue with a capital."""
     landed = _project(_project(market_base(spark, sf_dir), _FRAME), _LANDED)
-    return landed.select("event_id", "exchange", "native_symbol", "feed", "timestamp_collector", "frame")
+    spelled = F.when(F.col("event_id") % 13 == 0, F.initcap("exchange")).otherwise(F.col("exchange"))
+    return landed.select("event_id", spelled.alias("exchange"), "native_symbol", "feed", "timestamp_collector", "frame")
 
 
 # The same derivations as common table expressions for the comparison engine.

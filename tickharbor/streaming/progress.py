@@ -41,7 +41,7 @@ def counter_stream(rows: DataFrame, name: str, path: str, checkpoint: str, trigg
 
 def counted(spark: SparkSession, path: str) -> DataFrame:
     """``name, rows, last_us`` over all batches of a counter stream."""
-    batches = spark.read.schema("name string, rows bigint, last_us bigint").parquet(path)
+    batches = spark.read.schema("name string, rows bigint, last_us bigint").parquet(path).drop("batch")
     return batches.groupBy("name").agg(F.sum("rows").alias("rows"), F.max("last_us").alias("last_us"))
 
 

@@ -97,4 +97,4 @@ def checked_rows(spark: SparkSession, path: str, tiebreak: str) -> DataFrame:
     """What a sequence stream has written under ``path``."""
     keys = ", ".join(f"{key} string" for key in WRITER_KEY)
     shape = f"{keys}, timestamp_collector bigint, {tiebreak} bigint, sequence bigint, result string, gap_size bigint"
-    return spark.read.schema(shape).parquet(f"{path}/checked")
+    return spark.read.schema(shape).parquet(f"{path}/checked").drop("batch")
