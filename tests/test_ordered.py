@@ -108,3 +108,5 @@ def test_first_arrivals_keeps_one_of_each(events):
     assert kept == expected
     dropped = sum(row.dropped for row in Q.duplicates_dropped(df).collect())
     assert dropped == len(rows) - len(expected)
+    plan = Q.first_arrivals(df, "event_id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,16 +127,22 @@ def gap_sizes(checked: DataFrame) -> DataFrame:
 
 
 def first_arrivals(events: DataFrame, tiebreak: str, keys: list[str] = WRITER_KEY) -> DataFrame:
-    """One row per (key, sequence id): the first to arrive.
+    """One row per (key, sequence id): the first to arrive. ``tiebreak`` tells rows of one receipt apart.
 
-    A minimum over (receipt, tiebreak, rest of the row) instead of a ranking, so that
-    map-side aggregation collapses a group of copies before the shuffle.
+    Only the identity and the order of a row are aggregated, with receipt and tiebreak packed
+    into one number of fixed width, so that it is a hash aggregation that collapses a group of
+    copies on the map side. Groups with one row are left out of what is joined: where copies
+    are rare that is small, and the rows themselves are neither shuffled nor sorted.
     """
     identity = [*keys, "exchange_sequence_id"]
-    rest = [name for name in events.columns if name not in {*identity, "timestamp_collector", tiebreak}]
-    row = F.struct("timestamp_collector", tiebreak, *rest)
-    kept = events.groupBy(*identity).agg(F.min(row).alias("__first"))
-    return kept.select(*identity, "__first.*").select(*events.columns)
+    order = (F.col("timestamp_collector").cast("decimal(38,0)") * F.lit(str(10**19)).cast("decimal(20,0)")
+             + F.col(tiebreak).cast("decimal(38,0)")).cast("decimal(38,0)")
+    ordered = events.withColumn("__order", order)
+    copies = (ordered.groupBy(*identity).agg(F.count("*").alias("__rows"), F.min("__order").alias("__first"))
+              .where("__rows > 1").select(*[F.col(name).alias(f"__{name}") for name in identity], "__first"))
+    later = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in identity]) \
+        & (F.col("__order") > F.col("__first"))
+    return ordered.join(copies, later, "left_anti").drop("__order")
 
 
 def duplicates_dropped(events: DataFrame, keys: list[str] = WRITER_KEY) -> DataFrame:

@@ -134,21 +134,38 @@ def _stream_dedup(spark, d):
 add("stream_dedup", _stream_dedup, "STR-5, WIN-2",
     f"WITH {DUCK_MARKET} SELECT DISTINCT exchange, symbol, data_type, exchange_sequence_id FROM priced")
 
-# A watermark has millisecond precision and trails the latest receipt by a minute.
-_PASSED = "(SELECT max(timestamp_collector) // 1000 * 1000 - 60000000 FROM {})"
+# Later than the latest receipt by more than any window, gap or watermark here.
+_CLOSE_SECONDS = 3 * 86_400
 
-add("stream_error_windows", lambda spark, d: _to_table(state.parse_error_stream(
-    parse_frames(_stream_of(spark, d)), window_seconds=86_400, ratio=0.1, min_samples=5)), "STR-3, AGG-5",
+
+def _closed(spark, d, table, stream):
+    """Run a stream over the landed table, land its closing row, and run on: nothing is left open."""
+    path, schema = _landed(spark, d, table)
+    target, checkpoint = work_folder(spark, "stream-table"), work_folder(spark, "checkpoint")
+    landed = spark.read.schema(schema).parquet(path)
+    for last in (False, True):
+        if last:
+            stored(state.closing_row(landed, _CLOSE_SECONDS), "closing-row").write.mode("append").parquet(path)
+        rows = stream(configure(spark).readStream.schema(schema).parquet(path))
+        ingest.drain([rows.writeStream.format("parquet").option("path", target).outputMode("append")
+                      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()])
+    return spark.read.schema(rows.schema).parquet(target)
+
+
+def _error_windows(frames):
+    return state.parse_error_stream(parse_frames(frames), window_seconds=86_400, ratio=0.1, min_samples=5)
+
+
+add("stream_error_windows", lambda spark, d: _closed(spark, d, landed_frames, _error_windows), "STR-3, AGG-5",
     f"""WITH {DUCK_EXPECTED}, counted AS (SELECT * FROM expected WHERE kind IN ('orderbook', 'trade', 'error')),
 w AS (SELECT {_STREAM}, timestamp_collector // 86400000000 * 86400000000 AS window_us, count(*) FILTER (kind = 'error') AS errors, count(*) AS samples
   FROM counted GROUP BY ALL)
-SELECT *, errors / samples AS error_ratio, samples >= 5 AND errors / samples >= 0.1 AND errors > 0 AS tripped
-FROM w WHERE window_us + 86400000000 <= {_PASSED.format('counted')}""")
+SELECT *, errors / samples AS error_ratio, samples >= 5 AND errors / samples >= 0.1 AND errors > 0 AS tripped FROM w""")
 
-add("stream_sessions", lambda spark, d: _to_table(state.session_stream(_stream_of(spark, d, market_base))), "STR-6, WIN-5",
+add("stream_sessions", lambda spark, d: _closed(spark, d, market_base, state.session_stream), "STR-6, WIN-5",
     f"""WITH {DUCK_MARKET},
 linked AS (SELECT {_STREAM}, timestamp_collector, lag(timestamp_collector) OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector) AS previous_us FROM priced),
 numbered AS (SELECT *, sum(CASE WHEN timestamp_collector - previous_us <= 90000000 THEN 0 ELSE 1 END)
-  OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector ROWS UNBOUNDED PRECEDING) AS session FROM linked),
-s AS (SELECT {_STREAM}, session, min(timestamp_collector) AS opened_us, max(timestamp_collector) AS closed_us, count(*) AS frames FROM numbered GROUP BY ALL)
-SELECT {_STREAM}, opened_us, closed_us, frames FROM s WHERE closed_us + 90000000 <= {_PASSED.format('priced')}""")
+  OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector ROWS UNBOUNDED PRECEDING) AS session FROM linked)
+SELECT {_STREAM}, min(timestamp_collector) AS opened_us, max(timestamp_collector) AS closed_us, count(*) AS frames
+FROM numbered GROUP BY {_STREAM}, session""")

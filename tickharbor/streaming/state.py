@@ -20,6 +20,16 @@ def with_receipt_time(rows: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     return rows.withColumn("receipt_time", F.timestamp_micros("timestamp_collector")).withWatermark("receipt_time", watermark)
 
 
+def closing_row(rows: DataFrame, seconds: int) -> DataFrame:
+    """The latest row again, ``seconds`` later: landed as the last one, it closes all windows and sessions before.
+
+    The watermark passes everything that is open; the row's own window stays open and is
+    never emitted. ``seconds`` must exceed the watermark's delay and the longest window or gap.
+    """
+    last = rows.orderBy(F.desc("timestamp_collector")).limit(1)
+    return last.withColumn("timestamp_collector", F.col("timestamp_collector") + seconds * 1_000_000)
+
+
 def drop_duplicates(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """One row per (key, sequence id) among rows whose receipts are within the watermark of each other.
 
