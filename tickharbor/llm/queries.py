@@ -14,6 +14,7 @@ from tickharbor.llm.extraction import main_text
 from tickharbor.llm.fingerprints import edited_fingerprints
 from tickharbor.llm.language import languages, vocabulary_pieces
 from tickharbor.llm.near_duplicates import near_duplicates
+from tickharbor.llm.oracles import NEAR_DUPLICATES, REPEATS
 from tickharbor.llm.packing import pack
 from tickharbor.llm.personal_data import personal_data, spans_text
 from tickharbor.llm.repeats import without_repeats
@@ -80,4 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeats": op10_repeats,
 }
 
-ORACLES: dict[str, str] = {}
+# Tokenizers, fitted models, hashes of chunks and lenient page parsing are beyond SQL; tests hold those queries against brute force.
+ORACLES: dict[str, str] = {
+    "op9_minhash": NEAR_DUPLICATES,
+    "op10_repeats": REPEATS,
+}
