@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickharbor.functions.scalars import latency_ms, numeric_sequence, whole
 from tickharbor.operators.ordered import Previous, key_sizes, with_previous
+from tickharbor.operators.rotation import rotation_files
 from tickharbor.schemas import STREAM_KEY, WRITER_KEY
 
 # Upper bounds of the latency histogram in milliseconds.
@@ -277,3 +278,30 @@ def parse_error_windows(
     return totals.select(
         "*", share.alias("error_ratio"),
         ((F.col("samples") >= min_samples) & (share >= ratio) & (F.col("errors") > 0)).alias("tripped"))
+
+
+def breaker_checks(
+    parsed: DataFrame, tiebreak: str, window_seconds: int = BREAKER_WINDOW_SECONDS, ratio: float = BREAKER_RATIO,
+    min_samples: int = BREAKER_MIN_SAMPLES, keys: list[str] = STREAM_KEY, hot_rows: int | None = None,
+) -> DataFrame:
+    """The breaker as it runs live: a window opens with the first row after the one before is over, and is tested at every error.
+
+    One row per error, with the errors and samples of its window up to and including it. Openings
+    are found as those of files are, and reach their rows as rows of their own, in order.
+    """
+    counted = parsed.where(F.col("kind").isin("orderbook", "trade", "error")).select(
+        *keys, "timestamp_collector", tiebreak, (F.col("kind") == "error").cast("bigint").alias("__error"),
+        F.lit(1).cast("bigint").alias("__one"), F.lit(1).alias("__rank"), F.lit(None).cast("bigint").alias("__opened"))
+    openings = rotation_files(counted, keys, window_seconds * SECOND, hot_rows).select(
+        *keys, F.col("opened_us").alias("timestamp_collector"), F.lit(None).cast(counted.schema[tiebreak].dataType).alias(tiebreak),
+        F.lit(None).cast("bigint").alias("__error"), F.lit(None).cast("bigint").alias("__one"), F.lit(0).alias("__rank"),
+        F.col("opened_us").alias("__opened"))
+    windowed = with_previous(
+        counted.unionByName(openings), keys, ["timestamp_collector", "__rank", tiebreak], {"opened_us": Previous("last", "__opened")}, hot_rows)
+    summed = with_previous(
+        windowed.where("__rank = 1"), [*keys, "opened_us"], ["timestamp_collector", tiebreak],
+        {"errors": Previous("sum", "__error"), "samples": Previous("sum", "__one")}, hot_rows)
+    share = F.col("errors") / F.col("samples")
+    return summed.where("__error = 1").select(
+        *keys, tiebreak, "timestamp_collector", "opened_us", "errors", "samples", share.alias("error_ratio"),
+        ((F.col("samples") >= min_samples) & (share >= ratio)).alias("tripped"))

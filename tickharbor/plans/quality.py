@@ -170,6 +170,20 @@ DAY_BREAKER = {"window_seconds": 86_400, "ratio": 0.1, "min_samples": 5}
 add("parse_error_days", lambda spark, d: Q.parse_error_windows(parse_frames(landed_frames(spark, d)), **DAY_BREAKER), "AGG-5",
     f"WITH {DUCK_EXPECTED} {duck_error_windows(86_400, 0.1, 5)}")
 
+# The same days from the first row on: windows open with a row, and every error is a test.
+add("breaker_checks", lambda spark, d: Q.breaker_checks(parse_frames(landed_frames(spark, d)), "event_id", **DAY_BREAKER), "AGG-5",
+    f"""WITH RECURSIVE {DUCK_EXPECTED}, counted AS (SELECT {_STREAM}, timestamp_collector, event_id, kind FROM expected WHERE kind IN ('orderbook', 'trade', 'error')),
+opened AS (SELECT {_STREAM}, min(timestamp_collector) AS opened_us FROM counted GROUP BY {_STREAM}
+  UNION ALL SELECT {_STREAM}, next_us FROM (SELECT o.exchange, o.symbol, o.feed, min(c.timestamp_collector) AS next_us
+    FROM opened o JOIN counted c ON o.exchange = c.exchange AND o.symbol = c.symbol AND o.feed = c.feed
+    AND c.timestamp_collector > o.opened_us + 86400000000 GROUP BY ALL)),
+placed AS (SELECT c.*, o.opened_us FROM counted c ASOF JOIN opened o ON c.exchange = o.exchange AND c.symbol = o.symbol AND c.feed = o.feed
+  AND c.timestamp_collector >= o.opened_us),
+summed AS (SELECT *, CAST(sum(CASE WHEN kind = 'error' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS errors, count(*) OVER w AS samples FROM placed
+  WINDOW w AS (PARTITION BY {_STREAM}, opened_us ORDER BY timestamp_collector, event_id ROWS UNBOUNDED PRECEDING))
+SELECT {_STREAM}, event_id, timestamp_collector, opened_us, errors, samples, errors / samples AS error_ratio,
+  samples >= 5 AND errors / samples >= 0.1 AS tripped FROM summed WHERE kind = 'error'""")
+
 # --- rotation ---------------------------------------------------------------------------------
 
 DUCK_FILES_BY_AGE = f"""
