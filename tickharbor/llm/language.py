@@ -257,8 +257,13 @@ def learn(labelled: DataFrame, pieces: list[str], sample: int = SAMPLE, rounds:
     Rows without text, language or id are not used. The model has one number for each piece and language.
     """
     usable = labelled.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = stored(usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
+    # Twice the sample is left to be ranked, however many rows a language has.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    ids = usable.select("doc_id", "lang", place.alias("place"))
+    counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = stored(ids.join(counts, "lang").where(F.col("place") <= F.lit(2.0 * sample * (1 << 40)) / F.col("n"))
+                    .withColumn("rank", F.row_number().over(order))
                     .where(F.col("rank") <= sample).select("doc_id", "lang").distinct(), "language-sample")
     words = stored(usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
                    .select("lang", "text").mapInArrow(_run_words, "lang string, word string")
