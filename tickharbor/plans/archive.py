@@ -16,22 +16,11 @@ _STORED = f"""{DUCK_EXPECTED}, stored AS (SELECT exchange, symbol, kind AS data_
   FROM expected WHERE kind IN ('orderbook', 'trade'))"""
 
 
-_written: dict[tuple[str, str], str] = {}
-
-
-def _tasks(spark):
-    """The test tables have as many folders as rows per folder, so write with all cores."""
-    return spark.sparkContext.defaultParallelism
-
-
 def _archived(spark, d):
-    """Root of the archive of a test folder, written once per application."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _written:
-        root = work_folder(spark, "archive")
-        A.write_archive(market_events(parse_frames(landed_frames(spark, d))), root, server="srv1", tasks=_tasks(spark))
-        _written[key] = root
-    return _written[key]
+    """Root of a new archive of a test folder."""
+    root = work_folder(spark, "archive")
+    A.write_archive(market_events(parse_frames(landed_frames(spark, d))), root, server="srv1")
+    return root
 
 
 add("archive_round_trip", lambda spark, d: A.read_archive(spark, _archived(spark, d)), "SNK-1, SRT-1, SRC-2",
@@ -67,7 +56,7 @@ WHERE date IN ('2024-01-10', '2024-01-11') GROUP BY ALL""")
 
 def _both_roots(spark, d):
     remote, local = work_folder(spark, "remote"), work_folder(spark, "local")
-    A.write_by_mode(market_events(parse_frames(landed_frames(spark, d))), "both", remote, local, tasks=_tasks(spark))
+    A.write_by_mode(market_events(parse_frames(landed_frames(spark, d))), "both", remote, local)
     counted = [A.read_archive(spark, root).groupBy("data_type").agg(F.count("*").alias("rows")).withColumn("root", F.lit(name))
                for name, root in (("remote", remote), ("local", local))]
     return counted[0].unionByName(counted[1])

@@ -87,7 +87,7 @@ def _stream_fan_out(spark, d):
     path, _ = _landed(spark, d)
     remote, local = work_folder(spark, "remote"), work_folder(spark, "local")
     frames = read_frames(spark, path, stream=True, form="parquet")
-    ingest.drain([ingest.fan_out_stream(frames, "both", remote, local, work_folder(spark, "checkpoint"), tasks=spark.sparkContext.defaultParallelism)])
+    ingest.drain([ingest.fan_out_stream(frames, "both", remote, local, work_folder(spark, "checkpoint"))])
     counted = [spark.read.parquet(root).groupBy("data_type").agg(F.count("*").alias("rows")).withColumn("root", F.lit(name))
                for name, root in (("remote", remote), ("local", local))]
     return counted[0].unionByName(counted[1])
