@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +52,22 @@ def build_session(app: str = "tickharbor", master: str | None = None, **settings
     return configure(builder.getOrCreate())
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, wherever they and the driver were started.
+
+    Spark serves the archive from the driver; executors need no access to the folder it lies in.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="tickharbor-"))
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a table that has fewer splits than the session has cores.
 
