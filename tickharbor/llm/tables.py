@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickharbor.session import ship
+
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table; the workers of its jobs get this package with it."""
+    ship(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
