@@ -24,7 +24,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters, and those less likely in any learned language than as even letters."""
+    """Drop documents without letters, and those far less likely in any learned language than as even letters."""
     model = learn(docs.where(~is_held_out()), vocabulary_pieces(tables.vocabulary(PIECE_VOCABULARY)))
     return in_known_language(docs, model)
 

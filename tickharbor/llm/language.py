@@ -30,8 +30,8 @@ SAMPLE = 1500
 ROUNDS = 3
 # Probability of a letter that no piece covers, and of a piece that a language never used.
 UNKNOWN, SMOOTHING = 1e-6, 0.01
-# Score below which a document is in none of the languages.
-KEPT_SCORE = 0.5
+# Score below which a document is in none of the languages; a short text does not get that low by chance.
+KEPT_SCORE = 0.01
 # Letters of the even hypothesis.
 EVEN_LETTERS = 40
 # Longer runs of letters are scored in stretches of this many.
@@ -315,7 +315,7 @@ def _keeper(model: Model):
 
 
 def in_known_language(documents: DataFrame, model: Model) -> DataFrame:
-    """The rows whose text has a letter and is likelier in a learned language than as even letters; all columns stay.
+    """The rows whose text has a letter and is not far likelier as even letters than in any language; all columns stay.
 
     If nothing was learned, only texts without a letter go.
     """
