@@ -34,6 +34,9 @@ BEFORE = LENGTH - ANCHOR
 # Contexts of one anchor that a task compares at once.
 GROUP_LIMIT = 10_000
 
+# Bytes of a block, small enough for its arrays to stay in a core's cache.
+BLOCK = 1 << 17
+
 _PLACE_BITS = np.uint64(28)
 _PLACE = np.uint64((1 << 28) - 1)
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -46,9 +49,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if len(data) < LENGTH:
         return none, none, none.astype(np.uint64), none.astype(np.uint64)
     spans = SpanHash(data)
-    at = np.arange(len(data) - ANCHOR + 1)
-    hashes = spans.of(at, at + ANCHOR)
-    least = (hashes >> _PLACE_BITS << _PLACE_BITS) | at.astype(np.uint64)
+    hashes = spans.windows(ANCHOR)
+    least = (hashes >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
     size = 1
     while size * 2 <= BEFORE + 1:
         least = np.minimum(least[:-size], least[size:])
@@ -57,8 +59,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if rest:
         least = np.minimum(least[:-rest], least[rest:])
     # least[i] belongs to the string of LENGTH bytes from i on; strings that leave their row do not count.
-    row = np.searchsorted(offsets, np.arange(len(least)), side="right") - 1
-    least = least[np.arange(len(least)) + LENGTH <= offsets[row + 1]]
+    tails = offsets[1:, None] - np.arange(1, LENGTH)
+    tails = tails[(tails >= offsets[:-1, None]) & (tails < len(least))]
+    inside = np.ones(len(least), dtype=bool)
+    inside[tails] = False
+    least = least[inside]
     chosen = np.zeros(len(data), dtype=bool)
     chosen[(least & _PLACE).astype(np.int64)] = True
     place = np.flatnonzero(chosen)
@@ -72,7 +77,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = column_bytes(batch.column("text"))
         docs, keys = batch.column("doc").to_numpy(), batch.column("text_key").to_numpy()
-        for first, last in row_blocks(offsets):
+        for first, last in row_blocks(offsets, BLOCK):
             own = offsets[first:last + 1] - offsets[first]
             row, place, anchor, context = anchors(data[offsets[first]:offsets[last]], own)
             if len(row):
@@ -231,37 +236,47 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
             .agg(F.collect_list(F.struct((place - F.col("before")).alias("begin"), (place + F.col("after")).alias("end"))).alias("spans")))
 
 
-def merged(spans: list[tuple[int, int]], size: int, length: int = LENGTH) -> list[tuple[int, int]]:
-    """Maximal runs covered by the spans within a text of ``size`` bytes."""
-    runs: list[tuple[int, int]] = []
-    for begin, end in sorted((max(0, b), min(size, e)) for b, e in spans):
-        if end - begin < length:
-            continue
-        if runs and begin <= runs[-1][1]:
-            runs[-1] = (runs[-1][0], max(runs[-1][1], end))
-        else:
-            runs.append((begin, end))
-    return runs
+def merged(begins: np.ndarray, ends: np.ndarray, size: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the maximal runs that the spans cover within a text of ``size`` bytes."""
+    begins, ends = np.maximum(begins, 0), np.minimum(ends, size)
+    whole = ends - begins >= length
+    order = np.argsort(begins[whole], kind="stable")
+    begins, ends = begins[whole][order], np.maximum.accumulate(ends[whole][order])
+    if not len(begins):
+        return begins, ends
+    fresh = np.append(True, begins[1:] > ends[:-1])
+    return begins[fresh], ends[np.append(fresh[1:], True)]
+
+
+_RUN = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for doc_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))):
-            raw = text.encode()
-            runs = merged([(s["begin"], s["end"]) for s in spans or []], len(raw))
-            digest, at = hashlib.sha256(), 0
-            for begin, end in runs:
+        data, offsets = column_bytes(batch.column("text"))
+        raw, spans = memoryview(data), batch.column("spans")
+        begins, ends = (spans.values.field(k).to_numpy() for k in range(2))
+        bounds, missing = spans.offsets.to_numpy(), spans.is_null().to_numpy(zero_copy_only=False)
+        sizes, gone, counts, digests, runs = np.diff(offsets), [], [], [], [[np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]]
+        for row, base in enumerate(offsets[:-1].tolist()):
+            own = slice(bounds[row], bounds[row] if missing[row] else bounds[row + 1])
+            first, last = merged(begins[own], ends[own], int(sizes[row]))
+            digest, at = hashlib.sha256(), base
+            for begin, end in zip((first + base).tolist(), (last + base).tolist()):
                 digest.update(raw[at:begin])
                 at = end
-            digest.update(raw[at:])
-            out.append((doc_id, len(raw), sum(e - b for b, e in runs), len(runs), digest.hexdigest(),
-                        [{"begin": b, "end": e} for b, e in runs]))
-        if out:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(),
-                     pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
+            digest.update(raw[at:int(offsets[row + 1])])
+            gone.append(int((last - first).sum()))
+            counts.append(len(first))
+            digests.append(digest.hexdigest())
+            runs[0].append(first)
+            runs[1].append(last)
+        places = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        listed = pa.StructArray.from_arrays([pa.array(np.concatenate(r), pa.int64()) for r in runs], fields=list(_RUN))
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(counts, pa.int64()),
+            pa.array(digests, pa.string()), pa.ListArray.from_arrays(places, listed)],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:

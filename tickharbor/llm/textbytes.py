@@ -77,6 +77,11 @@ class SpanHash:
             cls._up = np.concatenate([cls._up, cls._up * np.uint64(pow(_BASE, step, 1 << 64))])
             cls._down = np.concatenate([cls._down, cls._down * np.uint64(pow(_BASE_INVERSE, step, 1 << 64))])
 
+    def windows(self, length: int) -> np.ndarray:
+        """The hashes of all ranges of one length, as ``of`` would give them."""
+        sums = (self.sums[length:] - self.sums[:-length]) * self._down[:len(self.sums) - length]
+        return mix(sums + np.uint64(length))
+
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         sums = (self.sums[ends] - self.sums[starts]) * self._down[starts]
         return mix(sums + (ends - starts).astype(np.uint64))
