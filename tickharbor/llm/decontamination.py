@@ -30,8 +30,13 @@ TERMS, DIMENSIONS = 1 << 15, 64
 LEAST_COSINE = 0.4
 # Share of an item's words in the common subsequence: enough alone, and enough with this share of the answer.
 SHARE, PARAPHRASE, ANSWER = 0.75, 0.55, 0.8
-# Words of items that are searched for in one pass.
-PASS_WORDS = 1 << 20
+# Share of an item passage's terms that a passage must have before the words are compared in order.
+LEAST_OVERLAP = 0.4
+# Words of items that are searched for in one pass, and cosines that a task holds at once.
+PASS_WORDS = 1 << 18
+COSINES = 1 << 21
+# Bytes of a block and passages of a step, small enough for their arrays to stay in a core's cache.
+BLOCK, STEP = 1 << 17, 512
 CHUNK = 64
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
@@ -54,7 +59,7 @@ def passages(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data, offsets = column_bytes(column)
-    for first, last in row_blocks(offsets):
+    for first, last in row_blocks(offsets, BLOCK):
         yield first, *plain_word_hashes(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
 
 
@@ -74,23 +79,31 @@ def _random_matrix() -> np.ndarray:
     return np.random.default_rng(5).standard_normal((TERMS, DIMENSIONS)).astype(np.float32)
 
 
+def _summed(rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """The sum of the rows of each passage's terms."""
+    out = np.empty((len(terms), rows.shape[1]), dtype=np.float32)
+    for i in range(0, len(terms), STEP):
+        rows[terms[i:i + STEP]].sum(axis=1, out=out[i:i + STEP])
+    return out
+
+
 def _multiplier(weights: np.ndarray):
     """Each task's share of AᵀAΩ, in chunks of rows."""
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.append(weights, 0).astype(np.float32)
         right = np.vstack([_random_matrix() * weight[:-1, None], np.zeros((1, DIMENSIONS), dtype=np.float32)])
-        sums = np.zeros((TERMS + 1, DIMENSIONS))
+        sums = np.zeros((DIMENSIONS, TERMS + 1))
         for batch in batches:
-            for _, words, firsts in _blocks(batch.column("text")):
-                terms = passages(words, firsts)[2]
-                for i in range(0, len(terms), 4096):
-                    some = terms[i:i + 4096]
-                    norm = np.maximum((weight[some] ** 2).sum(axis=1), 1e-12)
-                    left = right[some].sum(axis=1) / norm[:, None]
-                    order = np.argsort(some.ravel(), kind="stable")
-                    used, begin = np.unique(some.ravel()[order], return_index=True)
-                    sums[used] += np.add.reduceat(left[order // WINDOW], begin, axis=0)
-        product = sums[:-1] * weight[:-1, None]
+            known = [passages(words, firsts)[2] for _, words, firsts in _blocks(batch.column("text"))]
+            terms = np.concatenate(known) if known else np.empty((0, WINDOW), dtype=np.int32)
+            for i in range(0, len(terms), 16 * STEP):
+                some = terms[i:i + 16 * STEP]
+                norm = np.maximum((weight[some] ** 2).sum(axis=1), 1e-12)
+                left = (_summed(right, some) / norm[:, None]).T.copy()
+                flat = some.ravel()
+                for dimension in range(DIMENSIONS):
+                    sums[dimension] += np.bincount(flat, np.repeat(left[dimension], WINDOW), TERMS + 1)
+        product = sums[:, :-1].T * weight[:-1, None]
         if product.any():
             yield pa.RecordBatch.from_arrays([
                 pa.array(range(TERMS // CHUNK), pa.int32()),
@@ -120,9 +133,7 @@ class Space:
 
     def place(self, terms: np.ndarray) -> np.ndarray:
         """Unit vectors of passages; a passage of unknown terms only is zero."""
-        out = np.empty((len(terms), self.coordinates.shape[1]), dtype=np.float32)
-        for i in range(0, len(terms), 4096):
-            out[i:i + 4096] = self.coordinates[terms[i:i + 4096]].sum(axis=1)
+        out = _summed(self.coordinates, terms)
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
@@ -204,7 +215,8 @@ class Search:
 
     def __init__(self, space: Space, items: Items):
         self.space, self.items = space, items
-        self.queries = space.place(items.terms).T.copy()
+        self.queries = space.place(items.terms)
+        self.terms = [t[t < TERMS] for t in items.terms]
         self.sorted = [np.unique(w) for w in items.words]
         self.masks = [(_masks(w), _masks(a)) for w, a in zip(items.words, items.answers)]
 
@@ -220,23 +232,35 @@ class Search:
         answer = common_subsequence(self.masks[item][1], len(self.items.answers[item]), words) / len(self.items.answers[item])
         return (share, answer) if share >= SHARE or (share >= PARAPHRASE and answer >= ANSWER) else None
 
+    def _candidates(self, terms: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(passage, item) near by cosine and with enough terms in common."""
+        wanted = np.zeros(TERMS + 1, dtype=bool)
+        step = max(64, COSINES // max(1, len(self.queries)))
+        for i in range(0, len(terms), step):
+            queries, near = np.nonzero(self.queries @ self.space.place(terms[i:i + step]).T >= LEAST_COSINE)
+            used, begin = np.unique(queries, return_index=True)
+            for query, a, b in zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(queries)]):
+                own = self.terms[query]
+                wanted[own] = True
+                some = near[a:b] + i
+                for passage in some[wanted[terms[some]].sum(axis=1) >= LEAST_OVERLAP * len(own)].tolist():
+                    yield passage, int(self.items.owner[query])
+                wanted[own] = False
+
     def find(self, column: pa.Array) -> Iterator[tuple[int, int, float, float]]:
         """(row, item, share, answer share) of every item in a text, at its best passage."""
         for base, words, firsts in _blocks(column):
             row, start, terms = passages(words, firsts)
             best: dict[tuple[int, int], tuple[float, float]] = {}
-            for i in range(0, len(row), 4096):
-                near = self.space.place(terms[i:i + 4096]) @ self.queries
-                for passage, query in zip(*(x.tolist() for x in np.nonzero(near >= LEAST_COSINE))):
-                    r, item = int(row[i + passage]), int(self.items.owner[query])
-                    if best.get((r, item), (0.0,))[0] == 1.0:
-                        continue
-                    margin = len(self.items.words[item])
-                    a = max(int(firsts[r]), int(start[i + passage]) - margin)
-                    b = min(int(firsts[r + 1]), int(start[i + passage]) + WINDOW + margin)
-                    found = self._check(item, words[a:b])
-                    if found:
-                        best[r, item] = max(best.get((r, item), (0.0, 0.0)), found)
+            for passage, item in self._candidates(terms):
+                r, margin = int(row[passage]), len(self.items.words[item])
+                if best.get((r, item), (0.0,))[0] == 1.0:
+                    continue
+                a = max(int(firsts[r]), int(start[passage]) - margin)
+                b = min(int(firsts[r + 1]), int(start[passage]) + WINDOW + margin)
+                found = self._check(item, words[a:b])
+                if found:
+                    best[r, item] = max(best.get((r, item), (0.0, 0.0)), found)
             for (r, item), (share, answer) in sorted(best.items()):
                 yield base + r, item, share, answer
 
