@@ -215,10 +215,10 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     repeated = stored(seen.join(often.hint("merge"), "anchor"), "repeated-anchors")
     classes = stored(repeated.groupBy("anchor", "context").agg(F.min(F.struct("doc", "tag")).alias("first"), F.count("*").alias("times"))
                      .select("anchor", "context", "first.doc", "first.tag", "times"), "anchor-contexts")
-    later = (repeated.join(classes.where("times > 1").select("anchor", "context", F.col("doc").alias("first_doc"), F.col("tag").alias("first_tag"))
+    later = stored(repeated.join(classes.where("times > 1").select("anchor", "context", F.col("doc").alias("first_doc"), F.col("tag").alias("first_tag"))
                            .hint("merge"), ["anchor", "context"])
-             .where("doc <> first_doc OR tag <> first_tag")
-             .select("doc", "tag", F.lit(BEFORE).alias("before"), F.lit(LENGTH).alias("after")))
+                   .where("doc <> first_doc OR tag <> first_tag")
+                   .select("doc", "tag", F.lit(BEFORE).alias("before"), F.lit(LENGTH).alias("after")), "later-marks")
     mixed = classes.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
     members = (classes.join(mixed.hint("merge"), "anchor")
                .withColumn("text_key", F.shiftright("tag", 32)))
@@ -229,11 +229,13 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
                       _contexts, "anchor long, doc long, tag long, left binary, right binary"), "contexts")
     large = mixed.where(F.col("contexts") > GROUP_LIMIT).select("anchor")
     few = held.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    marks = (later.unionByName(few.mapInArrow(_mark_groups, _MARKS))
-             .unionByName(_by_strings(held.join(large, "anchor", "left_semi"))))
+    # Each step is written by itself, so that the shuffles of one are gone before the next.
+    marks = (later.unionByName(stored(few.mapInArrow(_mark_groups, _MARKS), "context-marks"))
+             .unionByName(stored(_by_strings(held.join(large, "anchor", "left_semi")), "string-marks")))
     place = F.col("tag").bitwiseAND(0xFFFFFFFF)
-    return (marks.groupBy("doc", F.shiftright("tag", 32).alias("text_key"))
-            .agg(F.collect_list(F.struct((place - F.col("before")).alias("begin"), (place + F.col("after")).alias("end"))).alias("spans")))
+    return stored(marks.groupBy("doc", F.shiftright("tag", 32).alias("text_key"))
+                  .agg(F.collect_list(F.struct((place - F.col("before")).alias("begin"), (place + F.col("after")).alias("end"))).alias("spans")),
+                  "repeat-spans")
 
 
 def merged(begins: np.ndarray, ends: np.ndarray, size: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
