@@ -30,8 +30,8 @@ BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
 # A pair at the threshold has an estimate below this with probability 1e-7 (five standard deviations).
 LEAST_ESTIMATE = 0.55
-# Members of a bucket that one task compares with each other at once.
-BUCKET_BLOCK = 512
+# Members of a block of a bucket, and their shingles; a task compares two blocks at once.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1 << 21
 
 _RANDOM = np.random.default_rng(9)
 _FACTOR = _RANDOM.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -182,11 +182,14 @@ def _remaining(buckets: DataFrame, labels: DataFrame, classes: DataFrame, docume
     Members of a bucket are dealt into blocks; a cell of two blocks is compared in one task, which gives
     the links that join its components, so a cell never gives more rows than it has.
     """
-    named = (buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    sized = buckets.join(classes.select("doc_id", "n_shingles").hint("merge"), "doc_id")
+    named = (sized.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
              .withColumn("component", F.coalesce("component", "doc_id")))
     mixed = (named.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("members > 2 AND low < high").select("bucket", F.ceil(F.col("members") / BUCKET_BLOCK).alias("blocks")))
+        F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.min("component").alias("low"),
+        F.max("component").alias("high"))
+        .where("members > 2 AND low < high").select("bucket", F.ceil(F.greatest(
+            F.col("members") / BLOCK_MEMBERS, F.col("shingles") / BLOCK_SHINGLES)).alias("blocks")))
     left = stored(named.join(mixed.hint("merge"), "bucket"), "mixed-buckets")
     texts = _texts(documents, left.select("doc_id").distinct())
     cells = (left.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
@@ -213,7 +216,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     members = stored(known.select("doc_id", "digest").join(heads, "digest").select("doc_id", "head"), "classes")
     classes = (known.join(members.select(F.col("head").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
                .dropDuplicates(["doc_id"]))
-    classes = stored(classes.select("doc_id", "signature", "bands"), "class-signatures")
+    classes = stored(classes.select("doc_id", "n_shingles", "signature", "bands"), "class-signatures")
     placed = classes.select("doc_id", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
     buckets = stored(placed.join(shared.select("bucket", "lead").hint("merge"), "bucket"), "buckets")
