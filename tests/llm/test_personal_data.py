@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tickharbor.llm.personal_data import FOUND, base_spans, luhn, masked, personal_data, spans_text
+from tickharbor.llm.personal_data import FOUND, base_spans, luhn, masked, personal_data, runs, spans_text
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
@@ -46,6 +46,31 @@ def test_contexts_find_unseen_identifiers(spark):
     assert texts[3].text == "some éwords 3 before please call me at [PHONE] or later" and texts[3].base == 1
 
 
+def test_contexts_find_identifiers_with_spaces(spark):
+    numbers = ["(206) 555-0134", "0170 555 1234", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "4111 1111 1111 1112",
+               "01. 70. 55. 12. 34", "0170\u00a0555\u00a01299", "abc0170 555 77"]
+    rows = [(i, f"some words {i} before please call me at +1 (20{i}) 555-01{i}0 or later") for i in range(9)]
+    rows += [(20 + i, f"then call me at {n}, or not") for i, n in enumerate(numbers)]
+    rows += [(40 + i, f"it costs {n}{',' if '. ' in n else '.'} 7 more, (see {n})") for i, n in enumerate(numbers)]
+    rows += [(60, "call me at 0170555 98 today"), (61, "it has 0170555 of those and 98 201 01"), (62, "write a@b.co 555 1234 +1 (202) 555-0134 or 2020 2021")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {r.doc_id: r.text for r in masked(docs).collect()}
+    for i in range(len(numbers)):
+        assert texts[20 + i] == "then call me at [OTHER], or not"
+        assert texts[40 + i].replace(",", ".") == "it costs [OTHER]. 7 more. (see [OTHER])"
+    assert texts[60] == "call me at [OTHER] today" and texts[61] == "it has [OTHER] of those and 98 201 01"
+    assert texts[62] == "write [EMAIL] 555 1234 [PHONE] or 2020 2021"
+    found = {r.doc_id: r.spans for r in personal_data(docs).select("doc_id", spans_text().alias("spans")).collect()}
+    assert found[60] == f"{FOUND}:11:21" and found[20] == f"{FOUND}:16:30"
+
+
+def test_runs_stay_linear_and_outside_base_spans():
+    raw = b"call a@b.co 555 1234 +1 (202) 555-0134x 98765 4"
+    assert [raw[a:b] for a, b, _ in runs(raw, base_spans(raw))] == [b"555 1234", b"98765 4"]
+    for odd in (b"(" * 200_000, b"1" + b"." * 200_000, b"1. " * 100_000, b"a1" * 200_000, b"1( " * 100_000, b"AB12 " * 50_000):
+        assert len(runs(odd, [])) <= 50_000
+
+
 def test_odd_rows(odd_documents, odd_rows, no_documents, spark):
     got = personal_data(odd_documents).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in odd_rows) and all(r.base == "" for r in got)

@@ -1,10 +1,11 @@
 """Personal data in texts: fixed patterns, and identifiers found by the contexts that those induce.
 
 Fixed patterns give the base spans; they are the seeds. The one and two words before a seed are lexical
-patterns. Words that look like identifiers but match no fixed pattern are candidates. Spark builds the graph
+patterns. What looks like an identifier but matches no fixed pattern is a candidate: a word with digits or an
+"@", and a whole run of adjacent words like numbers, whose pattern is read before the run. Spark builds the graph
 of patterns and instances and scores it in rounds: a pattern is worth the share of all its occurrences in
 the corpus that are followed by a known instance; a candidate is worth what its good patterns make likely.
-Candidates that end up likely are found, wherever they occur.
+Candidates that end up likely are found, wherever they occur; within a run that is found, its parts are not told.
 
 Counting a pattern's occurrences needs every word of the corpus, but only patterns that several different
 seeds have are wanted: a bitmap of fixed size keeps the others out of the shuffle, and a join is exact.
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickharbor.llm.textbytes import LOWER, SpanHash, column_bytes, mix, row_blocks, word_spans
@@ -37,7 +38,15 @@ _IP = re.compile(rb"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(rb"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(rb"[^0-9]+")
+# Candidates of several words: IBANs in groups, whose groups may lack digits; digits with brackets, dots, slashes,
+# hyphens and dashes, and single spaces (also no-break ones), with the letters that the outermost digits are joined to.
+_JOINT = rb"(?:[().\[\]/+-]|\xE2\x80[\x90-\x95])*+"
+_RUN = re.compile(
+    rb"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20[0-9A-Z]{4}){2,7}(?:\x20[0-9A-Z]{1,3})?(?![0-9A-Za-z])"
+    rb"|\+?[(\[]{0,2}\+?[0-9](?:" + _JOINT + rb"(?:(?:\x20|\xC2\xA0|\xE2\x80\xAF)" + _JOINT + rb")?+[0-9])+[A-Za-z0-9]*")
+_SEPARATE = re.compile(rb"\x20|\xC2\xA0|\xE2\x80\xAF")
 _TRIM = b"\"'()[]{}<>,.;:!?"
+_LETTERS = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 _DIGIT = np.zeros(256, dtype=np.int64)
 _DIGIT[0x30:0x3A] = 1
 _PAIR = np.uint64(0xA24BAED4963EE407)
@@ -85,6 +94,35 @@ def base_spans(text: bytes) -> list[Span]:
     return found
 
 
+def runs(text: bytes, spans: list[Span]) -> list[tuple[int, int, bool]]:
+    """(start, end, whole) of candidates of several words outside the base spans, by start.
+
+    Where a dot and a space stand within a run, a sentence may end: its parts are candidates as well, not whole.
+    """
+    if spans:
+        blank = bytearray(text)
+        for _, a, b in spans:
+            blank[a:b] = bytes(b - a)
+        text = bytes(blank)
+    found = []
+    for match in _RUN.finditer(text):
+        start, end = match.span()
+        if not _SEPARATE.search(match[0]):
+            continue
+        while start and text[start] in _LETTERS and text[start - 1] in _LETTERS:
+            start -= 1
+        pieces, at = [(start, end)], start
+        for part in text[start:end].split(b". ") if b". " in match[0] else []:
+            pieces.append((at, at + len(part)))
+            at += len(part) + 2
+        for k, (a, b) in enumerate(pieces):
+            while text[a] in b"([" and sum(map(text[a:b].count, (b"(", b"["))) > sum(map(text[a:b].count, (b")", b"]"))):
+                a += 1
+            if len(_NOT_DIGIT.sub(b"", text[a:b])) >= CANDIDATE_DIGITS and _SEPARATE.search(text, a, b):
+                found.append((a, b, not k))
+    return found
+
+
 class Words:
     """Words of a block of texts, and the patterns before each."""
 
@@ -99,10 +137,10 @@ class Words:
         self.one, self.two = mix(one), mix(one + two * _PAIR)
 
 
-_SHAPE = pa.list_(pa.struct([("seed", pa.bool_()), ("instance", pa.int64()), ("one", pa.int64()), ("two", pa.int64()),
+_SHAPE = pa.list_(pa.struct([("seed", pa.bool_()), ("outer", pa.bool_()), ("instance", pa.int64()), ("one", pa.int64()), ("two", pa.int64()),
                              ("begin", pa.int64()), ("end", pa.int64())]))
 _SCAN = ("doc_id long, text_key long, base string, n_email long, n_ip long, n_card long, n_phone long, mentions "
-         "array<struct<seed: boolean, instance: long, one: long, two: long, begin: long, end: long>>")
+         "array<struct<seed: boolean, outer: boolean, instance: long, one: long, two: long, begin: long, end: long>>")
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,13 +160,17 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in range(last - first):
                 base, zero = int(own[row]), points[own[row]]
                 spans = base_spans(raw[base:int(own[row + 1])])
-                taken = [(True, base + a, base + b) for _, a, b in spans]
+                taken = [(True, base + a, base + b, True) for _, a, b in spans]
+                more = [(False, base + a, base + b, whole) for a, b, whole in runs(raw[base:int(own[row + 1])], spans)]
+                heads = np.searchsorted(words.starts, [a for _, a, _, whole in more if whole], side="right") - 1
+                heads = set(heads.tolist())
                 for word in likely[bounds[row]:bounds[row + 1]].tolist():
                     a, b = int(words.starts[word]), int(words.ends[word])
                     piece = raw[a:b].lstrip(_TRIM)
                     a, b = b - len(piece), b - len(piece) + len(piece.rstrip(_TRIM))
-                    if a < b and not any(x < b and a < y for _, x, y in taken[:len(spans)]):
-                        taken.append((False, a, b))
+                    if a < b and not any(x < b and a < y for _, x, y, _ in taken[:len(spans)]):
+                        taken.append((False, a, b, word not in heads))
+                taken += more
                 bases.append(",".join(f"{KINDS[k]}:{points[base + a] - zero}:{points[base + b] - zero}" for k, a, b in spans))
                 counts.append([sum(k == kind for k, _, _ in spans) for kind in range(4)])
                 if not taken:
@@ -138,7 +180,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.searchsorted(words.starts, begin, side="right") - 1
                 named = words.spans.of(begin, end).view(np.int64).tolist()
                 mentions.append([
-                    {"seed": t[0], "instance": n, "one": o, "two": p, "begin": int(points[t[1]] - zero), "end": int(points[t[2]] - zero)}
+                    {"seed": t[0], "outer": t[3], "instance": n, "one": o, "two": p, "begin": int(points[t[1]] - zero), "end": int(points[t[2]] - zero)}
                     for t, n, o, p in zip(taken, named, words.one[at].view(np.int64).tolist(), words.two[at].view(np.int64).tolist())])
         table = np.array(counts, dtype=np.int64).reshape(-1, 4)
         yield pa.RecordBatch.from_arrays(
@@ -172,8 +214,9 @@ def _occurrences(wanted: np.ndarray):
 def discovered(documents: DataFrame, scanned: DataFrame) -> DataFrame:
     """``doc_id, text_key, begin, end`` of identifiers beyond the base spans, in code points."""
     mentions = scanned.select(F.explode("mentions").alias("m")).select("m.*")
-    edges = stored(mentions.select("seed", "instance", F.explode(F.array("one", "two")).alias("pattern"))
-                   .groupBy("pattern", "instance", "seed").agg(F.count("*").alias("times")), "pattern-instances")
+    # Of candidates that begin in the same word only the longest counts as what follows the pattern there.
+    edges = stored(mentions.select("seed", "outer", "instance", F.explode(F.array("one", "two")).alias("pattern"))
+                   .groupBy("pattern", "instance", "seed").agg(F.count_if("outer").alias("times")), "pattern-instances")
     seeded = stored(edges.where("seed").groupBy("pattern").agg(F.count("*").alias("seeds"))
                     .where(F.col("seeds") >= LEAST_SEEDS).select("pattern"), "seed-patterns")
     places = seeded.select(F.col("pattern").bitwiseAND(BITMAP - 1).alias("place")).distinct().toArrow()  # at most BITMAP rows
@@ -196,8 +239,12 @@ def discovered(documents: DataFrame, scanned: DataFrame) -> DataFrame:
                         .agg((1 - F.exp(F.sum(F.log1p(-F.col("worth"))))).alias("likely")), "instance-scores")
     likely = scores.where(F.col("likely") >= LIKELY).select("instance")
     spans = scanned.select("doc_id", "text_key", F.explode("mentions").alias("m")).where("NOT m.seed")
-    return (spans.select("doc_id", "text_key", "m.instance", "m.begin", "m.end").join(likely, "instance")
-            .select("doc_id", "text_key", "begin", "end").distinct())
+    found = (spans.select("doc_id", "text_key", "m.instance", "m.begin", "m.end").join(likely, "instance")
+             .select("doc_id", "text_key", "begin", "end").distinct())
+    # Of nested ones the longest is found.
+    before = Window.partitionBy("doc_id", "text_key").orderBy("begin", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return (found.withColumn("covered", F.max("end").over(before))
+            .where("covered IS NULL OR end > covered").drop("covered"))
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
