@@ -16,6 +16,18 @@ def test_pages():
     assert extract("<article><header><h1>Title</h1></header><p>Body</p></article><nav>n</nav>", None) == "Title Body"
 
 
+def test_text_after_unclosed_elements():
+    for icon in ('<svg width="1"/>', "<math />", "<svg><path d='M0'>", "<math><mi>x", "<noscript><img src=x>", "<template>y",
+                 "<svg><style/><title>Icon", "<svg><svg></svg>", "<noscript>a<noscript>b</noscript>", "<SVG><g>t<path/></g>"):
+        assert extract(f"<div><div>one {icon}</div><p>two</p> three</div>", None) == "one two three", icon
+        assert extract(f"<div><p>one <a>{icon}</a> two</p><svg><text>t</text></svg><noscript>n</noscript> three</div>", None) == "one two three", icon
+    assert extract("<div>one <svg/> two <svg><text>t</text></svg> three", None) == "one two three"
+    assert extract("<div>one <svg><path> <p>two</p><svg><text>t</text></svg> three", None) == "one two three"
+    assert extract("<p>one <svg><style>a</style><path/><path><text>t</text></svg> two<template><p>x<template>y</template>z</template>", None) == "one two"
+    assert extract("<p>one <svg><foreignObject><div>t</div><p>u</foreignObject></svg> two <noscript></p></noscript>three", None) == "one two three"
+    assert extract("<div>one<script>a</script\n> two<style>b</style x> three<script>rest", None) == "one two three"
+
+
 def test_host_consensus_beats_one_page(spark, no_documents):
     def page(text, note):
         return f"<body><div class='story s1'><p>{text}</p></div><div class='box'><p>{note}</p></div></body>"

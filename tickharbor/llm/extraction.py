@@ -24,8 +24,15 @@ CONTAINERS = frozenset("article main section div body td table center".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
-DROPPED = frozenset("nav footer aside form button select option dialog menu object audio video canvas head".split()) | RAW
+# Elements of plain text, which last to the end of the page if they have no end tag; others that are no text end with their parent.
+RAW = frozenset("script style textarea title iframe xmp".split())
+FOREIGN, INERT = frozenset("svg math".split()), frozenset("noscript template".split())
+DROPPED = frozenset("nav footer aside form button select option dialog menu object audio video canvas head".split()) | RAW | FOREIGN | INERT
+# Start tags that end an open svg or math, and elements in these that hold HTML.
+BREAKOUT = CONTAINERS | frozenset(
+    "b big blockquote br code dd dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small "
+    "span strong strike sub sup tt u ul var".split())
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 CLOSED_BY_BLOCKS = frozenset("p".split())
 SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
               "th": {"td", "th"}, "option": {"option"}}
@@ -46,6 +53,8 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _NAME = re.compile(r"[a-z]+")
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE) for tag in RAW | INERT}
+_BEGIN = {tag: re.compile(rf"<{tag}(?=[\s/>])", re.IGNORECASE) for tag in INERT}
 
 
 @dataclass
@@ -87,6 +96,12 @@ def parse(source: str) -> Page:
     pieces: list[tuple[int, str | None]] = []
     stack: list[tuple[str, int]] = []  # open elements and the node that text in them belongs to
     at, size = 0, len(source)
+    ends: dict[str, re.Match | None] = {}  # the next end tags, each looked for once
+
+    def end_of(tag: str) -> re.Match | None:
+        if tag not in ends or (ends[tag] and ends[tag].start() < at):
+            ends[tag] = _END[tag].search(source, at)
+        return ends[tag]
 
     def now() -> int:
         return stack[-1][1] if stack else 0
@@ -112,16 +127,25 @@ def parse(source: str) -> Page:
             if any(open_ == tag for open_, _ in stack):
                 inline = tag in INLINE
                 depth = max(k for k, (open_, _) in enumerate(stack) if open_ == tag)
-                if not inline or all(open_ in INLINE for open_, _ in stack[depth:]):
+                if not inline or _all_inline(stack[depth:]):
                     del stack[depth:]
             continue
+        foreign = _foreign(stack) if nodes[now()].dropped else -1
+        if foreign >= 0 and tag in BREAKOUT:
+            del stack[foreign:]
+            foreign = -1
         if tag in VOID:
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, at)
+        if tag in RAW and foreign < 0:
+            end = end_of(tag)
             at = end.end() if end else size
             continue
-        if tag not in INLINE:
+        if tag in INERT:
+            end = end_of(tag)
+            if end and not _BEGIN[tag].search(source, at, end.start()):
+                at = end.end()
+                continue
+        elif tag not in INLINE and tag not in FOREIGN:
             _close(stack, tag)
         parent = now()
         classes, words = _marks(attributes) if "=" in attributes else ("", set())
@@ -143,6 +167,26 @@ def _inside(stack: list[tuple[str, int]], *tags: str) -> bool:
     return any(open_ in tags for open_, _ in stack)
 
 
+def _foreign(stack: list[tuple[str, int]]) -> int:
+    """The place of the svg or math whose elements are read, or -1 in HTML."""
+    for depth in range(len(stack) - 1, -1, -1):
+        if stack[depth][0] in FOREIGN:
+            return depth
+        if stack[depth][0] in INTEGRATION:
+            return -1
+    return -1
+
+
+def _all_inline(elements: list[tuple[str, int]]) -> bool:
+    """Whether an inline end tag may end these; what an unclosed svg, math, noscript or template holds ends with it."""
+    for open_, _ in elements:
+        if open_ in FOREIGN or open_ in INERT:
+            return True
+        if open_ not in INLINE:
+            return False
+    return True
+
+
 def _close(stack: list[tuple[str, int]], tag: str) -> None:
     """End what a new block element ends: an open paragraph, or an item at the same level."""
     ends = SAME_LEVEL.get(tag, set()) | CLOSED_BY_BLOCKS
@@ -151,7 +195,7 @@ def _close(stack: list[tuple[str, int]], tag: str) -> None:
         if open_ in ends:
             del stack[depth:]
             return
-        if open_ in CONTAINERS or open_ in ("ul", "ol", "dl", "tbody", "thead"):
+        if open_ in CONTAINERS or open_ in FOREIGN or open_ in INERT or open_ in ("ul", "ol", "dl", "tbody", "thead"):
             return
 
 
