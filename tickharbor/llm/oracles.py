@@ -36,3 +36,34 @@ SELECT raw.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_remove
   sha256(unhex(coalesce(left_over, h))) AS kept_sha256
 FROM raw LEFT JOIN cut ON cut.doc_id = raw.doc_id
 """
+
+DIVERGENCE = r"""
+WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS MATERIALIZED (SELECT d, lang, source, term, count(*) AS n FROM (SELECT d, lang, source, unnest(w) AS term FROM texts) GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, term, CAST(sum(n) AS BIGINT) AS total FROM words GROUP BY ALL HAVING count(*) >= 3),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(total) AS BIGINT) AS n FROM kept GROUP BY lang),
+counted AS MATERIALIZED (SELECT lang, source, term, CAST(sum(n) AS BIGINT) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, CAST(sum(c) AS BIGINT) AS n FROM counted GROUP BY ALL),
+sources AS MATERIALIZED (SELECT g.lang, g.source, coalesce(s.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM texts) g
+  LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source),
+shares AS MATERIALIZED (SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c,
+  CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 1)) // (s.n + l.v) AS BIGINT) AS p
+  FROM sources s JOIN langs l ON l.lang = s.lang JOIN kept k ON k.lang = s.lang
+  LEFT JOIN counted c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+distances AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(v.value, 0) AS value FROM sources a
+  JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distances v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source),
+whole AS (SELECT k.lang, k.term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (k.total + 1)) // (l.n + l.v) AS BIGINT) AS q
+  FROM kept k JOIN langs l ON l.lang = k.lang),
+terms AS (SELECT s.lang, s.source, s.term AS item, (p - q) * (p - q) // q AS value
+  FROM shares s JOIN whole w ON w.lang = s.lang AND w.term = s.term WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms) WHERE rank <= 200
+"""

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tickharbor.llm import tables
 from tickharbor.llm.chat import chat_fragments
 from tickharbor.llm.decontamination import leaks
+from tickharbor.llm.divergence import source_divergence
 from tickharbor.llm.extraction import main_text
 from tickharbor.llm.fingerprints import edited_fingerprints
 from tickharbor.llm.language import languages, vocabulary_pieces
 from tickharbor.llm.near_duplicates import near_duplicates
-from tickharbor.llm.oracles import NEAR_DUPLICATES, REPEATS
+from tickharbor.llm.oracles import DIVERGENCE, NEAR_DUPLICATES, REPEATS
 from tickharbor.llm.packing import pack
 from tickharbor.llm.personal_data import personal_data, spans_text
 from tickharbor.llm.repeats import without_repeats
@@ -68,6 +69,10 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(tables.documents(spark, folder)).drop("removed")
 
 
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(tables.documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chunks": op1_chunks,
     "op2_languages": op2_languages,
@@ -79,10 +84,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_minhash": op9_minhash,
     "op10_repeats": op10_repeats,
+    "op13_divergence": op13_divergence,
 }
 
 # Tokenizers, fitted models, hashes of chunks and lenient page parsing are beyond SQL; tests hold those queries against brute force.
 ORACLES: dict[str, str] = {
     "op9_minhash": NEAR_DUPLICATES,
     "op10_repeats": REPEATS,
+    "op13_divergence": DIVERGENCE,
 }
