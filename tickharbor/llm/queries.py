@@ -13,9 +13,11 @@ from tickharbor.llm.decontamination import leaks
 from tickharbor.llm.divergence import source_divergence
 from tickharbor.llm.extraction import main_text
 from tickharbor.llm.fingerprints import edited_fingerprints
+from tickharbor.llm.hard_negatives import hard_negatives
 from tickharbor.llm.language import languages, vocabulary_pieces
 from tickharbor.llm.near_duplicates import near_duplicates
-from tickharbor.llm.oracles import DIVERGENCE, NEAR_DUPLICATES, REPEATS
+from tickharbor.llm.near_vectors import near_vectors
+from tickharbor.llm.oracles import DIVERGENCE, HARD_NEGATIVES, NEAR_DUPLICATES, NEAR_VECTORS, REPEATS
 from tickharbor.llm.packing import pack
 from tickharbor.llm.personal_data import personal_data, spans_text
 from tickharbor.llm.repeats import without_repeats
@@ -25,6 +27,8 @@ from tickharbor.llm.token_files import read_token_files, write_token_files
 FILE_VOCABULARY, FILE_END = "word_bpe_49k.json", 1
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 PACK_VOCABULARY, PACK_END, SEQUENCE = "byte_bpe_50k.json", 2, 1024
+# Anchors of the search for negatives, and rows whose label moves on to the next of so many.
+ANCHOR_STEP, MOVED_STEP, LABELS = 50, 7, 10
 
 
 def op1_chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,6 +73,15 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(tables.documents(spark, folder)).drop("removed")
 
 
+def op11_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(tables.read(spark, folder, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % MOVED_STEP == 0, (F.col("label") + 1) % LABELS).otherwise(F.col("label"))
+    return hard_negatives(tables.read(spark, folder, "embeddings").withColumn("label", moved), ANCHOR_STEP)
+
+
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return source_divergence(tables.documents(spark, folder))
 
@@ -84,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_minhash": op9_minhash,
     "op10_repeats": op10_repeats,
+    "op11_near_vectors": op11_near_vectors,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_divergence": op13_divergence,
 }
 
@@ -91,5 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op9_minhash": NEAR_DUPLICATES,
     "op10_repeats": REPEATS,
+    "op11_near_vectors": NEAR_VECTORS,
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op13_divergence": DIVERGENCE,
 }
