@@ -8,7 +8,7 @@ from tools.compare import connect, table
 SMALL = "/root/testdata/sf0.001"
 # The table that a query gives one row for each row of.
 OF = {"op1_chunks": "documents", "op2_languages": "documents", "op3_personal_data": "documents", "op4_main_text": "pages",
-      "op7_token_files": "documents", "op9_minhash": "documents", "op10_repeats": "documents"}
+      "op7_token_files": "documents", "op9_minhash": "documents", "op10_repeats": "documents", "op11_near_vectors": "embeddings"}
 FIRST_COLUMNS = {
     "op1_chunks": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op2_languages": ["doc_id", "held_out", "lang_pred", "score"],
@@ -18,6 +18,9 @@ FIRST_COLUMNS = {
     "op8_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op9_minhash": ["doc_id", "n_shingles", "component_id", "kept"],
     "op10_repeats": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op11_near_vectors": ["vec_id", "n_links", "component_id", "kept"],
+    "op12_hard_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op13_divergence": ["lang", "source", "part", "item", "value", "rank"],
 }
 
 

@@ -31,8 +31,9 @@ SAMPLE, CELL_ROWS, CELLS = 16_384, 8192, 2048
 BLOCK_ROWS, CHUNK_ANCHORS = 16_384, 8192
 # Whole numbers up to this are exact as doubles, also as sums; beyond it scores are computed with Python's.
 EXACT = 2.0**53
-_LEAST, _MOST = -(2**63), 2**63 - 1
-_NOTHING = np.iinfo(np.int64).min
+_MOST = 2**63 - 1
+# Below every score, and still a whole number when negated.
+_NOTHING = -_MOST
 
 _SCALED = "row long, vec_id long, label long, vector binary"
 _HIT = "anchor long, w int, score long, vec_id long, row long"
@@ -150,7 +151,7 @@ def _windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     """Number of the query and of the window within it, least and largest score; infinite where null."""
     sizes = table.column("lows").combine_chunks().value_lengths().to_numpy()
     asked = np.repeat(np.arange(table.num_rows), sizes)
-    ends = [table.column(c).combine_chunks().flatten().cast(pa.float64(), safe=False).fill_null(none).to_numpy()
+    ends = [np.array(table.column(c).combine_chunks().flatten().cast(pa.float64(), safe=False).fill_null(none))
             for c, none in (("lows", -np.inf), ("highs", np.inf))]
     return asked, np.arange(len(asked)) - np.repeat(np.cumsum(sizes) - sizes, sizes), *ends
 
@@ -186,7 +187,7 @@ def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     if most < EXACT:
         return (queries @ rows.T).astype(np.int64)
     whole = [np.array([[int(v) for v in row] for row in side], dtype=object) for side in (queries, rows)]
-    return np.clip(whole[0] @ whole[1].T, _LEAST + 1, _MOST).astype(np.int64)
+    return np.clip(whole[0] @ whole[1].T, 1 - _MOST, _MOST).astype(np.int64)
 
 
 def _searched(size: int, longest: float, most: int, same: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -281,7 +282,7 @@ def hard_negatives(vectors: DataFrame, anchor_step: int, positives: int = POSITI
     shape = cells.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     shape = stored(shape, "cell-blocks")
     blocked = cells.join(shape, "cell").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).drop("blocks")
-    anchors = cells.where(F.col("vec_id") % anchor_step == 0)
+    anchors = stored(cells.where(F.col("vec_id") % anchor_step == 0), "anchors")
     chunks = max(1, math.ceil(anchors.count() / chunk_anchors))
 
     def one(column: str | None):

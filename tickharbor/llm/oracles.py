@@ -94,5 +94,5 @@ positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score F
 SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
 FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
   AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
-QUALIFY row_number() OVER w <= 3 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) QUALIFY row_number() OVER w <= 3
 """
