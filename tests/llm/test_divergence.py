@@ -53,7 +53,7 @@ def corpus():
     return rows + rows[:9]
 
 
-@pytest.mark.parametrize("options", [{}, {"block_terms": 40, "tile_sources": 3, "cell_rows": 50}, {"block_terms": 10**9, "tile_sources": 1, "cell_rows": 7}])
+@pytest.mark.parametrize("options", [{}, {"tile_sources": 3, "cell_rows": 50}, {"tile_sources": 1, "cell_rows": 7}])
 def test_all_values(spark, options):
     rows = corpus()
     expected = diverged(rows)

@@ -1,9 +1,10 @@
 """How the sources of a language differ: exact term vectors of documents, sums by group, sparse pairs of groups.
 
-Terms are counted under their language, so one count vectorizer serves all languages and its least
-document frequency holds within each. A vectorizer keeps its vocabulary on the driver; the distinct terms are
-therefore counted first by a sketch and dealt by hash into as many blocks as keep each vocabulary small, and each
-block has a vectorizer of its own. No vocabulary is cut. Vectors of documents are summed by source inside the tasks.
+Documents become sparse vectors of exact counts, as a count vectorizer per language makes them with a least
+document frequency and no bound on its vocabulary. Spark's own keeps that vocabulary on the driver and sends it to every
+task; here it is a table. Tasks add the vectors of their documents by source and language, together with
+the numbers of documents, and hand on bounded pieces of the sums; these are added by term, where the
+language's document frequency decides which terms stay.
 
 Two groups are compared on the terms that both have. The rest of the sum over the vocabulary
 depends on one group's counts and the other's total alone, and comes from the counts of counts.
@@ -11,154 +12,74 @@ depends on one group's counts and the other's total alone, and comes from the co
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.errors import IllegalArgumentException
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickharbor.session import ship, stored, work_folder
+from tickharbor.session import ship, stored
 
 MIN_DOCUMENTS = 3
 TERM_RANKS = 200
 SCALE = 1_000_000_000
-ANY_SIZE = 2**31 - 1
-# Distinct terms whose vocabulary the driver and the tasks hold at once.
-BLOCK_TERMS = 1 << 20
-# Hashes kept by the sketch of distinct terms; its error is about one in the square root of it.
-SKETCH = 1 << 12
-# Terms of a batch of documents, entries that a task sums before it hands them on.
-BATCH_TERMS, SUM_ENTRIES = 1 << 20, 1 << 22
+# Entries of the sums that a task holds before it hands them on, and rows of a batch.
+SUM_ENTRIES, BATCH_ROWS = 1 << 19, 1 << 16
 # Sources of a tile, rows of a cell and pairs of rows that a task compares at once.
-TILE_SOURCES, CELL_ROWS, PAIRS = 256, 1 << 20, 1 << 21
+TILE_SOURCES, CELL_ROWS, PAIRS = 256, 1 << 18, 1 << 20
 
 # Letters and all bytes of characters beyond ASCII stay, A-Z in lower case; every other byte ends a term.
 _LETTERS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
+_SUMS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("documents", pa.int64())])
 
 
-def _prefixed(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    """Source and terms of each document, every term behind its language and a zero byte."""
-    for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-        head = lang.encode() + b"\0"
-        yield source, [head + term for term in text.encode().translate(_LETTERS).split()]
-
-
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    least: set[int] = set()
-    bound = 1 << 64
-    for batch in batches:
-        for _, terms in _prefixed(batch):
-            least.update(h for h in map(xxhash.xxh3_64_intdigest, set(terms)) if h < bound)
-            if len(least) > 4 * SKETCH:
-                least = set(sorted(least)[:SKETCH])
-                bound = max(least)
-    kept = np.array(sorted(least)[:SKETCH], dtype=np.uint64)
-    yield pa.RecordBatch.from_arrays([pa.array((kept >> np.uint64(1)).astype(np.int64))], names=["h"])
-
-
-def distinct_terms(documents: DataFrame) -> int:
-    """About how many terms there are, each language's counted apart; exact for few."""
-    least = documents.mapInArrow(_sketch, "h long").distinct().orderBy("h").limit(SKETCH).agg(F.count("*"), F.max("h")).first()
-    return least[0] if least[0] < SKETCH else int((SKETCH - 1) / (least[1] / 2.0**63))
-
-
-def _terms(blocks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    names = ["source", "block", "terms"]
-    kinds = [pa.string(), pa.int32(), pa.list_(pa.string())]
-
-    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
-        for batch in batches:
-            for source, terms in _prefixed(batch):
-                held += len(terms)
-                if blocks == 1:
-                    rows.append((source, 0, terms))
-                else:
-                    dealt: dict[int, list[bytes]] = {}
-                    for term in terms:
-                        dealt.setdefault(xxhash.xxh3_64_intdigest(term) % blocks, []).append(term)
-                    rows.extend((source, block, own) for block, own in dealt.items())
-                if held >= BATCH_TERMS:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-                    rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-
-    return documents
+def vector(text: str) -> Counter:
+    """The terms of a text and how often each occurs."""
+    return Counter(text.encode().translate(_LETTERS).split())
 
 
 def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sparse vectors of each source, as far as one task has them."""
-    codes: dict[str, int] = {}
-    keys, counts, held = [], [], 0
-
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        key, at = np.unique(np.concatenate(keys), return_inverse=True)
-        return key, np.bincount(at, np.concatenate(counts)).astype(np.int64)
-
-    def rows(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        names = pa.array(list(codes), pa.string())
-        for i in range(0, len(key), 1 << 16):
-            part = key[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([
-                names.take(pa.array(part >> 32)), pa.array((part & 0xFFFFFFFF).astype(np.int32)), pa.array(n[i:i + (1 << 16)])],
-                names=["source", "place", "n"])
+    """Sums of the vectors of each group, and documents with each term, as far as one task has them."""
+    groups: dict[tuple[str, str], tuple[dict[bytes, int], Counter]] = {}
+    held = 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (sums, documents) in groups.items():
+            terms = list(sums)
+            for i in range(0, len(terms), BATCH_ROWS):
+                part = terms[i:i + BATCH_ROWS]
+                yield pa.RecordBatch.from_arrays([
+                    pa.repeat(lang, len(part)), pa.repeat(source, len(part)), pa.array(part, pa.binary()).cast(pa.string()),
+                    pa.array([sums[t] for t in part]), pa.array([documents[t] for t in part])], schema=_SUMS)
 
     for batch in batches:
-        vector = batch.column("vector")
-        places, values = vector.field("indices"), vector.field("values")
-        own = np.array([codes.setdefault(s, len(codes)) for s in batch.column("source").to_pylist()], dtype=np.int64)
-        sizes = np.diff(places.offsets.to_numpy())
-        keys.append(np.repeat(own, sizes) << 32 | places.flatten().to_numpy().astype(np.int64))
-        counts.append(values.flatten().to_numpy())
-        held += len(keys[-1])
-        if held >= SUM_ENTRIES:
-            key, n = merged()
-            if len(key) >= SUM_ENTRIES // 2:
-                yield from rows(key, n)
-                codes, keys, counts, held = {}, [], [], 0
-            else:
-                keys, counts, held = [key], [n.astype(np.float64)], len(key)
-    if held:
-        yield from rows(*merged())
-
-
-def group_terms(documents: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """``lang, source, term, id, n``: the occurrences of each kept term in each group; stored.
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+            sums, documents = groups.setdefault((lang, source), ({}, Counter()))
+            before = len(sums)
+            own = vector(text)
+            for term, n in own.items():
+                sums[term] = sums.get(term, 0) + n
+            documents.update(own.keys())
+            held += len(sums) - before
+            if held >= SUM_ENTRIES:
+                yield from rows()
+                groups, held = {}, 0
+    yield from rows()
+
+
+def group_terms(documents: DataFrame) -> DataFrame:
+    """``lang, source, term, n, total``: occurrences of each kept term in each group and in its language; stored.
 
     ``documents`` has ``lang``, ``source`` and ``text`` without nulls.
     """
-    spark = documents.sparkSession
-    blocks = distinct_terms(documents) // block_terms + 1
-    tokens_path, sums_path = work_folder(spark, "document-terms"), work_folder(spark, "group-terms")
-    kind = "source string, block int, terms array<string>"
-    documents.mapInArrow(_terms(blocks), kind).write.partitionBy("block").parquet(tokens_path)
-    tokens = spark.read.schema(kind).parquet(tokens_path)
-    counted = "lang string, source string, term string, id long, n long"
-    spark.createDataFrame([], counted).write.parquet(f"{sums_path}/none")
-    for block in range(blocks):
-        own = tokens.where(F.col("block") == block)
-        vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(MIN_DOCUMENTS), vocabSize=ANY_SIZE)
-        try:
-            model = vectorizer.fit(own)
-        except IllegalArgumentException as empty:
-            if "vocabulary" not in str(empty):
-                raise
-            continue  # no term of the block is in enough documents
-        model_path = work_folder(spark, "vectorizer")
-        model.write().save(model_path)
-        term = F.substring_index("word", "\0", -1)
-        words = (spark.read.parquet(f"{model_path}/data").select(F.posexplode("vocabulary").alias("place", "word"))
-                 .select("place", term.alias("term"), F.expr("left(word, length(word) - length(substring_index(word, '\\0', -1)) - 1)")
-                         .alias("lang"), (F.lit(block << 32) + F.col("place")).alias("id")))
-        sums = (model.transform(own).select("source", "vector").mapInArrow(_group_sums, "source string, place int, n long")
-                .groupBy("source", "place").agg(F.sum("n").alias("n")))
-        sums.join(words, "place").select("lang", "source", "term", "id", "n").write.parquet(f"{sums_path}/block-{block}")
-    return spark.read.schema(counted).option("recursiveFileLookup", "true").parquet(sums_path)
+    pieces = documents.mapInArrow(_group_sums, "lang string, source string, term string, n long, documents long")
+    # One shuffle: the groups of a term, and all that have it, are added where the term is.
+    sums = pieces.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+    term = Window.partitionBy("lang", "term")
+    counted = sums.select("lang", "source", "term", "n", F.sum("n").over(term).alias("total"), F.sum("documents").over(term).alias("documents"))
+    return stored(counted.where(F.col("documents") >= MIN_DOCUMENTS).drop("documents"), "group-terms")
 
 
 def share(count: Column, total: Column) -> Column:
@@ -183,14 +104,15 @@ def _added(place: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The part of the pair values that one cell's terms give, modulo 2**64."""
     table = pa.Table.from_batches(list(batches))
-    names, own = np.unique(np.array(table.column("source").to_pylist(), dtype=object), return_inverse=True)
-    ids, p, p0, tile = (table.column(c).to_numpy() for c in ("id", "p", "p0", "tile"))
-    size = len(names)
+    sources = table.column("source").combine_chunks().dictionary_encode()
+    names, own = sources.dictionary, sources.indices.to_numpy()
+    ids, check, p, p0, tile = (table.column(c).to_numpy() for c in ("id", "check", "p", "p0", "tile"))
+    size, one_tile = len(names), table.column("i")[0] == table.column("j")[0]
     lows, tiles, vocabulary = (np.zeros(size, dtype=np.int64) for _ in range(3))
     lows[own], tiles[own], vocabulary[own] = p0, tile, table.column("vocabulary").to_numpy()
-    real = np.flatnonzero(ids >= 0)
-    real = real[np.argsort(ids[real], kind="stable")]
-    ids, p, own = ids[real], p[real], own[real]
+    real = np.flatnonzero(table.column("real").to_numpy(zero_copy_only=False))
+    real = real[np.lexsort((check[real], ids[real]))]
+    ids, check, p, own = ids[real], check[real], p[real], own[real]
     constant = _f(lows[:, None], lows[None, :])
     # Terms that at least one side lacks: from how often each count occurs.
     members = np.bincount(own, minlength=size)
@@ -204,7 +126,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if table.column("slice")[0].as_py() == 0:
         value += vocabulary[:, None] * constant
     # Terms that both sides have.
-    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.empty(0, dtype=np.int64)
+    first = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (check[1:] != check[:-1])]) if len(ids) else np.empty(0, dtype=np.int64)
     many = np.diff(np.r_[first, len(ids)])
     until = np.cumsum(many * many)
     start = 0
@@ -215,42 +137,43 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = np.repeat(np.arange(first[start], first[start] + len(k)), k)
         right = np.arange(len(left)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(head, k)
         start = stop
-        apart = tiles[own[left]] != tiles[own[right]] if tiles.min() != tiles.max() else left != right
+        apart = tiles[own[left]] != tiles[own[right]] if not one_tile else left != right
         left, right = left[apart], right[apart]
         x, y = own[left], own[right]
         both = _f(p[left], p[right]) - _f(p[left], lows[y]) - _f(lows[x], p[right]) + constant[x, y]
         value += _added(x * size + y, both, size * size).reshape(size, size)
-    x, y = np.nonzero(tiles[:, None] != tiles[None, :] if tiles.min() != tiles.max() else ~np.eye(size, dtype=bool))
+    x, y = np.nonzero(tiles[:, None] != tiles[None, :] if not one_tile else ~np.eye(size, dtype=bool))
     if len(x):
         yield pa.RecordBatch.from_arrays([
-            pa.repeat(table.column("lang")[0], len(x)), pa.array(names[x], pa.string()), pa.array(names[y], pa.string()),
+            pa.repeat(table.column("lang")[0], len(x)), names.take(pa.array(x)), names.take(pa.array(y)),
             pa.array(value[x, y])], names=["lang", "source", "item", "value"])
 
 
 def pair_values(scored: DataFrame, groups: DataFrame, tile_sources: int = TILE_SOURCES, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``lang, source, item, value`` for every ordered pair of sources of a language.
 
-    Sources are dealt into tiles and terms into slices; a cell holds a slice of the terms of two tiles.
+    Sources are dealt into tiles and terms into slices; a cell holds a slice of the terms of two tiles. Terms are
+    known there by hashes of 96 bits. Every cell has a row of its own for each source of its tiles.
     """
     shape = groups.groupBy("lang").agg(
         F.ceil(F.count("*") / tile_sources).alias("tiles"),
         (F.floor(F.sum("terms") / cell_rows) + 1).alias("slices"))
     tile = F.pmod(F.xxhash64("source"), F.col("tiles")).alias("tile")
     rows = scored.join(shape, "lang").select(
-        "lang", "source", "id", "p", "p0", "vocabulary", tile, "tiles", F.pmod(F.xxhash64("id"), F.col("slices")).alias("slice"))
+        "lang", "source", F.lit(True).alias("real"), F.xxhash64("term").alias("id"), F.hash("term").alias("check"), "p", "p0", "vocabulary",
+        tile, "tiles", F.pmod(F.xxhash64("term"), F.col("slices")).alias("slice"))
     every = groups.join(shape, "lang").select(
-        "lang", "source", F.lit(-1).cast("long").alias("id"), "p0", "vocabulary", tile, "tiles",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice")).withColumn("p", F.col("p0"))
+        "lang", "source", F.lit(False).alias("real"), F.lit(0).cast("long").alias("id"), F.lit(0).alias("check"), F.col("p0").alias("p"), "p0",
+        "vocabulary", tile, "tiles", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
     cells = rows.unionByName(every).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     parts = (cells.select("lang", "slice", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
-                          "tile", "source", "id", "p", "p0", "vocabulary")
+                          "tile", "source", "real", "id", "check", "p", "p0", "vocabulary")
              .groupBy("lang", "slice", "i", "j").applyInArrow(_compared, "lang string, source string, item string, value long"))
     total = F.sum(F.col("value").cast("decimal(38,0)"))
     return parts.groupBy("lang", "source", "item").agg(F.pmod(total, F.lit(str(2**64)).cast("decimal(38,0)")).cast("long").alias("value"))
 
 
-def source_divergence(documents: DataFrame, block_terms: int = BLOCK_TERMS, tile_sources: int = TILE_SOURCES,
-                      cell_rows: int = CELL_ROWS) -> DataFrame:
+def source_divergence(documents: DataFrame, tile_sources: int = TILE_SOURCES, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``lang, source, part, item, value, rank``: how the sources of each language differ, by pair and by term.
 
     ``documents`` has ``text``, ``lang`` and ``source``; nulls are empty texts and names, other columns are
@@ -262,8 +185,8 @@ def source_divergence(documents: DataFrame, block_terms: int = BLOCK_TERMS, tile
     spark = documents.sparkSession
     ship(spark)
     texts = documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counted = group_terms(texts, block_terms)
-    totals = counted.groupBy("lang", "term").agg(F.sum("n").alias("total"))
+    counted = group_terms(texts)
+    totals = counted.groupBy("lang", "term").agg(F.first("total").alias("total"))
     languages = totals.groupBy("lang").agg(F.count("*").alias("vocabulary"), F.sum("total").alias("lang_terms"))
     own = counted.groupBy("lang", "source").agg(F.sum("n").alias("occurrences"), F.count("*").alias("terms"))
     groups = (texts.select("lang", "source").distinct().join(own, ["lang", "source"], "left").join(languages, "lang", "left")
@@ -274,7 +197,7 @@ def source_divergence(documents: DataFrame, block_terms: int = BLOCK_TERMS, tile
               .withColumn("p", share(F.col("n"), F.col("occurrences") + F.col("vocabulary"))))
     p, q = F.col("p"), F.col("q")
     value = F.call_function("div", (p - q) * (p - q), q)
-    by_term = (scored.join(totals, ["lang", "term"]).withColumn("q", share(F.col("total"), F.col("lang_terms") + F.col("vocabulary")))
+    by_term = (scored.withColumn("q", share(F.col("total"), F.col("lang_terms") + F.col("vocabulary")))
                .where(p > q).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), value.alias("value")))
     by_pair = pair_values(scored, groups, tile_sources, cell_rows).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")).alias("rank")
