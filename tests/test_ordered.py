@@ -79,24 +79,61 @@ def test_sessions_and_silence_are_the_same_in_slices(events):
         Q.disconnect_diagnostics(parsed, "event_id", hot_rows=30).collect(), key=key)
 
 
-def files_of(rows, age):
-    files, opened = {}, {}
-    for row in sorted(rows, key=lambda r: r[5]):
-        key = row[:2] + (row[3],)
-        if key not in opened or row[5] - opened[key] > age:
-            opened[key] = row[5]
-            files[(*key, row[5])] = [row[5], 0]
-        entry = files[(*key, opened[key])]
-        entry[0], entry[1] = row[5], entry[1] + 1
-    return sorted((*key, *entry) for key, entry in files.items())
-
-
-@pytest.mark.parametrize("hot_rows", [10_000, 60])
-def test_rotation_files(events, hot_rows):
+def files_of(rows, age, most=None, look=None):
+    """(key, opening, last time, rows, bytes): one row after another."""
+    files, opened = [], {}
+    for row in sorted(rows, key=lambda r: (r[5], r[6])):
+        key = (row[0], row[1], row[3])
+        file = opened.get(key)
+        full = file and most is not None and file[5] % look == 0 and file[6] > most
+        if not file or row[5] - file[3] > age or full:
+            file = opened[key] = [*key, row[5], row[5], 0, 0]
+            files.append(file)
+        file[4], file[5], file[6] = row[5], file[5] + 1, file[6] + len(row[4])
+    return sorted(map(tuple, files), key=str)
+
+
+@pytest.mark.parametrize("slice_rows, age", [(10_000, 100_000_000), (60, 100_000_000), (1, 38_000_000), (1, 3_000_000_000)])
+def test_rotation_by_age(events, slice_rows, age):
     rows, df = events
-    age = 100_000_000
-    result = rotation_files(df, age_us=age, hot_rows=hot_rows, cell_us=50_000_000)
-    assert sorted(tuple(row) for row in result.collect()) == files_of(rows, age)
+    result = rotation_files(df, age_us=age, slice_rows=slice_rows)
+    assert result.columns == ["exchange", "symbol", "data_type", "opened_us", "last_us", "rows"]
+    assert sorted((tuple(row) for row in result.collect()), key=str) == [f[:-1] for f in files_of(rows, age)]
+
+
+@pytest.mark.parametrize("slice_rows, look, most", [(10_000, 10, 24.5), (60, 7, 30), (1, 7, 40), (1, 1, 0), (1, 20, 30)])
+def test_rotation_by_age_and_size(spark, slice_rows, look, most):
+    from pyspark.sql import functions as F
+
+    rows = [row[:1] + (None,) + row[2:] if row[1] == "a" else row for row in make_rows(look, 400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    age = 150_000_000
+    result = rotation_files(df, age_us=age, size=F.length("exchange_sequence_id"), max_bytes=most * 2, ratio=2.0, look_rows=look,
+                            tiebreak="event_id", slice_rows=slice_rows)
+    expected = files_of([r[:1] + (r[1] or "",) + r[2:] for r in rows], age, most, look)
+    assert len(expected) > len(files_of([r[:1] + (r[1] or "",) + r[2:] for r in rows], age)) + 2
+    assert sorted(((r[0], r[1] or "", *r[2:]) for r in result.collect()), key=str) == expected
+
+
+def test_rotation_takes_as_many_rounds_as_slices_have_digits(spark, monkeypatch):
+    """Four times the rows in the same time: the same tables are written."""
+    from tickharbor.operators import rotation
+    from tickharbor.session import stored
+
+    counts = []
+    for copies in (1, 4):
+        names = []
+        monkeypatch.setattr(rotation, "stored", lambda df, name, names=names: names.append(name) or stored(df, name))
+        rows = [row[:6] + (row[6] * copies + c, row[7]) for row in make_rows(5, 300) for c in range(copies)]
+        files = rotation.rotation_files(spark.createDataFrame(rows, SCHEMA), age_us=38_000_000, slice_rows=1).count()
+        assert files > 10
+        counts.append(names)
+    assert counts[0] == counts[1]
+    assert counts[0].count("rotation-jumps") <= 5
+
+
+def test_rotation_of_an_empty_table(spark):
+    assert rotation_files(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
 def test_first_arrivals_keeps_one_of_each(events):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickharbor.functions.scalars import latency_ms, numeric_sequence, whole
 from tickharbor.operators.ordered import Previous, key_sizes, with_previous
-from tickharbor.operators.rotation import rotation_files
+from tickharbor.operators.rotation import SLICE_ROWS, rotation_files
 from tickharbor.schemas import STREAM_KEY, WRITER_KEY
 
 # Upper bounds of the latency histogram in milliseconds.
@@ -292,7 +292,7 @@ def breaker_checks(
     counted = parsed.where(F.col("kind").isin("orderbook", "trade", "error")).select(
         *keys, "timestamp_collector", tiebreak, (F.col("kind") == "error").cast("bigint").alias("__error"),
         F.lit(1).cast("bigint").alias("__one"), F.lit(1).alias("__rank"), F.lit(None).cast("bigint").alias("__opened"))
-    openings = rotation_files(counted, keys, window_seconds * SECOND, hot_rows).select(
+    openings = rotation_files(counted, keys, window_seconds * SECOND, slice_rows=hot_rows or SLICE_ROWS).select(
         *keys, F.col("opened_us").alias("timestamp_collector"), F.lit(None).cast(counted.schema[tiebreak].dataType).alias(tiebreak),
         F.lit(None).cast("bigint").alias("__error"), F.lit(None).cast("bigint").alias("__one"), F.lit(0).alias("__rank"),
         F.col("opened_us").alias("__opened"))

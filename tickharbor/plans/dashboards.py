@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from tickharbor.operators import quality as Q
 from tickharbor.operators import timeseries as T
 from tickharbor.operators.parsing import parse_frames
-from tickharbor.operators.rotation import rotation_files
 from tickharbor.plans.catalog import END_US, add
 from tickharbor.plans.config import _BASE as CONFIG_BASE
 from tickharbor.plans.config import DUCK_STATUS, stream_status
 from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.plans.quality import (
-    DAY_BREAKER, DUCK_FILES_BY_AGE, DUCK_SESSIONS, LATENCY, TIMEOUT_SECONDS, duck_error_windows, duck_histogram)
+    DAY_BREAKER, DUCK_SESSIONS, LATENCY, TIMEOUT_SECONDS, duck_error_windows, duck_files, duck_histogram, rotated)
 from tickharbor.sources.config import market_streams
 from tickharbor.sources.metrics import last_message_samples, message_samples
 from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_base
@@ -170,8 +169,8 @@ for _number, _q in (("13", 0.50), ("14", 0.95)):
 add("q15_rows_written_rate", lambda spark, d: T.event_rate(market_base(spark, d), [], MINUTE), "Q15, TS-4",
     f"{MARKET} SELECT (timestamp_collector + 59999999) // 60000000 * 60000000 AS t_us, count(*) / 60 AS value FROM priced GROUP BY ALL")
 
-add("q18_files_rotated", lambda spark, d: rotation_files(market_base(spark, d)).agg(F.count("*").alias("value")), "Q18, TS-6, WIN-7",
-    f"WITH RECURSIVE {DUCK_MARKET}, {DUCK_FILES_BY_AGE} SELECT count(*) AS value FROM opened")
+add("q18_files_rotated", lambda spark, d: rotated(spark, d).agg(F.count("*").alias("value")), "Q18, TS-6, WIN-7, SNK-2",
+    f"WITH RECURSIVE {DUCK_EXPECTED}, {duck_files()} SELECT count(*) AS value FROM opened")
 
 add("q19_rows_written", lambda spark, d: market_base(spark, d).agg(F.count("*").alias("value")), "Q19, TS-1, AGG-4",
     f"{MARKET} SELECT count(*) AS value FROM priced")

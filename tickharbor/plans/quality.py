@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from tickharbor.operators import quality as Q
-from tickharbor.operators.parsing import parse_frames
-from tickharbor.operators.rotation import rotation_files
+from tickharbor.operators.parsing import market_events, parse_frames
+from tickharbor.operators.rotation import LOOK_ROWS, MAX_FILE_AGE_US, MAX_FILE_BYTES, rotation_files, row_bytes
 from tickharbor.plans.catalog import END_US, add
 from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.sources.archive import hourly_groups
@@ -186,19 +186,41 @@ SELECT {_STREAM}, event_id, timestamp_collector, opened_us, errors, samples, err
 
 # --- rotation ---------------------------------------------------------------------------------
 
-DUCK_FILES_BY_AGE = f"""
-opened AS (SELECT {_KEYS}, min(timestamp_collector) AS opened_us FROM priced GROUP BY {_KEYS}
-  UNION ALL SELECT {_KEYS}, next_us FROM (SELECT o.exchange, o.symbol, o.data_type, min(p.timestamp_collector) AS next_us
-    FROM opened o JOIN priced p ON o.exchange = p.exchange AND o.symbol = p.symbol AND o.data_type = p.data_type
-    AND p.timestamp_collector > o.opened_us + 3600000000 GROUP BY ALL))
+# The same rules with numbers that the test tables reach: most files close by size before they are two days old.
+SMALL_FILES = {"age_us": 2 * 86_400_000_000, "max_bytes": 1_200, "look_rows": 3}
+_TEXTS = ["exchange", "symbol", "exchange_sequence_id", "data"]
+
+
+def duck_files(age_us: int = MAX_FILE_AGE_US, max_bytes: int = MAX_FILE_BYTES, look_rows: int = LOOK_ROWS) -> str:
+    """Openings of files by key, one after another; needs the expected frames and WITH RECURSIVE."""
+    return f"""
+sized AS MATERIALIZED (SELECT exchange, symbol, kind AS data_type, timestamp_collector, row_number() OVER w AS rn,
+  strlen(exchange) + strlen(symbol) + strlen(sequence_id) + strlen(data) + 16 AS size,
+  coalesce(sum(strlen(exchange) + strlen(symbol) + strlen(sequence_id) + strlen(data) + 16) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM expected WHERE kind IN ('orderbook', 'trade') WINDOW w AS (PARTITION BY exchange, symbol, kind ORDER BY timestamp_collector, event_id)),
+opened AS (SELECT {_KEYS}, rn, timestamp_collector AS opened_us, before FROM sized WHERE rn = 1
+  UNION ALL SELECT * FROM (SELECT o.exchange, o.symbol, o.data_type, min(p.rn), arg_min(p.timestamp_collector, p.rn), arg_min(p.before, p.rn)
+    FROM opened o JOIN sized p ON o.exchange = p.exchange AND o.symbol = p.symbol AND o.data_type = p.data_type AND p.rn > o.rn
+    AND (p.timestamp_collector > o.opened_us + {age_us} OR (p.rn - o.rn) % {look_rows} = 0 AND p.before - o.before > {max_bytes}) GROUP BY ALL))
 """.strip()
 
-add("rotation_files", lambda spark, d: rotation_files(market_base(spark, d)), "WIN-7, SNK-2",
-    f"""WITH RECURSIVE {DUCK_MARKET}, {DUCK_FILES_BY_AGE},
-files AS (SELECT p.exchange, p.symbol, p.data_type, o.opened_us, p.timestamp_collector
-  FROM priced p ASOF JOIN opened o ON p.exchange = o.exchange AND p.symbol = o.symbol AND p.data_type = o.data_type
-  AND p.timestamp_collector >= o.opened_us)
-SELECT {_KEYS}, opened_us, max(timestamp_collector) AS last_us, count(*) AS rows FROM files GROUP BY ALL""")
+
+def duck_rotation(**rules: int) -> str:
+    return f"""WITH RECURSIVE {DUCK_EXPECTED}, {duck_files(**rules)},
+files AS (SELECT p.exchange, p.symbol, p.data_type, o.rn, o.opened_us, p.timestamp_collector, p.size
+  FROM sized p ASOF JOIN opened o ON p.exchange = o.exchange AND p.symbol = o.symbol AND p.data_type = o.data_type AND p.rn >= o.rn)
+SELECT {_KEYS}, opened_us, max(timestamp_collector) AS last_us, count(*) AS rows, CAST(sum(size) AS BIGINT) AS bytes
+FROM files GROUP BY {_KEYS}, rn, opened_us"""
+
+
+def rotated(spark, d, **rules):
+    events = market_events(parse_frames(landed_frames(spark, d)), "event_id")
+    return rotation_files(events, size=row_bytes(_TEXTS), tiebreak="event_id", **rules)
+
+
+add("rotation_files", rotated, "WIN-7, SNK-2", duck_rotation())
+
+add("rotation_files_by_size", lambda spark, d: rotated(spark, d, **SMALL_FILES), "WIN-7, SNK-2", duck_rotation(**SMALL_FILES))
 
 add("hourly_groups", lambda spark, d: hourly_groups(market_base(spark, d)), "SNK-2",
     f"""WITH {DUCK_MARKET} SELECT {_KEYS}, timestamp_collector // 3600000000 AS hour, min(timestamp_collector) AS first_us,
