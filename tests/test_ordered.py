@@ -147,3 +147,36 @@ def test_first_arrivals_keeps_one_of_each(events):
     assert dropped == len(rows) - len(expected)
     plan = Q.first_arrivals(df, "event_id")._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 40])
+def test_message_timeouts(events, spark, hot_rows):
+    """Silences between rows, before the first and after the last; a stream without rows, one that is not configured."""
+    rows, df = events
+    streams = [("binance", "hot", "trades", 20), ("binance", "a", "trades", 12), ("binance", "b", "trades", 1000), ("okx", "never", "trades", 30)]
+    since, until = -500_000_000, 1_700_000_000
+    got = Q.message_timeouts(df, spark.createDataFrame(streams, "exchange string, symbol string, feed string, timeout_s long"), since, until,
+                             hot_rows=hot_rows).collect()
+    expected = []
+    for exchange, symbol, feed, timeout in streams:
+        times = sorted({r[5] for r in rows if r[1] == symbol})
+        for i, (start, end) in enumerate(zip([since, *times], [*times, until])):
+            at = start + timeout * 3_000_000
+            while at < end:
+                expected.append((exchange, symbol, feed, "stalled" if i else "never_received", start, at))
+                at += timeout * 3_000_000
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert {r.cause for r in got} == {"stalled", "never_received"}
+    assert max(r.at_us for r in got if r.symbol == "hot") > max(r[5] for r in rows if r[1] == "hot")
+
+
+def test_breaker_trips(spark):
+    """Windows open with a row; the circuit opens at the first error with enough samples and a high enough share."""
+    minute = 60_000_000
+    rows = [(i * 100_000, "error" if i % 2 else "trade") for i in range(300)]  # 150th sample within the first window
+    rows += [(200 * minute + i * 100_000, "error" if i < 40 else "trade") for i in range(300)]  # many errors, too early
+    rows += [(400 * minute + i * 100_000, "trade" if i < 98 else "error") for i in range(200)]  # half only at the end
+    df = spark.createDataFrame([("okx", "btc", "trades", t, i, kind) for i, (t, kind) in enumerate(rows)],
+                               "exchange string, symbol string, feed string, timestamp_collector long, event_id long, kind string")
+    got = [(r.opened_us, r.tripped_us) for r in Q.breaker_trips(Q.breaker_checks(df, "event_id")).orderBy("opened_us").collect()]
+    assert got == [(0, 99 * 100_000), (400 * minute, 400 * minute + 195 * 100_000)]

@@ -118,3 +118,29 @@ def test_histogram_quantile(spark):
 def test_range_end_is_closed_on_the_right(spark):
     df = spark.createDataFrame([(60 * S,), (60 * S + 1,), (1,)], "ts long")
     assert [r[0] for r in df.select(T.range_end(F.col("ts"), 60)).collect()] == [60 * S, 120 * S, 60 * S]
+
+
+@pytest.mark.parametrize(("window", "step"), [(300, 120), (60, 60), (60, 90), (100, 70)])
+def test_counts_over_steps_with_zeros(series, spark, window, step):
+    """Overlapping, adjoining and separate ranges, against a count of each."""
+    rows, vec = series
+    span = (7 * S, 20_000 * S)
+    got = {(r.host, r.t_us): r.value for r in T.event_count(vec, ["host"], window, step, span, "ts_us").collect()}
+    times = range(-(-span[0] // (step * S)) * step * S, span[1] + 1, step * S)
+    assert got == {(host, t): sum(name == host and t - window * S < ts <= t for name, ts, _ in rows) for host in ("a", "b") for t in times}
+    assert 0 in got.values()
+    rates = T.event_rate(vec, ["host"], window, step, span, "ts_us").collect()
+    assert {(r.host, r.t_us): r.value for r in rates} == {key: n / window for key, n in got.items()}
+    quiet = T.event_count(vec.where("host = 'c'"), [], window, step, span, "ts_us", spark.range(1)).collect()
+    assert [r.value for r in quiet] == [0] * len(times)
+
+
+def test_histograms_of_cells_add_up_at_steps(series):
+    from tickharbor.operators import quality as Q
+
+    rows, vec = series
+    cells = Q.histogram(vec.select("*", T.range_end("ts_us", 60).alias("cell")), ["host", "cell"], F.col("value"), [2, 5, 20])
+    got = {(r.host, r.t_us, r.le): r.n for r in T.to_steps(cells, "cell", 300, 120).groupBy("host", "t_us", "le").agg(F.sum("cumulative").alias("n")).collect()}
+    for (host, t, le), n in got.items():
+        assert n == sum(name == host and t - 300 * S < ts <= t and value <= float(le.replace("+Inf", "inf")) for name, ts, value in rows)
+    assert {t for _, t, _ in got} == {t for t in range(0, 40_000 * S, 120 * S) if any(t - 300 * S < ts <= t for _, ts, _ in rows)}

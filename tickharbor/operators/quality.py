@@ -206,6 +206,29 @@ def silent_subscriptions(subscriptions: DataFrame, events: DataFrame, until_us:
         .when(waited > SUBSCRIPTION_GRACE_SECONDS * SECOND, "warn").otherwise("ok").alias("action"))
 
 
+def message_timeouts(events: DataFrame, streams: DataFrame, since_us: int, until_us: int, keys: list[str] = STREAM_KEY,
+                     hot_rows: int | None = None) -> DataFrame:
+    """Every reconnect for want of data: one row per stream and three timeouts without any.
+
+    ``streams`` has the configured streams with ``timeout_s``, each subscribed at ``since_us``; rows of other streams do
+    not count. A silence runs from the subscription or a row to the next row, or to ``until_us`` where none
+    comes. After a reconnect the stream is subscribed anew, and three more timeouts of silence are the next one. Column
+    ``cause`` tells whether the silence began with data (``stalled``) or with the subscription (``never_received``).
+    """
+    time = F.col("timestamp_collector")
+    rows = events.where((time >= since_us) & (time < until_us)).select(*keys, time.alias("__us"), F.lit(1).alias("__rank"))
+    ends = F.explode(F.array(*[F.struct(F.lit(us).cast("bigint").alias("us"), F.lit(rank).alias("rank")) for us, rank in ((since_us, 0), (until_us, 2))]))
+    marks = streams.select(*keys, ends.alias("__end")).select(*keys, F.col("__end.us").alias("__us"), F.col("__end.rank").alias("__rank"))
+    linked = with_previous(rows.unionByName(marks), keys, ["__us", "__rank"], {
+        "__since": Previous("last", "__us"), "__was": Previous("last", "__rank")}, hot_rows)
+    limit = F.col("timeout_s") * (3 * SECOND)
+    silent = linked.where("__since IS NOT NULL").join(streams.select(*keys, F.col("timeout_s").cast("bigint").alias("timeout_s")), keys)
+    silent = silent.where(F.col("__us") - F.col("__since") > limit)
+    return silent.select(
+        *keys, F.when(F.col("__was") == 0, "never_received").otherwise("stalled").alias("cause"), F.col("__since").alias("silent_since_us"),
+        F.explode(F.sequence(F.col("__since") + limit, F.col("__us") - 1, limit)).alias("at_us"))
+
+
 def dead_after_us(exchange: Column | str = "exchange") -> Column:
     """Silence over all frames after which a connection of the venue counts as dead."""
     exchange = F.col(exchange) if isinstance(exchange, str) else exchange
@@ -305,3 +328,8 @@ def breaker_checks(
     return summed.where("__error = 1").select(
         *keys, tiebreak, "timestamp_collector", "opened_us", "errors", "samples", share.alias("error_ratio"),
         ((F.col("samples") >= min_samples) & (share >= ratio)).alias("tripped"))
+
+
+def breaker_trips(checks: DataFrame, keys: list[str] = STREAM_KEY) -> DataFrame:
+    """Windows in which the breaker opened its circuit, and the error at which it did: the first that tripped it."""
+    return checks.where("tripped").groupBy(*keys, "opened_us").agg(F.min("timestamp_collector").alias("tripped_us"))

@@ -7,6 +7,7 @@ has ``t_us``, the evaluation time, in place of ``ts_us``. A range at ``t`` cover
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -166,7 +167,48 @@ def range_end(ts_us: Column | str, window_s: int) -> Column:
     return whole(ts_us + (width - 1), width) * width
 
 
-def event_rate(events: DataFrame, by: list[str], window_s: int, ts: str = "timestamp_collector") -> DataFrame:
-    """Rows per second in tumbling ranges, counted exactly from the events themselves."""
-    counted = events.groupBy(*by, range_end(ts, window_s).alias("t_us")).agg(F.count("*").alias("n"))
-    return counted.select(*by, "t_us", (F.col("n") / window_s).alias("value"))
+def over_steps(df: DataFrame, by: list[str], sums: dict[str, Column], window_s: int, step_s: int, ts: str,
+               span: tuple[int, int] | None = None) -> DataFrame:
+    """Sums over the range ``(t - w, t]`` at every multiple ``t_us`` of the step whose range holds a row.
+
+    Rows are added up by cell first: cells are as long as the greatest common divisor of window and step, so that each
+    range is a whole number of them, and only cells are copied to the steps that they belong to. ``sums`` names
+    counts and sums; ``span`` keeps steps from its first to its last.
+    """
+    cells = df.groupBy(*by, range_end(ts, math.gcd(window_s, step_s)).alias("__cell_us")).agg(
+        *[column.alias(name) for name, column in sums.items()])
+    return to_steps(cells, "__cell_us", window_s, step_s, span).groupBy(*by, "t_us").agg(*[F.sum(name).alias(name) for name in sums])
+
+
+def to_steps(cells: DataFrame, cell_us: str, window_s: int, step_s: int, span: tuple[int, int] | None = None) -> DataFrame:
+    """Copy cells, known by their ends, to the steps ``t_us`` whose range they lie in."""
+    spread = cells.withColumn("t_us", F.explode(steps(F.col(cell_us), window_s, step_s))).drop(cell_us)
+    return spread if span is None else spread.where(F.col("t_us").between(*span))
+
+
+def with_zeros(vec: DataFrame, by: list[str], series: DataFrame, step_s: int, span: tuple[int, int]) -> DataFrame:
+    """The vector with the value 0 at every step of the span where a series has none.
+
+    ``series`` has the labels of all series. Zeros are added, not joined: one shuffle, summed before it.
+    """
+    step = step_s * SECOND
+    grid = F.explode(F.sequence(F.lit(-(-span[0] // step) * step).cast("bigint"), F.lit(span[1]).cast("bigint"), F.lit(step).cast("bigint")))
+    value = F.lit(0).cast(vec.schema["value"].dataType).alias("value")
+    zeros = series.select(*by).distinct().select(*by, grid.alias("t_us"), value) if by else series.limit(1).select(grid.alias("t_us"), value)
+    return vec.select(*by, "t_us", "value").unionByName(zeros).groupBy(*by, "t_us").agg(F.sum("value").alias("value"))
+
+
+def event_count(events: DataFrame, by: list[str], window_s: int, step_s: int, span: tuple[int, int], ts: str = "timestamp_collector",
+                series: DataFrame | None = None) -> DataFrame:
+    """Rows in the range of each step, 0 where there are none, counted exactly from the events themselves.
+
+    ``series`` has the labels of all series; by default, of all that occur.
+    """
+    counted = over_steps(events, by, {"value": F.count("*")}, window_s, step_s, ts, span)
+    return with_zeros(counted, by, events if series is None else series, step_s, span)
+
+
+def event_rate(events: DataFrame, by: list[str], window_s: int, step_s: int, span: tuple[int, int], ts: str = "timestamp_collector",
+               series: DataFrame | None = None) -> DataFrame:
+    """Rows per second in the range of each step."""
+    return event_count(events, by, window_s, step_s, span, ts, series).withColumn("value", F.col("value") / window_s)

@@ -19,7 +19,8 @@ class Entry:
 
 CATALOG: dict[str, Entry] = {}
 
-# End of the test period, 2024-01-31 00:00 UTC, as the time that instant queries are evaluated at.
+# The test period, from 2024-01-01 to 2024-01-31 00:00 UTC; instant queries are evaluated at its end.
+START_US = 1_704_067_200_000_000
 END_US = 1_706_659_200_000_000
 
 

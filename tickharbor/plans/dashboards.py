@@ -3,17 +3,20 @@
 Panels that can be counted from the events themselves are; the others read metric samples.
 """
 
+import math
+
 from pyspark.sql import functions as F
 
 from tickharbor.operators import quality as Q
 from tickharbor.operators import timeseries as T
 from tickharbor.operators.parsing import parse_frames
-from tickharbor.plans.catalog import END_US, add
+from tickharbor.plans.catalog import END_US, START_US, add
 from tickharbor.plans.config import _BASE as CONFIG_BASE
 from tickharbor.plans.config import DUCK_STATUS, stream_status
 from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.plans.quality import (
-    DAY_BREAKER, DUCK_SESSIONS, LATENCY, TIMEOUT_SECONDS, duck_error_windows, duck_files, duck_histogram, rotated)
+    DUCK_SESSIONS, DUCK_TIMEOUTS, LATENCY, duck_breaker, duck_files, duck_histogram, message_timeouts,
+    rotated)
 from tickharbor.sources.config import market_streams
 from tickharbor.sources.metrics import last_message_samples, message_samples
 from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_base
@@ -23,6 +26,9 @@ from tickharbor.sources.sample_metrics import (
 
 MARKET = f"WITH {DUCK_MARKET}"
 MINUTE, FIVE_MINUTES, HOUR = 60, 300, 3600
+# Steps at which panels over these ranges are evaluated: ranges overlap.
+STEP = {MINUTE: 30, FIVE_MINUTES: 120, HOUR: 1800}
+SPAN = (START_US, END_US)
 
 
 def rounded(df):
@@ -90,10 +96,27 @@ def _reconnects(spark, d):
     return Q.sessions(market_base(spark, d), "event_id").where("session > 1")
 
 
-add("q03_reconnects_5m", lambda spark, d: _reconnects(spark, d).groupBy("exchange", "symbol", T.range_end("opened_us", FIVE_MINUTES).alias("t_us"))
-    .agg(F.count("*").alias("value")), "Q03, TS-3, WIN-5",
-    f"""{MARKET}, {DUCK_SESSIONS} SELECT exchange, symbol, (opened_us + 299999999) // 300000000 * 300000000 AS t_us, count(*) AS value
-FROM sessions WHERE session > 1 GROUP BY ALL""")
+def duck_steps(window):
+    """Evaluation times of the test period."""
+    step = STEP[window] * 1_000_000
+    return f"(SELECT unnest(range({-(-START_US // step) * step}, {END_US + 1}, {step})) AS t_us)"
+
+
+def duck_counts(source, ts, by, window, where="true", series=None, per_second=False):
+    """Rows in (t - w, t] at each step, 0 where a series has none, by a range join."""
+    share = f" / {window}" if per_second else ""
+    keys = " AND ".join(["c.t_us = g.t_us", *[f"c.{label} = g.{label}" for label in by]])
+    labels = f"(SELECT DISTINCT {', '.join(by)} FROM {series or source} WHERE {where})" if by else "(SELECT 1)"
+    return f"""SELECT {''.join(f'g.{label}, ' for label in by)}g.t_us, coalesce(n, 0){share} AS value
+FROM (SELECT * FROM {labels} CROSS JOIN {duck_steps(window)}) g
+LEFT JOIN (SELECT {listed(by)}t_us, count(*) AS n FROM {source} JOIN {duck_steps(window)} ON {ts} > t_us - {window}000000 AND {ts} <= t_us
+  WHERE {where} GROUP BY ALL) c ON {keys}"""
+
+
+add("q03_reconnects_5m", lambda spark, d: T.event_count(_reconnects(spark, d), ["exchange", "symbol"], FIVE_MINUTES, STEP[FIVE_MINUTES], SPAN,
+    "opened_us", market_base(spark, d)), "Q03, TS-3, TS-13, WIN-5",
+    f"{MARKET}, {DUCK_SESSIONS}, reconnects AS (SELECT * FROM sessions WHERE session > 1) "
+    + duck_counts("reconnects", "opened_us", ["exchange", "symbol"], FIVE_MINUTES, series="priced"))
 
 add("q04_reconnects_total", lambda spark, d: _reconnects(spark, d).agg(F.count("*").alias("value")), "Q04, TS-6",
     f"{MARKET}, {DUCK_SESSIONS} SELECT count(*) AS value FROM sessions WHERE session > 1")
@@ -113,13 +136,12 @@ for _number, _name in (("05", "pings_sent"), ("06", "pongs_received")):
 
 
 def _message_rate(data_type):
-    return lambda spark, d: T.event_rate(market_base(spark, d).where(F.col("data_type") == data_type), ["exchange"], MINUTE)
+    return lambda spark, d: T.event_rate(market_base(spark, d).where(F.col("data_type") == data_type), ["exchange"], MINUTE, STEP[MINUTE], SPAN)
 
 
 for _number, _type in (("07", "orderbook"), ("08", "trade")):
-    add(f"q{_number}_{_type}_rate", _message_rate(_type), f"Q{_number}, TS-2, TS-4, TS-6, AGG-1",
-        f"""{MARKET} SELECT exchange, (timestamp_collector + 59999999) // 60000000 * 60000000 AS t_us, count(*) / 60 AS value
-FROM priced WHERE data_type = '{_type}' GROUP BY ALL""")
+    add(f"q{_number}_{_type}_rate", _message_rate(_type), f"Q{_number}, TS-2, TS-4, TS-6, TS-13, AGG-1",
+        f"{MARKET} " + duck_counts("priced", "timestamp_collector", ["exchange"], MINUTE, f"data_type = '{_type}'", per_second=True))
 
 
 def _process_instant(metric):
@@ -136,38 +158,45 @@ for _number, _name, _metric in (
 
 
 def _timeouts(spark, d):
-    events = Q.with_timeout(market_base(spark, d), market_streams(sample_config(spark, d)), TIMEOUT_SECONDS)
-    stale = Q.stale_periods(events, "event_id").where("action = 'reconnect'")
-    return stale.groupBy(T.range_end("resumed_us", HOUR).alias("t_us")).agg(F.count("*").alias("value"))
+    found = message_timeouts(spark, d)
+    # One series: that it exists does not depend on a timeout.
+    return T.event_count(found, [], HOUR, STEP[HOUR], SPAN, "at_us", spark.range(1))
+
+
+add("q11_timeouts_1h", _timeouts, "Q11, TS-3, TS-6, TS-13, WIN-3, WIN-4",
+    f"{MARKET}, {DUCK_CONFIG}, {DUCK_TIMEOUTS} " + duck_counts("timeouts", "at_us", [], HOUR))
+
+add("q12_circuit_breaks", lambda spark, d: Q.breaker_trips(Q.breaker_checks(parse_frames(landed_frames(spark, d)), "event_id"))
+    .agg(F.count("*").alias("value")), "Q12, TS-6, AGG-5", f"WITH RECURSIVE {duck_breaker()} SELECT count(DISTINCT (exchange, symbol, feed, opened_us)) AS value "
+    "FROM checks WHERE tripped")
+
 
+def _quantile(cells, by, window, q, span=None):
+    """Quantile at every step whose range has observations: histograms of cells are added where they meet."""
+    return T.histogram_quantile(T.to_steps(cells, "__cell_us", window, STEP[window], span), [*by, "t_us"], q)
 
-add("q11_timeouts_1h", _timeouts, "Q11, TS-3, TS-6, WIN-3", f"""{MARKET}, {DUCK_CONFIG},
-linked AS (SELECT timestamp_collector AS resumed_us, coalesce(data_timeout_secs, {TIMEOUT_SECONDS}) * 1000000 AS lim,
-  lag(timestamp_collector) OVER (PARTITION BY p.exchange, p.symbol, p.feed ORDER BY timestamp_collector, event_id) AS previous_us
-  FROM priced p LEFT JOIN streams s ON p.exchange = s.exchange AND p.symbol = s.symbol AND p.feed = s.feed)
-SELECT (resumed_us + 3599999999) // 3600000000 * 3600000000 AS t_us, count(*) AS value FROM linked WHERE resumed_us - previous_us > 3 * lim GROUP BY ALL""")
 
-add("q12_circuit_breaks", lambda spark, d: Q.parse_error_windows(parse_frames(landed_frames(spark, d)), **DAY_BREAKER).where("tripped")
-    .agg(F.count("*").alias("value")), "Q12, TS-6, AGG-5",
-    f"WITH {DUCK_EXPECTED} SELECT count(*) AS value FROM ({duck_error_windows(86_400, 0.1, 5)}) WHERE tripped")
+def _cell(ts, window):
+    return T.range_end(ts, math.gcd(window, STEP[window])).alias("__cell_us")
 
 
 def _latency_quantile(q):
     def run(spark, d):
-        events = market_base(spark, d).withColumn("t_us", T.range_end("timestamp_collector", FIVE_MINUTES))
-        return T.histogram_quantile(Q.latency_histogram(events, ["exchange", "t_us"]), ["exchange", "t_us"], q)
+        events = market_base(spark, d).select("*", _cell("timestamp_collector", FIVE_MINUTES))
+        return _quantile(Q.latency_histogram(events, ["exchange", "__cell_us"]), ["exchange"], FIVE_MINUTES, q, SPAN)
     return run
 
 
 _LATENCY_5M = f"""(SELECT exchange, t_us, le, cumulative FROM ({duck_histogram(
-    '(SELECT *, (timestamp_collector + 299999999) // 300000000 * 300000000 AS t_us FROM priced)', 'exchange, t_us', LATENCY, Q.LATENCY_BOUNDS_MS)}))"""
+    f'(SELECT * FROM priced JOIN {duck_steps(FIVE_MINUTES)} ON timestamp_collector > t_us - 300000000 AND timestamp_collector <= t_us)',
+    'exchange, t_us', LATENCY, Q.LATENCY_BOUNDS_MS)}))"""
 
 for _number, _q in (("13", 0.50), ("14", 0.95)):
-    add(f"q{_number}_latency_p{int(_q * 100)}", _latency_quantile(_q), f"Q{_number}, TS-4, TS-6, TS-9, AGG-3",
+    add(f"q{_number}_latency_p{int(_q * 100)}", _latency_quantile(_q), f"Q{_number}, TS-4, TS-6, TS-9, TS-13, AGG-3",
         f"{MARKET} SELECT * FROM {duck_quantile(_LATENCY_5M, ['exchange', 't_us'], f'{_q}::DOUBLE')}")
 
-add("q15_rows_written_rate", lambda spark, d: T.event_rate(market_base(spark, d), [], MINUTE), "Q15, TS-4",
-    f"{MARKET} SELECT (timestamp_collector + 59999999) // 60000000 * 60000000 AS t_us, count(*) / 60 AS value FROM priced GROUP BY ALL")
+add("q15_rows_written_rate", lambda spark, d: T.event_rate(market_base(spark, d), [], MINUTE, STEP[MINUTE], SPAN, series=spark.range(1)), "Q15, TS-4, TS-13",
+    f"{MARKET} " + duck_counts("priced", "timestamp_collector", [], MINUTE, per_second=True))
 
 add("q18_files_rotated", lambda spark, d: rotated(spark, d).agg(F.count("*").alias("value")), "Q18, TS-6, WIN-7, SNK-2",
     f"WITH RECURSIVE {DUCK_EXPECTED}, {duck_files()} SELECT count(*) AS value FROM opened")
@@ -178,16 +207,20 @@ add("q19_rows_written", lambda spark, d: market_base(spark, d).agg(F.count("*").
 
 def _upload_quantile(q):
     def run(spark, d):
-        uploads = upload_log(spark, d).withColumn("t_us", T.range_end("ts_us", FIVE_MINUTES))
-        return T.histogram_quantile(Q.histogram(uploads, ["t_us"], F.col("duration_s"), Q.UPLOAD_BOUNDS_S), ["t_us"], q)
+        uploads = upload_log(spark, d).select("*", _cell("ts_us", FIVE_MINUTES))
+        return _quantile(Q.histogram(uploads, ["__cell_us"], F.col("duration_s"), Q.UPLOAD_BOUNDS_S), [], FIVE_MINUTES, q)
     return run
 
 
+# The uploads' own steps: every multiple of the step that a range with an upload ends at.
+_UPLOAD_STEPS = f"""(SELECT DISTINCT unnest(range((ts_us + {STEP[FIVE_MINUTES] * 1_000_000 - 1}) // {STEP[FIVE_MINUTES] * 1_000_000} * {STEP[FIVE_MINUTES] * 1_000_000},
+  ts_us + 300000000, {STEP[FIVE_MINUTES] * 1_000_000})) AS t_us FROM uploads)"""
 _UPLOADS_5M = f"""(SELECT t_us, le, cumulative FROM ({duck_histogram(
-    '(SELECT *, (ts_us + 299999999) // 300000000 * 300000000 AS t_us FROM uploads)', 't_us', 'duration_s', Q.UPLOAD_BOUNDS_S)}))"""
+    f'(SELECT uploads.*, t_us FROM uploads JOIN {_UPLOAD_STEPS} ON ts_us > t_us - 300000000 AND ts_us <= t_us)',
+    't_us', 'duration_s', Q.UPLOAD_BOUNDS_S)}))"""
 
 for _number, _q in (("23", 0.50), ("24", 0.95)):
-    add(f"q{_number}_upload_p{int(_q * 100)}", _upload_quantile(_q), f"Q{_number}, TS-9, AGG-9",
+    add(f"q{_number}_upload_p{int(_q * 100)}", _upload_quantile(_q), f"Q{_number}, TS-9, TS-13, AGG-9",
         f"WITH {DUCK_UPLOADS} SELECT * FROM {duck_quantile(_UPLOADS_5M, ['t_us'], f'{_q}::DOUBLE')}")
 
 add("q25_uptime", lambda spark, d: T.age(_process_instant("collector_start_timestamp_seconds")(spark, d), END_US), "Q25, TS-10",

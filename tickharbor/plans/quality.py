@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tickharbor.operators import quality as Q
 from tickharbor.operators.parsing import market_events, parse_frames
 from tickharbor.operators.rotation import LOOK_ROWS, MAX_FILE_AGE_US, MAX_FILE_BYTES, rotation_files, row_bytes
-from tickharbor.plans.catalog import END_US, add
+from tickharbor.plans.catalog import END_US, START_US, add
 from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.sources.archive import hourly_groups
 from tickharbor.sources.config import market_streams
@@ -130,6 +130,27 @@ SELECT {_STREAM}, subscribed_us, first_us, coalesce(first_us, {END_US}) - subscr
   CASE WHEN coalesce(first_us, {END_US}) - subscribed_us > timeout_s * 3000000 THEN 'reconnect'
     WHEN coalesce(first_us, {END_US}) - subscribed_us > 30000000 THEN 'warn' ELSE 'ok' END AS action FROM waited""")
 
+DUCK_TIMEOUTS = f"""
+marks AS (SELECT {_STREAM}, timestamp_collector AS us, 1 AS rank FROM priced WHERE timestamp_collector >= {START_US} AND timestamp_collector < {END_US}
+  UNION ALL SELECT {_STREAM}, {START_US}, 0 FROM streams UNION ALL SELECT {_STREAM}, {END_US}, 2 FROM streams),
+silences AS (SELECT {_STREAM}, us, lag(us) OVER w AS since, lag(rank) OVER w AS was FROM marks WINDOW w AS (PARTITION BY {_STREAM} ORDER BY us, rank)),
+timeouts AS (SELECT l.exchange, l.symbol, l.feed, CASE WHEN was = 0 THEN 'never_received' ELSE 'stalled' END AS cause, since AS silent_since_us,
+  unnest(range(since + coalesce(data_timeout_secs, {TIMEOUT_SECONDS}) * 3000000, us, coalesce(data_timeout_secs, {TIMEOUT_SECONDS}) * 3000000)) AS at_us
+  FROM silences l JOIN streams s ON l.exchange = s.exchange AND l.symbol = s.symbol AND l.feed = s.feed WHERE since IS NOT NULL)
+""".strip()
+
+
+def message_timeouts(spark, d):
+    streams = market_streams(sample_config(spark, d)).select(
+        *Q.STREAM_KEY, F.coalesce("data_timeout_secs", F.lit(TIMEOUT_SECONDS)).cast("bigint").alias("timeout_s"))
+    return Q.message_timeouts(market_base(spark, d), streams, START_US, END_US)
+
+
+add("message_timeouts", lambda spark, d: message_timeouts(spark, d).groupBy(*Q.STREAM_KEY, "cause", "silent_since_us").agg(
+    F.count("*").alias("timeouts"), F.max("at_us").alias("last_us")), "WIN-3, WIN-4",
+    f"""WITH {DUCK_MARKET}, {DUCK_CONFIG}, {DUCK_TIMEOUTS}
+SELECT {_STREAM}, cause, silent_since_us, count(*) AS timeouts, max(at_us) AS last_us FROM timeouts GROUP BY ALL""")
+
 DUCK_SESSIONS = f"""
 linked AS (SELECT {_STREAM}, event_id, timestamp_collector,
   lag(timestamp_collector) OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector, event_id) AS previous_us FROM priced),
@@ -170,19 +191,30 @@ DAY_BREAKER = {"window_seconds": 86_400, "ratio": 0.1, "min_samples": 5}
 add("parse_error_days", lambda spark, d: Q.parse_error_windows(parse_frames(landed_frames(spark, d)), **DAY_BREAKER), "AGG-5",
     f"WITH {DUCK_EXPECTED} {duck_error_windows(86_400, 0.1, 5)}")
 
-# The same days from the first row on: windows open with a row, and every error is a test.
-add("breaker_checks", lambda spark, d: Q.breaker_checks(parse_frames(landed_frames(spark, d)), "event_id", **DAY_BREAKER), "AGG-5",
-    f"""WITH RECURSIVE {DUCK_EXPECTED}, counted AS (SELECT {_STREAM}, timestamp_collector, event_id, kind FROM expected WHERE kind IN ('orderbook', 'trade', 'error')),
+
+def duck_breaker(window_seconds: int = 60, ratio: float = 0.5, min_samples: int = 100) -> str:
+    """Windows that open with a row, with every error as a test: relation ``checks``; needs WITH RECURSIVE."""
+    return f"""{DUCK_EXPECTED}, counted AS (SELECT {_STREAM}, timestamp_collector, event_id, kind FROM expected WHERE kind IN ('orderbook', 'trade', 'error')),
 opened AS (SELECT {_STREAM}, min(timestamp_collector) AS opened_us FROM counted GROUP BY {_STREAM}
   UNION ALL SELECT {_STREAM}, next_us FROM (SELECT o.exchange, o.symbol, o.feed, min(c.timestamp_collector) AS next_us
     FROM opened o JOIN counted c ON o.exchange = c.exchange AND o.symbol = c.symbol AND o.feed = c.feed
-    AND c.timestamp_collector > o.opened_us + 86400000000 GROUP BY ALL)),
+    AND c.timestamp_collector > o.opened_us + {window_seconds}000000 GROUP BY ALL)),
 placed AS (SELECT c.*, o.opened_us FROM counted c ASOF JOIN opened o ON c.exchange = o.exchange AND c.symbol = o.symbol AND c.feed = o.feed
   AND c.timestamp_collector >= o.opened_us),
 summed AS (SELECT *, CAST(sum(CASE WHEN kind = 'error' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS errors, count(*) OVER w AS samples FROM placed
-  WINDOW w AS (PARTITION BY {_STREAM}, opened_us ORDER BY timestamp_collector, event_id ROWS UNBOUNDED PRECEDING))
-SELECT {_STREAM}, event_id, timestamp_collector, opened_us, errors, samples, errors / samples AS error_ratio,
-  samples >= 5 AND errors / samples >= 0.1 AS tripped FROM summed WHERE kind = 'error'""")
+  WINDOW w AS (PARTITION BY {_STREAM}, opened_us ORDER BY timestamp_collector, event_id ROWS UNBOUNDED PRECEDING)),
+checks AS (SELECT {_STREAM}, event_id, timestamp_collector, opened_us, errors, samples, errors / samples AS error_ratio,
+  samples >= {min_samples} AND errors / samples >= {ratio} AS tripped FROM summed WHERE kind = 'error')"""
+
+
+# The same days from the first row on: windows open with a row, and every error is a test.
+add("breaker_checks", lambda spark, d: Q.breaker_checks(parse_frames(landed_frames(spark, d)), "event_id", **DAY_BREAKER), "AGG-5",
+    f"WITH RECURSIVE {duck_breaker(**DAY_BREAKER)} SELECT * FROM checks")
+
+# Windows in which the breaker opens its circuit, with the numbers of the days.
+add("breaker_trips", lambda spark, d: Q.breaker_trips(Q.breaker_checks(parse_frames(landed_frames(spark, d)), "event_id", **DAY_BREAKER)), "AGG-5",
+    f"""WITH RECURSIVE {duck_breaker(**DAY_BREAKER)} SELECT {_STREAM}, opened_us, min(timestamp_collector) AS tripped_us
+FROM checks WHERE tripped GROUP BY ALL""")
 
 # --- rotation ---------------------------------------------------------------------------------
 
