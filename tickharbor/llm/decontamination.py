@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickharbor.llm.memory import freed
 from tickharbor.llm.textbytes import column_bytes, plain_word_hashes, row_blocks
 
 WINDOW, STRIDE = 32, 16
@@ -48,10 +49,12 @@ def passages(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndar
     row = np.repeat(np.arange(len(counts)), each)
     number = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
     start = firsts[row] + number * STRIDE
+    known = np.append((words & np.uint64(TERMS - 1)).astype(np.int32), np.int32(TERMS))
     place = start[:, None] + np.arange(WINDOW)
-    terms = np.full(place.shape, TERMS, dtype=np.int32)
-    inside = place < firsts[row + 1][:, None]
-    terms[inside] = (words[place[inside]] & np.uint64(TERMS - 1)).astype(np.int32)
+    # Only the last passage of a text can reach beyond it.
+    short = np.flatnonzero(start + WINDOW > firsts[row + 1])
+    place[short] = np.where(place[short] < firsts[row[short] + 1][:, None], place[short], len(words))
+    terms = known[place]
     terms.sort(axis=1)
     terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = TERMS
     return row, start, terms
@@ -87,22 +90,35 @@ def _summed(rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
     return out
 
 
+def _some_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The terms of all passages, so many at once that the arrays of a step stay small whatever the texts' lengths."""
+    held, rows = [], 0
+    for batch in batches:
+        for _, words, firsts in _blocks(batch.column("text")):
+            terms = passages(words, firsts)[2]
+            held.append(terms)
+            rows += len(terms)
+            if rows >= 16 * STEP:
+                joined = np.concatenate(held)
+                for i in range(0, len(joined) - 16 * STEP + 1, 16 * STEP):
+                    yield joined[i:i + 16 * STEP]
+                held, rows = [joined[len(joined) // (16 * STEP) * 16 * STEP:].copy()], len(joined) % (16 * STEP)
+    if rows:
+        yield np.concatenate(held)
+
+
 def _multiplier(weights: np.ndarray):
     """Each task's share of AᵀAΩ, in chunks of rows."""
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.append(weights, 0).astype(np.float32)
         right = np.vstack([_random_matrix() * weight[:-1, None], np.zeros((1, DIMENSIONS), dtype=np.float32)])
         sums = np.zeros((DIMENSIONS, TERMS + 1))
-        for batch in batches:
-            known = [passages(words, firsts)[2] for _, words, firsts in _blocks(batch.column("text"))]
-            terms = np.concatenate(known) if known else np.empty((0, WINDOW), dtype=np.int32)
-            for i in range(0, len(terms), 16 * STEP):
-                some = terms[i:i + 16 * STEP]
-                norm = np.maximum((weight[some] ** 2).sum(axis=1), 1e-12)
-                left = (_summed(right, some) / norm[:, None]).T.copy()
-                flat = some.ravel()
-                for dimension in range(DIMENSIONS):
-                    sums[dimension] += np.bincount(flat, np.repeat(left[dimension], WINDOW), TERMS + 1)
+        for terms in _some_passages(batches):
+            norm = np.maximum((weight[terms] ** 2).sum(axis=1), 1e-12)
+            left = (_summed(right, terms) / norm[:, None]).T.copy()
+            flat = terms.ravel()
+            for dimension in range(DIMENSIONS):
+                sums[dimension] += np.bincount(flat, np.repeat(left[dimension], WINDOW), TERMS + 1)
         product = sums[:, :-1].T * weight[:-1, None]
         if product.any():
             yield pa.RecordBatch.from_arrays([
@@ -143,11 +159,11 @@ def latent_space(documents: DataFrame) -> Space:
     The driver gets one number for each term and one matrix of TERMS by DIMENSIONS, whatever the input.
     """
     texts = documents.select(F.coalesce("text", F.lit("")).alias("text"))
-    counted = texts.mapInArrow(_frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counted = texts.mapInArrow(freed(_frequencies), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(TERMS + 1)
     counts[counted["term"].to_numpy()] = counted["n"].to_numpy()
     weights = np.where(counts[:-1] > 0, np.log((1 + counts[-1]) / (1 + counts[:-1])), 0.0)
-    sums = (texts.mapInArrow(_multiplier(weights), "chunk int, sums binary").repartition("chunk")
+    sums = (texts.mapInArrow(freed(_multiplier(weights)), "chunk int, sums binary").repartition("chunk")
             .mapInArrow(_added, "chunk int, sums binary").toArrow())
     product = np.zeros((TERMS, DIMENSIONS))
     for chunk, part in zip(sums["chunk"].to_pylist(), sums["sums"].to_pylist()):
@@ -302,7 +318,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     space, out = latent_space(docs), None
     known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     for items in item_passes(known):
-        found = docs.mapInArrow(_finder(space, items), "doc_id long, item_id long, share double, answer_share double")
+        found = docs.mapInArrow(freed(_finder(space, items)), "doc_id long, item_id long, share double, answer_share double")
         out = found if out is None else out.unionByName(found)
     if out is None:
         return documents.sparkSession.createDataFrame([], "doc_id long, item_id long, share double, answer_share double")
@@ -324,5 +340,5 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that hold no benchmark item, with all their columns."""
     space, out = latent_space(documents), documents
     for items in item_passes(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")):
-        out = out.mapInArrow(_cleaner(space, items), documents.schema)
+        out = out.mapInArrow(freed(_cleaner(space, items)), documents.schema)
     return out

@@ -138,3 +138,8 @@ def encoder(path: str) -> Encoder:
         _ENCODERS.clear()
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Drop the worker's encoder; the next task loads its own."""
+    _ENCODERS.clear()

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickharbor.llm.memory import freed
 from tickharbor.llm.textbytes import LOWER, SpanHash, column_bytes, row_blocks
 from tickharbor.session import stored
 
@@ -319,7 +320,7 @@ def in_known_language(documents: DataFrame, model: Model) -> DataFrame:
 
     If nothing was learned, only texts without a letter go.
     """
-    return documents.mapInArrow(_keeper(model), documents.schema)
+    return documents.mapInArrow(freed(_keeper(model)), documents.schema)
 
 
 def is_held_out() -> F.Column:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickharbor.llm.encoding import encoder
+from tickharbor.llm.memory import freed
 from tickharbor.session import stored
 
 FIT_STEPS = 200
@@ -159,7 +160,7 @@ _SCHEMA = pa.schema([(name, pa.int32() if name in ("piece", "block") else pa.int
 def cut_pieces(documents: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
     """Pieces of at most ``capacity`` ids, the first one shorter; ``place`` counts pieces of a length within a ``block``."""
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
-        .mapInArrow(_cutter(vocabulary, end_id, capacity), PIECE)
+        .mapInArrow(freed(_cutter(vocabulary, end_id, capacity)), PIECE)
 
 
 def _placer(plan: Plan):

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickharbor.llm.memory import freed
 from tickharbor.llm.textbytes import LOWER, SpanHash, column_bytes, mix, row_blocks, word_spans
 from tickharbor.session import stored
 
@@ -300,4 +301,4 @@ def masked(documents: DataFrame) -> DataFrame:
         F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), F.col("found").alias("__found")).distinct()
     key = F.xxhash64(F.coalesce(documents["text"], F.lit("")))
     rows = documents.join(more, documents["doc_id"].cast("long").eqNullSafe(more["__doc"]) & (key == more["__key"]), "left")
-    return rows.select(*documents.columns, "__found").mapInArrow(_masked, documents.schema)
+    return rows.select(*documents.columns, "__found").mapInArrow(freed(_masked), documents.schema)

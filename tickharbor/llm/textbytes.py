@@ -77,6 +77,12 @@ class SpanHash:
             cls._up = np.concatenate([cls._up, cls._up * np.uint64(pow(_BASE, step, 1 << 64))])
             cls._down = np.concatenate([cls._down, cls._down * np.uint64(pow(_BASE_INVERSE, step, 1 << 64))])
 
+    @classmethod
+    def shrink(cls) -> None:
+        """Forget powers beyond those that a block of usual texts needs."""
+        if len(cls._up) > 2 * BLOCK_BYTES:
+            cls._up, cls._down = cls._up[:2 * BLOCK_BYTES].copy(), cls._down[:2 * BLOCK_BYTES].copy()
+
     def windows(self, length: int) -> np.ndarray:
         """The hashes of all ranges of one length, as ``of`` would give them."""
         sums = (self.sums[length:] - self.sums[:-length]) * self._down[:len(self.sums) - length]
