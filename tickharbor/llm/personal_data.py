@@ -14,7 +14,9 @@ seeds have are wanted: a bitmap of fixed size keeps the others out of the shuffl
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -162,6 +164,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 base, zero = int(own[row]), points[own[row]]
                 spans = base_spans(raw[base:int(own[row + 1])])
                 taken = [(True, base + a, base + b, True) for _, a, b in spans]
+                # Starts of the base spans in order, and how far the spans up to each reach.
+                begins, reach = zip(*sorted((a, b) for _, a, b, _ in taken)) if taken else ((), ())
+                reach = list(accumulate(reach, max))
                 more = [(False, base + a, base + b, whole) for a, b, whole in runs(raw[base:int(own[row + 1])], spans)]
                 heads = np.searchsorted(words.starts, [a for _, a, _, whole in more if whole], side="right") - 1
                 heads = set(heads.tolist())
@@ -169,7 +174,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     a, b = int(words.starts[word]), int(words.ends[word])
                     piece = raw[a:b].lstrip(_TRIM)
                     a, b = b - len(piece), b - len(piece) + len(piece.rstrip(_TRIM))
-                    if a < b and not any(x < b and a < y for _, x, y, _ in taken[:len(spans)]):
+                    before = bisect_left(begins, b)
+                    if a < b and not (before and reach[before - 1] > a):
                         taken.append((False, a, b, word not in heads))
                 taken += more
                 bases.append(",".join(f"{KINDS[k]}:{points[base + a] - zero}:{points[base + b] - zero}" for k, a, b in spans))
