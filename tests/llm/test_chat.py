@@ -35,7 +35,7 @@ def legal(text):
     return len(roles) % 2 == 0 and all(r == ("user", "assistant")[k % 2] for k, r in enumerate(roles)) and text.count("<|im_end|>") == text.count("<|im_start|>")
 
 
-def test_conversations(spark, monkeypatch):
+def test_conversations(spark):
     rng = random.Random(6)
     rows = [(c, t, rng.choice(["system", "user", "User ", "assistant", "tool", None]), f"text {c} {t} <|im_end|>")
             for c in range(30) for t in range(rng.randrange(1, 12))]
@@ -45,11 +45,12 @@ def test_conversations(spark, monkeypatch):
                                   "turn long, role string, text string, conv_id long, slice int, place string").repartition(3)
     rendered = {}
     for size in (4096, 7):
-        monkeypatch.setattr(chat, "SLICE", size)
-        texts, costs = {}, {}
-        for r in sorted(chat.chat_fragments(table).collect(), key=lambda r: (r.slice, r.place)):
+        texts, costs, slices = {}, {}, {}
+        for r in sorted(chat.chat_fragments(table, size).collect(), key=lambda r: (r.slice, r.place)):
             texts[r.conv_id] = texts.get(r.conv_id, "") + r.fragment
             costs.setdefault(r.conv_id, []).append(r.action)
+            slices.setdefault(r.conv_id, set()).add(r.slice)
+        assert len(slices[77]) >= 200 // size
         rendered[size] = {c: (len(t.replace("\n\n", "")), a.count("merge"), a.count("relabel"), a.count("insert"))
                           for (c, t), a in zip(texts.items(), costs.values())}
         assert all(legal(t) for t in texts.values())

@@ -10,7 +10,7 @@ their matrices, matrices give the states between slices, and every slice then fi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 from typing import NamedTuple
 
@@ -120,18 +120,21 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object,
         yield value, list(run)
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part = TaskContext.get().partitionId()
-    number, place, current = -1, 0, object()
-    for batch in batches:
-        slices, places = [], []
-        for conversation in batch.column("conv_id").to_pylist():
-            if conversation != current or place == SLICE:
-                number, place, current = number + 1, 0, conversation
-            slices.append((part << 32) | number)
-            places.append(place)
-            place += 1
-        yield batch.append_column("slice", pa.array(slices, pa.int64())).append_column("place", pa.array(places, pa.int32()))
+def _numbered(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        number, place, current = -1, 0, object()
+        for batch in batches:
+            slices, places = [], []
+            for conversation in batch.column("conv_id").to_pylist():
+                if conversation != current or place == size:
+                    number, place, current = number + 1, 0, conversation
+                slices.append((part << 32) | number)
+                places.append(place)
+                place += 1
+            yield batch.append_column("slice", pa.array(slices, pa.int64())).append_column("place", pa.array(places, pa.int32()))
+
+    return rows
 
 
 def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +194,7 @@ def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, (turn, role, action, text) in enumerate(fragments(rows))], schema=shape)
 
 
-def chat_fragments(conversations: DataFrame) -> DataFrame:
+def chat_fragments(conversations: DataFrame, slice_turns: int = SLICE) -> DataFrame:
     """``conv_id, slice, place, turn, role, action, fragment``: the repaired and rendered conversations.
 
     Fragments in order of ``slice, place`` make up the text of a conversation: one for each turn, one without
@@ -199,17 +202,19 @@ def chat_fragments(conversations: DataFrame) -> DataFrame:
     or end. Turns are in order of ``turn``, those without first, equal ones by role and text. Roles are read
     without case and outer white space; others, and null, are unknown. A null text is empty. Rows without
     ``conv_id`` are one conversation. Other columns are ignored; an empty table gives no rows. Turns are range
-    partitioned, so a conversation of any size is dealt out; no task holds more than a slice of it.
+    partitioned, so a conversation of any size is dealt out; no task holds more than a slice of ``slice_turns`` of it.
     """
     known = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role",
                                  F.coalesce("text", F.lit("")).alias("text"))
     order = ["conv_id", "turn", "role", "text"]
-    dealt = known.repartitionByRange(tasks_of(conversations.sparkSession), *order[:3], F.xxhash64("text"))
+    # Little is shuffled but every row costs time: the number of tasks must not shrink with the bytes.
+    tasks = tasks_of(conversations.sparkSession)
+    dealt = known.repartitionByRange(tasks, *order[:3], F.xxhash64("text"))
     turns = stored(dealt.sortWithinPartitions(*order).mapInArrow(
-        _numbered, "conv_id long, turn long, role string, text string, slice long, place int"), "chat-turns")
-    costs = (turns.select("conv_id", "slice", "place", "role").repartition("slice").sortWithinPartitions("slice", "place")
+        _numbered(slice_turns), "conv_id long, turn long, role string, text string, slice long, place int"), "chat-turns")
+    costs = (turns.select("conv_id", "slice", "place", "role").repartition(tasks, "slice").sortWithinPartitions("slice", "place")
              .mapInArrow(_products, "conv_id long, slice long, costs array<long>"))
-    states = stored(costs.repartition("conv_id").sortWithinPartitions("conv_id", "slice").mapInArrow(
+    states = stored(costs.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "slice").mapInArrow(
         _between, "slice long, entry int, leave int, ends boolean"), "chat-states")
     return (turns.join(states, "slice").repartition("slice").sortWithinPartitions("slice", "place")
             .select("conv_id", "slice", "turn", "role", "text", "entry", "leave", "ends")
