@@ -157,10 +157,11 @@ _NAMES = ("doc_id", "piece", "start", "length", "ids_crc32", "block", "place")
 _SCHEMA = pa.schema([(name, pa.int32() if name in ("piece", "block") else pa.int64()) for name in _NAMES])
 
 
-def cut_pieces(documents: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
+def cut_pieces(documents: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_encoder: bool = True) -> DataFrame:
     """Pieces of at most ``capacity`` ids, the first one shorter; ``place`` counts pieces of a length within a ``block``."""
+    cutter = _cutter(vocabulary, end_id, capacity)
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
-        .mapInArrow(freed(_cutter(vocabulary, end_id, capacity)), PIECE)
+        .mapInArrow(cutter if keep_encoder else freed(cutter), PIECE)
 
 
 def _placer(plan: Plan):
@@ -173,14 +174,15 @@ def _placer(plan: Plan):
     return place
 
 
-def pack(documents: DataFrame, vocabulary: str, end_id: int, capacity: int = 1024) -> DataFrame:
+def pack(documents: DataFrame, vocabulary: str, end_id: int, capacity: int = 1024, keep_encoder: bool = True) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece of every document.
 
     A null or empty text is the end id alone. Rows that repeat a ``doc_id``, or have none, are documents of
     their own. Other columns are ignored; an empty table gives no rows. Texts are encoded once and their
     pieces stored; only counts by length and task move to find ranks, so equal lengths never meet in a task.
+    Without ``keep_encoder`` workers drop theirs after each task: slower, but other stages find the memory free.
     """
-    pieces = stored(cut_pieces(documents, vocabulary, end_id, capacity), "pieces")
+    pieces = stored(cut_pieces(documents, vocabulary, end_id, capacity, keep_encoder), "pieces")
     counts = pieces.groupBy("length", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     counts = stored(counts.select("length", "block", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")),
