@@ -53,7 +53,7 @@ def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    return pack(docs, tables.vocabulary(PACK_VOCABULARY), PACK_END, SEQUENCE)
+    return pack(docs, tables.vocabulary(PACK_VOCABULARY), PACK_END, SEQUENCE, keep_encoder=False)
 
 
 STAGES: list[tuple[str, Stage]] = [
