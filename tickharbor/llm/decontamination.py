@@ -115,8 +115,8 @@ def _multiplier(weights: np.ndarray):
         sums = np.zeros((DIMENSIONS, TERMS + 1))
         for terms in _some_passages(batches):
             norm = np.maximum((weight[terms] ** 2).sum(axis=1), 1e-12)
-            left = (_summed(right, terms) / norm[:, None]).T.astype(np.float64)
-            flat = terms.ravel()
+            left = (_summed(right, terms) / norm[:, None]).T.copy()
+            flat = terms.ravel().astype(np.int64)  # as counting wants them, once for all dimensions
             for dimension in range(DIMENSIONS):
                 sums[dimension] += np.bincount(flat, np.repeat(left[dimension], WINDOW), TERMS + 1)
         product = sums[:, :-1].T * weight[:-1, None]
