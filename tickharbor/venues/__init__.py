@@ -2,8 +2,9 @@
 
 A venue is a function from a :class:`~tickharbor.functions.documents.Document` to an
 ordered list of :class:`Rule`; the first rule whose condition holds decides about a
-frame. ``@venue("name")`` adds one, which is all that parsing needs; symbol forms, channels, pings and
-payload shapes of a venue are stated where they are used. The key, channel and type names in the rules are fixed values of the venues' own formats, and the
+frame. ``@venue("name")`` adds one, which is all that parsing needs; symbol forms,
+channels, pings and payload shapes of a venue are stated where they are used. The key,
+channel and type names in the rules are fixed values of the venues' own formats, and the
 defaults "unknown" and "0" are fixed values of the stored table.
 """
 
