@@ -35,6 +35,7 @@ def test_every_row_is_answered_over_restarts_and_late_rows(spark, tmp_path):
     turn = F.when(F.col("event_id") < 300, 0).when(F.col("event_id") >= 600, 1).otherwise(2)
     files = base.withColumn("timestamp_collector", F.col("timestamp_collector") + turn * 10**15)
     assert sorted(got) == sorted(Q.sequence_check(files, "event_id").select("event_id", "result", "gap_size").collect())
+    assert sorted(p.name for p in (tmp_path / "out" / "marks").iterdir()) == ["batch=1", "batch=2"]
 
 
 def test_counters_over_more_batches_than_a_query_remembers(spark, tmp_path):

@@ -7,14 +7,14 @@ holds no rows.
 from pyspark.sql import functions as F
 
 from tickharbor.operators.parsing import market_events, parse_frames
-from tickharbor.plans.catalog import add
+from tickharbor.plans.catalog import CATALOG, add
 from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.plans.quality import DUCK_CHECKED
 from tickharbor.session import configure, stored, work_folder
 from tickharbor.sources import archive as A
 from tickharbor.sources.frames import read_frames
 from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_base
-from tickharbor.streaming import ingest, progress, state
+from tickharbor.streaming import corrections, ingest, progress, state
 
 _STREAM = "exchange, symbol, feed"
 # Files that are taken in one after another where a query shows several micro-batches.
@@ -169,3 +169,42 @@ numbered AS (SELECT *, sum(CASE WHEN timestamp_collector - previous_us <= 900000
   OVER (PARTITION BY {_STREAM} ORDER BY timestamp_collector ROWS UNBOUNDED PRECEDING) AS session FROM linked)
 SELECT {_STREAM}, min(timestamp_collector) AS opened_us, max(timestamp_collector) AS closed_us, count(*) AS frames
 FROM numbered GROUP BY {_STREAM}, session""")
+
+
+def _mixed(spark, d, table):
+    """The table as a stream of several micro-batches; each covers all of its time, so from the second on rows come late."""
+    rows, path = table(spark, d), work_folder(spark, "landed-mixed")
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), _BATCHES)
+    rows.repartition(files, F.crc32(F.col("event_id").cast("string"))).write.parquet(path)
+    return configure(spark).readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-files // _BATCHES)).parquet(path)
+
+
+def _late_first_arrivals(spark, d):
+    source, path = _mixed(spark, d, market_base), work_folder(spark, "first-arrivals")
+    ingest.drain([corrections.first_arrival_stream(source, "event_id", path, work_folder(spark, "checkpoint"))])
+    kept = corrections.first_arrival_rows(spark, path, corrections.schema_text(source), "event_id")
+    return kept.select("exchange", "symbol", "data_type", "exchange_sequence_id", "event_id", "timestamp_collector")
+
+
+add("stream_late_first_arrivals", _late_first_arrivals, "STR-5, WIN-2", f"""WITH {DUCK_MARKET}
+SELECT exchange, symbol, data_type, exchange_sequence_id, event_id, timestamp_collector FROM priced
+QUALIFY row_number() OVER (PARTITION BY exchange, symbol, data_type, exchange_sequence_id ORDER BY timestamp_collector, event_id) = 1""")
+
+
+def _late_error_windows(spark, d):
+    path = work_folder(spark, "error-counts")
+    parsed = parse_frames(_mixed(spark, d, landed_frames))
+    ingest.drain([corrections.error_count_stream(parsed, path, work_folder(spark, "checkpoint"), window_seconds=86_400)])
+    return corrections.error_windows(spark, path, ratio=0.1, min_samples=5)
+
+
+add("stream_late_error_windows", _late_error_windows, "STR-3, AGG-5", CATALOG["stream_error_windows"].sql)
+
+
+def _late_sessions(spark, d):
+    path = work_folder(spark, "session-parts")
+    ingest.drain([corrections.session_part_stream(_mixed(spark, d, market_base), "event_id", path, work_folder(spark, "checkpoint"))])
+    return corrections.joined_sessions(spark, path)
+
+
+add("stream_late_sessions", _late_sessions, "STR-6, WIN-5", CATALOG["stream_sessions"].sql)

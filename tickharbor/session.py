@@ -98,6 +98,12 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a table that a job has written itself and no longer needs; nothing happens if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder, which outlives any executor."""
     shared_folder(df.sparkSession)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,7 @@ from tickharbor.operators.ordered import Previous, with_previous
 from tickharbor.operators.quality import (
     BREAKER_MIN_SAMPLES, BREAKER_RATIO, BREAKER_WINDOW_SECONDS, dead_after_us)
 from tickharbor.schemas import STREAM_KEY, WRITER_KEY
+from tickharbor.session import remove_folder
 
 WATERMARK = "1 minute"
 
@@ -79,13 +81,22 @@ def sequence_stream(
     their receipt. The highest id of each key is a table of one row per key under
     ``path/marks``; results are under ``path/checked``. A batch reads the marks that the one
     before has left and overwrites its own folders, so one that is repeated gives the same.
+    Older marks are removed. The batch is held on the executors' disks, so its rows are made once.
     """
     numbered = events.select(
         *WRITER_KEY, "timestamp_collector", tiebreak, numeric_sequence("exchange_sequence_id").alias("sequence"),
     ).where(F.col("sequence").isNotNull())
     shape = ", ".join(f"{key} string" for key in WRITER_KEY) + ", highest bigint"
 
-    def check(batch: DataFrame, batch_id: int) -> None:
+    def check(arrived: DataFrame, batch_id: int) -> None:
+        batch = arrived.persist(StorageLevel.DISK_ONLY)
+        try:
+            check_held(batch, batch_id)
+        finally:
+            batch.unpersist()
+        remove_folder(arrived.sparkSession, f"{path}/marks/batch={batch_id - 2}")
+
+    def check_held(batch: DataFrame, batch_id: int) -> None:
         marks = _marks(batch.sparkSession, f"{path}/marks", batch_id, shape)
         marked = with_previous(batch, WRITER_KEY, ["timestamp_collector", tiebreak], {"__within": Previous("max", "sequence")})
         before = F.greatest("__within", "highest")
