@@ -1,11 +1,13 @@
 """Streams that late rows correct, against their batch forms."""
 
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickharbor.operators import quality as Q
+from tickharbor.operators.payload import book_of, book_state, current_book
 from tickharbor.streaming import corrections as C
 from tickharbor.streaming import ingest
 
@@ -88,3 +90,20 @@ def test_a_repeated_batch_counts_once(spark, tmp_path, dense):
     assert set(after.where(F.col("batch") < 2).collect()) <= set(before)
     expected = Q.first_arrivals(spark.createDataFrame([r for b in batches[:3] for r in b], SHAPE), "n")
     assert sorted(map(repr, after.drop("batch").collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_the_book_in_steps_is_the_book_of_all_frames(spark, tmp_path):
+    rng = random.Random(11)
+    shape = "exchange string, symbol string, data_type string, timestamp_collector bigint, timestamp_exchange bigint, data string, n bigint"
+    rows = []
+    for n in range(300):
+        kind = "snapshot" if rng.random() < 0.04 else "delta"
+        levels = {side: [[str(rng.randrange(12)), str(rng.randrange(3))] for _ in range(rng.randrange(4))] for side in "ba"}
+        rows.append(("bybit", rng.choice("xy"), "orderbook", rng.randrange(200), 0, json.dumps({"type": kind, "data": levels}), n))
+    # Batches in no order of time; the state of the last but one is there, older ones are not.
+    run(spark, [rows[k::4] for k in (3, 1, 0, 2)], shape, tmp_path, lambda s, out, cp: C.book_stream(s, "n", out, cp))
+    expected = current_book(spark.createDataFrame(rows, shape), "n").collect()
+    assert len(expected) > 5 and sorted(C.latest_book(spark, f"{tmp_path}/out", "n").collect()) == sorted(expected)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["batch=2", "batch=3"]
+    nothing = book_of(book_state(spark.createDataFrame([], shape), "n")).collect()
+    assert nothing == []

@@ -205,3 +205,29 @@ def current_book(events: DataFrame, tiebreak: str, at_us: int | None = None) ->
     current = last.join(start, keys).where(F.col("__start").isNull() | (F.col("__updated") >= F.col("__start")))
     return current.where(F.col("size") > 0).select(
         *keys, "side", "price", "size", F.col("__updated.timestamp_collector").alias("updated_us"))
+
+
+def book_state(events: DataFrame, tiebreak: str, before: DataFrame | None = None) -> DataFrame:
+    """What a book needs to go on: the newest row of each level and of the snapshot marks, with its place in order.
+
+    ``before`` is the state that earlier frames have left; only it and ``events`` are read. Frames may come in any
+    order, also later than newer ones: the newest row of a level wins, a level whose size is 0 stays as such, and
+    what is older than its symbol's latest snapshot is left out for good. Advancing in steps gives the same as one
+    pass over all frames. Read the book itself with :func:`book_of`.
+    """
+    keys = WRITER_KEY[:2]
+    rows = _levels_and_marks(events, tiebreak).select(
+        *keys, "side", "price", "size", (F.col("position") < 0).alias("mark"), "timestamp_collector", tiebreak, "part", "position")
+    order = F.struct("timestamp_collector", tiebreak, "part", "position")
+    newest = (rows if before is None else rows.unionByName(before)).groupBy(*keys, "side", "price", "mark").agg(
+        F.max_by("size", order).alias("size"), F.max(order).alias("__order"))
+    level = stored(newest.select(*keys, "side", "price", "size", "mark", "__order.*"), "book-levels")
+    moment = F.struct("timestamp_collector", tiebreak, "part")
+    start = level.where("mark").groupBy(*keys).agg(F.max(moment).alias("__start"))
+    return level.join(start, keys, "left").where(F.col("__start").isNull() | (moment >= F.col("__start"))).drop("__start")
+
+
+def book_of(state: DataFrame) -> DataFrame:
+    """The book that a state holds, as :func:`current_book` gives it."""
+    return state.where("NOT mark AND size > 0").select(
+        *WRITER_KEY[:2], "side", "price", "size", F.col("timestamp_collector").alias("updated_us"))

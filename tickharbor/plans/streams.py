@@ -7,6 +7,7 @@ holds no rows.
 from pyspark.sql import functions as F
 
 from tickharbor.operators.parsing import market_events, parse_frames
+from tickharbor.plans import payloads  # noqa: F401  its SQL is used here
 from tickharbor.plans.catalog import CATALOG, add
 from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.plans.quality import DUCK_CHECKED
@@ -208,3 +209,14 @@ def _late_sessions(spark, d):
 
 
 add("stream_late_sessions", _late_sessions, "STR-6, WIN-5", CATALOG["stream_sessions"].sql)
+
+
+def _stream_book(spark, d):
+    """Frames as the venues' payloads carry them, in batches that each cover all of the time."""
+    path = work_folder(spark, "book")
+    events = market_events(parse_frames(_mixed(spark, d, landed_frames)), "event_id")
+    ingest.drain([corrections.book_stream(events, "event_id", path, work_folder(spark, "checkpoint"))])
+    return corrections.latest_book(spark, path, "event_id")
+
+
+add("stream_book", _stream_book, "PAY-7, STR-1", CATALOG["current_book"].sql)

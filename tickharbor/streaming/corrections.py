@@ -1,4 +1,4 @@
-"""Stateful streams whose results late rows correct: first arrivals, parse-error windows, sessions.
+"""Stateful streams whose results late rows correct: first arrivals, parse-error windows, sessions, the book.
 
 No watermark leaves rows out here. What a micro-batch finds is a table under its batch id; a repeated batch
 overwrites its own folder. Results are read over all batches, or as each batch has left them, so a row that
@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickharbor.operators.ordered import Previous, key_sizes, with_previous
+from tickharbor.operators.payload import AMOUNT, book_of, book_state
 from tickharbor.operators.quality import (
     BREAKER_MIN_SAMPLES, BREAKER_RATIO, BREAKER_WINDOW_SECONDS, SECOND, dead_after_us, first_arrivals, sessions)
 from tickharbor.schemas import STREAM_KEY, WRITER_KEY
+from tickharbor.session import remove_folder
 
 _LAST = 2**63 - 1
 
@@ -179,3 +181,34 @@ def joined_sessions(spark: SparkSession, path: str, keys: list[str] = STREAM_KEY
         linked.withColumn("__starts", starts), keys, order, {"__session": Previous("sum", "__starts")}, hot_rows, sizes)
     return numbered.groupBy(*keys, "__session").agg(
         F.min("opened_us").alias("opened_us"), F.max("closed_us").alias("closed_us"), F.sum("frames").alias("frames")).drop("__session")
+
+
+# --- the book ---------------------------------------------------------------------------------
+
+def _book_shape(tiebreak: str) -> str:
+    return f"{_strings(WRITER_KEY[:2])}, side string, price {AMOUNT}, size {AMOUNT}, mark boolean, " \
+        f"timestamp_collector bigint, {tiebreak} bigint, part int, position int"
+
+
+def book_stream(events: DataFrame, tiebreak: str, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Advance the book's state by each micro-batch; no frame is opened twice, however long the history.
+
+    A batch reads the state that the one before has left and writes its own; older ones are removed. The state
+    has one row per price level since a symbol's latest snapshot.
+    """
+    shape = _book_shape(tiebreak)
+
+    def made(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        remove_folder(spark, f"{path}/batch={batch_id - 2}")
+        before = spark.read.schema(shape).parquet(f"{path}/batch={batch_id - 1}") if batch_id else None
+        return book_state(batch, tiebreak, before)
+
+    return _by_batch(events, made, path, checkpoint, trigger)
+
+
+def latest_book(spark: SparkSession, path: str, tiebreak: str) -> DataFrame:
+    """The book after the latest batch that is written."""
+    states = _batches(spark, path, _book_shape(tiebreak))
+    newest = states.select(F.max("batch")).first()[0]
+    return book_of(states.where(F.col("batch") == F.lit(-1 if newest is None else newest)))
