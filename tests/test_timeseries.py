@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickharbor.operators import timeseries as T
+from tickharbor.sources.metrics import instant_of, read_samples, write_samples
 
 S = 1_000_000
 
@@ -144,3 +145,24 @@ def test_histograms_of_cells_add_up_at_steps(series):
     for (host, t, le), n in got.items():
         assert n == sum(name == host and t - 300 * S < ts <= t and value <= float(le.replace("+Inf", "inf")) for name, ts, value in rows)
     assert {t for _, t, _ in got} == {t for t in range(0, 40_000 * S, 120 * S) if any(t - 300 * S < ts <= t for _, ts, _ in rows)}
+
+
+def test_stored_samples_grow_stale_and_only_their_days_are_read(spark, tmp_path):
+    day = 86_400 * S
+    now = 3 * day + 100 * S
+    rows = [(metric, host, k * day + at * S, float(k * 1000 + at)) for metric in ("up", "down") for k in range(4)
+            for host, at in (("a", 20), ("b", 101), ("c", 86_399))]
+    samples = spark.createDataFrame(rows, "metric string, host string, ts_us bigint, value double") \
+        .withColumn("labels", F.create_map(F.lit("host"), "host"))
+    write_samples(samples, str(tmp_path))
+    stored = read_samples(spark, str(tmp_path))
+    at = instant_of(stored, "up", ["host"], now)
+    # a is 80 s old, c 101 s and from the day before, b a day; a sample after the time does not count.
+    assert {r.host: r.value for r in at.collect()} == {"a": 3020.0, "c": 2000.0 + 86_399}
+    assert {r.host for r in instant_of(stored, "up", ["host"], now, lookback_s=100).collect()} == {"a"}
+    assert {r.host for r in instant_of(stored, "up", ["host"], now, lookback_s=2 * 86_400).collect()} == {"a", "b", "c"}
+    assert [r.host for r in instant_of(stored, "up", ["host"], now, [("host", "=~", "c|d")]).collect()] == ["c"]
+    plan = at._jdf.queryExecution().toString()
+    filters = plan[plan.rindex("PartitionFilters"):].split("]")[0]
+    assert "date#" in filters and "metric#" in filters
+    assert stored.count() == len(rows)

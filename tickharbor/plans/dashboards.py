@@ -17,8 +17,10 @@ from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.plans.quality import (
     DUCK_SESSIONS, DUCK_TIMEOUTS, LATENCY, duck_breaker, duck_files, duck_histogram, message_timeouts,
     rotated)
+from tickharbor.session import work_folder
 from tickharbor.sources.config import market_streams
-from tickharbor.sources.metrics import last_message_samples, message_samples
+from tickharbor.sources.metrics import (
+    instant_of, last_message_samples, message_samples, read_samples, write_samples)
 from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_base
 from tickharbor.sources.sample_metrics import (
     DUCK_CONFIG, DUCK_UPLOADS, duck_node, duck_process, duck_scrapes, duck_stream, node_samples, process_samples,
@@ -361,3 +363,23 @@ for _number, _name, _metric in (
     add(f"q{_number}_{_name}", _irate(_metric, _NOT_VIRTUAL), f"Q{_number}, TS-2, TS-5",
         "SELECT * FROM " + duck_irate(duck_node(_metric), _labels(_metric), 300, 300,
                                       "NOT regexp_full_match(device, 'lo|veth.*|docker.*|br-.*')"))
+
+# --- stored samples ---------------------------------------------------------------------------
+
+# Seconds for which the gauge of the last receipt is scraped after it.
+_HORIZON = 1800
+
+
+def _latest_receipts(spark, d):
+    """The gauge at the last receipt of all, from stored samples; series silent for longer than the scrapes are stale."""
+    root, rows = work_folder(spark, "samples"), market_base(spark, d)
+    write_samples(last_message_samples(rows, _HORIZON), root)
+    at_us = rows.agg(F.max("timestamp_collector")).first()[0]
+    return instant_of(read_samples(spark, root), "collector_last_message_timestamp_seconds", ["exchange", "symbol"], at_us or 0)
+
+
+add("stored_latest_receipts", _latest_receipts, "TS-1, TS-2, Q02", f"""WITH {DUCK_MARKET},
+seen AS (SELECT exchange, symbol, (timestamp_collector + 14999999) // 15000000 * 15000000 AS first_us, max(timestamp_collector) AS last_us FROM priced GROUP BY ALL),
+samples AS (SELECT exchange, symbol, first_us + n * 15000000 AS ts_us, max(last_us) AS last_us FROM seen CROSS JOIN range({_HORIZON // 15}) AS r(n) GROUP BY ALL)
+SELECT exchange, symbol, CAST(arg_max(last_us // 1000000, ts_us) AS DOUBLE) AS value FROM samples
+CROSS JOIN (SELECT max(timestamp_collector) AS at_us FROM priced) WHERE ts_us <= at_us AND ts_us > at_us - 300000000 GROUP BY ALL""")

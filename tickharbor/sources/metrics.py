@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickharbor.functions.scalars import whole
+from tickharbor.functions.scalars import utc_date, whole
 from tickharbor.operators.ordered import Previous, with_previous
-from tickharbor.operators.timeseries import range_end
+from tickharbor.operators.timeseries import instant, range_end, vector
 from tickharbor.schemas import WRITER_KEY
+from tickharbor.session import configure
 
 # Fixed value: seconds between scrapes.
 SCRAPE_SECONDS = 15
@@ -59,3 +60,38 @@ def last_message_samples(events: DataFrame, horizon_s: int = 120) -> DataFrame:
     return at_scrape.select(
         "ts_us", F.lit("collector_last_message_timestamp_seconds").alias("metric"), labels_of(keys).alias("labels"),
         whole("last_us", SECOND).cast("double").alias("value"))
+
+
+# --- stored samples ---------------------------------------------------------------------------
+
+# Fixed value: seconds after which a series without a new sample is no longer shown.
+STALE_SECONDS = 300
+_SAMPLE = "ts_us bigint, labels map<string,string>, value double"
+
+
+def write_samples(samples: DataFrame, root: str, write_mode: str = "append") -> None:
+    """Write samples under ``metric=../date=..`` folders, in order of time within a file.
+
+    Rows are rebalanced by folder, so a metric or day of any size is written by as many tasks as it needs.
+    """
+    folders = ["metric", "date"]
+    dated = samples.select("metric", utc_date("ts_us").alias("date"), "ts_us", "labels", "value")
+    dated.hint("rebalance", *folders).sortWithinPartitions(*folders, "ts_us") \
+        .write.mode(write_mode).option("compression", "zstd").partitionBy(*folders).parquet(root)
+
+
+def read_samples(spark: SparkSession, root: str) -> DataFrame:
+    """The samples written by :func:`write_samples`; filters on metric and date prune folders."""
+    return configure(spark).read.schema(f"{_SAMPLE}, metric string, date string").parquet(root)
+
+
+def instant_of(
+    samples: DataFrame, metric: str, labels: list[str], at_us: int, where: list[tuple[str, str, str]] = (), lookback_s: int = STALE_SECONDS,
+) -> DataFrame:
+    """The latest sample of every series of a stored metric in ``(at - lookback, at]``; older series are stale and have no row.
+
+    Only the folders of the metric and of the days that the bound touches are read, however long the history is.
+    """
+    first, last = (utc_date(F.lit(us).cast("bigint")) for us in (at_us - lookback_s * SECOND, at_us))
+    recent = samples.where((F.col("date") >= first) & (F.col("date") <= last))
+    return instant(vector(recent, metric, labels, where), labels, at_us, lookback_s)
