@@ -1,3 +1,4 @@
+import random
 import re
 
 from tickharbor.llm.components import components
@@ -57,3 +58,25 @@ def test_components(spark):
     got = components(spark.createDataFrame([(b, a) for a, b in pairs], "u long, v long")).collect()
     nodes = {n for p in pairs for n in p} - {200}
     assert {r.node: r.component for r in got} == groups([p for p in pairs if p[0] != p[1]], nodes)
+
+
+def test_repeated_ids_link_by_each_of_their_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (3, 1, False)}
+    assert sorted(tuple(r) for r in got) == expected(rows)
+
+
+def test_many_texts_of_few_ids(spark):
+    rng = random.Random(17)
+    bases = [[f"b{k}w{i}" for i in range(50)] for k in range(30)]
+    rows = []
+    for _ in range(160):
+        words = list(rng.choice(bases))
+        words[rng.randrange(50)] = f"z{rng.randrange(9)}"
+        # A third of the rows have one id; the others have few, and some texts come again under another id.
+        rows.append((rng.choice([7, rng.randrange(60), 1000 + rng.randrange(10**6)]), " ".join(words)))
+    rows += [(i + 1, t) for i, t in rows[::9]] + rows[::20]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == expected(rows)

@@ -88,15 +88,21 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = mix((least.reshape(BANDS, ROWS).astype(np.uint64) * _FOLD).sum(axis=1, dtype=np.uint64) + _BAND)
             bands.append(keys.view(np.int64))
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+            batch.column("doc_id").cast(pa.int64()), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
             pa.array(marks, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "digest", "signature", "bands"])
+            names=["doc_id", "text_hash", "n_shingles", "digest", "signature", "bands"])
+
+
+def _texts_of(documents: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, text``: the hash tells the texts of a repeated id apart."""
+    whole = F.coalesce("text", F.lit(""))
+    return documents.select("doc_id", F.xxhash64(whole).alias("text_hash"), whole.alias("text"))
 
 
 def signatures(documents: DataFrame) -> DataFrame:
     """Size, digest, minima (upper halves) and band keys of each document's shingle set."""
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        _signatures, "doc_id long, n_shingles long, digest binary, signature binary, bands array<long>")
+    return _texts_of(documents).mapInArrow(
+        _signatures, "doc_id long, text_hash long, n_shingles long, digest binary, signature binary, bands array<long>")
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +118,7 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose signatures agree often enough."""
     for side in ("a", "b"):
-        marks = classes.select(F.col("doc_id").alias(side), F.col("signature").alias(f"mark_{side}"))
+        marks = classes.select(F.col("node").alias(side), F.col("signature").alias(f"mark_{side}"))
         pairs = pairs.join(marks.hint("merge"), side)
     return pairs.select("a", "b", "mark_a", "mark_b").mapInArrow(_estimated, "a long, b long")
 
@@ -130,17 +136,18 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts of the wanted ``doc_id``s, stored; the others move once and are left behind."""
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return stored(texts.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidate-texts")
+def _texts(documents: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """A text of each wanted ``node``, stored; the others move once and are left behind."""
+    owners = classes.select("node", "doc_id", "text_hash").join(wanted.hint("merge"), "node", "left_semi")
+    texts = _texts_of(documents).join(owners.hint("merge"), ["doc_id", "text_hash"])
+    return stored(texts.select("node", "text").dropDuplicates(["node"]), "candidate-texts")
 
 
-def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs that are links, from the full texts of both."""
-    texts = _texts(documents, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    texts = _texts(documents, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes)
     for side in ("a", "b"):
-        own = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
+        own = texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = pairs.join(own.hint("merge"), side)
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
 
@@ -148,7 +155,7 @@ def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links that join components of a cell, each pair compared in the first band that it shares."""
     table = pa.Table.from_batches(list(batches))
-    ids, labels, own = (table.column(c).to_numpy().copy() for c in ("doc_id", "component", "own"))
+    ids, labels, own = (table.column(c).to_numpy().copy() for c in ("node", "component", "own"))
     bucket, one_block = table.column("bucket")[0].as_py(), len(np.unique(own)) == 1
     marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, MINIMA)
     bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
@@ -182,22 +189,22 @@ def _remaining(buckets: DataFrame, labels: DataFrame, classes: DataFrame, docume
     Members of a bucket are dealt into blocks; a cell of two blocks is compared in one task, which gives
     the links that join its components, so a cell never gives more rows than it has.
     """
-    sized = buckets.join(classes.select("doc_id", "n_shingles").hint("merge"), "doc_id")
-    named = (sized.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-             .withColumn("component", F.coalesce("component", "doc_id")))
+    sized = buckets.join(classes.select("node", "n_shingles").hint("merge"), "node")
+    named = (sized.join(labels, "node", "left")
+             .withColumn("component", F.coalesce("component", "node")))
     mixed = (named.groupBy("bucket").agg(
         F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.min("component").alias("low"),
         F.max("component").alias("high"))
         .where("members > 2 AND low < high").select("bucket", F.ceil(F.greatest(
             F.col("members") / BLOCK_MEMBERS, F.col("shingles") / BLOCK_SHINGLES)).alias("blocks")))
     left = stored(named.join(mixed.hint("merge"), "bucket"), "mixed-buckets")
-    texts = _texts(documents, left.select("doc_id").distinct())
-    cells = (left.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    texts = _texts(documents, left.select("node").distinct(), classes)
+    cells = (left.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
-                     "doc_id", "component")
-             .join(classes.select("doc_id", "signature", "bands").hint("merge"), "doc_id")
-             .join(texts.hint("merge"), "doc_id"))
+                     "node", "component")
+             .join(classes.select("node", "signature", "bands").hint("merge"), "node")
+             .join(texts.hint("merge"), "node"))
     return cells.groupBy("bucket", "i", "j").applyInArrow(_across, "a long, b long").distinct()
 
 
@@ -213,18 +220,24 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     sets = stored(signatures(documents), "signatures")
     known = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
     heads = known.groupBy("digest").agg(F.min("doc_id").alias("head"))
-    members = stored(known.select("doc_id", "digest").join(heads, "digest").select("doc_id", "head"), "classes")
-    classes = (known.join(members.select(F.col("head").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
-               .dropDuplicates(["doc_id"]))
-    classes = stored(classes.select("doc_id", "n_shingles", "signature", "bands"), "class-signatures")
-    placed = classes.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
+    members = stored(known.select("doc_id", "digest").join(heads, "digest").select("doc_id", "digest", "head"), "classes")
+    # A class of equal sets is a node. Its least document stands for it, which may stand for several: a repeated id has several texts.
+    leads = members.where("doc_id = head").select("doc_id", "digest").distinct()
+    classes = known.join(leads.hint("merge"), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
+    # Numbers given as the table is written stay as they are from then on.
+    classes = stored(classes.select(
+        F.monotonically_increasing_id().alias("node"), "doc_id", "text_hash", "n_shingles", "signature", "bands"), "class-signatures")
+    placed = classes.select("node", F.explode("bands").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
     buckets = stored(placed.join(shared.select("bucket", "lead").hint("merge"), "bucket"), "buckets")
-    stars = buckets.where("doc_id > lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = stored(_verified(stored(_plausible(stars, classes), "star-pairs"), documents), "star-links")
+    stars = buckets.where("node > lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    links = stored(_verified(stored(_plausible(stars, classes), "star-pairs"), classes, documents), "star-links")
     labels = stored(components(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "star-components")
-    more = stored(_remaining(buckets.select("bucket", "doc_id"), labels, classes, documents), "rest-links")
-    edges = links.unionByName(more).select(F.col("b").alias("u"), F.col("a").alias("v"))
+    more = stored(_remaining(buckets.select("bucket", "node"), labels, classes, documents), "rest-links")
+    edges = links.unionByName(more)
+    for node, end in (("b", "u"), ("a", "v")):
+        edges = edges.join(classes.select(F.col("node").alias(node), F.col("doc_id").alias(end)).hint("merge"), node)
+    edges = edges.select("u", "v")
     # The same doc_id with several texts is one document.
     edges = edges.unionByName(members.where("doc_id > head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")))
     final = components(edges).withColumnRenamed("node", "doc_id")
