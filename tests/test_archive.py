@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickharbor.operators.joins import health, verify_copies
 from tickharbor.sources import archive as A
 from tickharbor.sources import config as C
+from tickharbor.sources import plain_archive as P
 
 DAY = 86_400_000_000
 SCHEMA = "exchange string, symbol string, data_type string, exchange_sequence_id string, timestamp_collector long, timestamp_exchange long, data string"
@@ -63,10 +64,43 @@ def test_a_plain_tree_is_read_with_its_path_values(spark, events, tmp_path):
         part = next((tmp_path / "raw" / str(n)).glob("part-*.parquet"))
         (tmp_path / "plain" / path).parent.mkdir(parents=True)
         shutil.copy(part, tmp_path / "plain" / path)
-    df = A.read_plain_archive(spark, str(tmp_path / "plain"))
+    df = P.read_plain_archive(spark, str(tmp_path / "plain"))
     counted = df.groupBy("data_type", "server", "file_date", "file_ts").count().collect()
     assert {tuple(row) for row in counted} == {("trade", None, "2022-01-08", 1641600000000, 3), ("orderbook", "srv", "2022-01-09", 1641700000000, 4)}
-    assert A.read_plain_archive(spark, str(tmp_path / "plain"), ["okx/btc/trade"]).count() == 3
+    assert P.read_plain_archive(spark, str(tmp_path / "plain"), ["okx/btc/trade"]).count() == 3
+
+
+def test_a_plain_tree_is_written_by_openings_and_listed_by_filters(spark, events, tmp_path):
+    root, age = str(tmp_path / "written"), DAY // 10
+    manifest = {row.relative_path: row for row in P.write_plain_archive(events, root, "srv", age_us=age).collect()}
+    found = {str(path.relative_to(root)): path for path in (tmp_path / "written").rglob("*.parquet")}
+    assert set(found) == set(manifest)
+    assert all(row.size == os.path.getsize(found[name]) for name, row in manifest.items())
+    back = P.read_plain_archive(spark, root)
+    assert sorted(back.select(*events.columns).collect()) == sorted(events.collect())
+    spans = back.groupBy("file_path", "file_ts").agg(F.min("timestamp_collector").alias("a"), F.max("timestamp_collector").alias("z")).collect()
+    assert all(row.file_ts == row.a // 1000 and row.z - row.a <= age for row in spans)
+    one = P.read_plain_archive(spark, root, venues=["okx"], symbols=["eth"], data_types=["trade"], dates=["2022-01-08", "2022-01-09"])
+    wanted = {name for name in found if re.match(r"okx/eth/trade/srv/2022-01-0[89]/", name)}
+    assert 0 < len(one.inputFiles()) == len(wanted) < len(found)
+    assert one.count() == sum(manifest[name].rows for name in wanted)
+    assert len(P.read_plain_archive(spark, root, dates=["2022-01-08"]).inputFiles()) == sum("/2022-01-08/" in name for name in found)
+    assert P.read_plain_archive(spark, root, venues=["upbit"]).count() == P.read_plain_archive(spark, root, symbols=[]).count() == 0
+    with pytest.raises(ValueError):
+        P.read_plain_archive(spark, root, symbols=["../x"])
+
+
+def test_plain_files_of_null_keys_no_events_and_files_closed_by_size(spark, events, tmp_path):
+    assert P.write_plain_archive(events.limit(0), str(tmp_path / "none")).count() == 0
+    nameless = events.limit(3).withColumn("symbol", F.lit(None).cast("string"))
+    (row,) = P.write_plain_archive(nameless.where("data_type = 'trade'"), str(tmp_path / "null")).collect()
+    assert row.relative_path.startswith("okx/unknown/trade/20") and row.symbol is None
+    # Rows of one time at a boundary of size: all are kept, in the file that opens there.
+    tied = events.withColumn("timestamp_collector", F.col("timestamp_collector") - F.col("timestamp_collector") % (DAY // 10)).withColumn("symbol", F.lit("btc"))
+    rules = {"size": F.length("data").cast("bigint"), "max_bytes": 10, "look_rows": 3, "tiebreak": "exchange_sequence_id", "age_us": DAY}
+    manifest = P.write_plain_archive(tied, str(tmp_path / "tied"), **rules)
+    assert manifest.agg(F.sum("rows")).first()[0] == 200 and manifest.count() > 10
+    assert P.read_plain_archive(spark, str(tmp_path / "tied")).count() == 200
 
 
 def test_copies(spark):

@@ -6,8 +6,10 @@ from tickharbor.operators.parsing import market_events, parse_frames
 from tickharbor.operators.quality import rows_and_files
 from tickharbor.plans.catalog import add
 from tickharbor.plans.frames import DUCK_EXPECTED
+from tickharbor.plans.quality import duck_files
 from tickharbor.session import work_folder
 from tickharbor.sources import archive as A
+from tickharbor.sources import plain_archive as P
 from tickharbor.sources.sample_market import landed_frames
 
 _KEYS = "exchange, symbol, data_type"
@@ -64,3 +66,39 @@ def _both_roots(spark, d):
 
 add("storage_fan_out", _both_roots, "SNK-4", f"""WITH {_STORED}
 SELECT data_type, count(*) AS rows, root FROM stored CROSS JOIN (VALUES ('remote'), ('local')) AS roots(root) GROUP BY ALL""")
+
+
+# --- folders of bare values -------------------------------------------------------------------
+
+_FILES = f"""WITH RECURSIVE {DUCK_EXPECTED}, {duck_files()},
+files AS (SELECT p.exchange, p.symbol, p.data_type, o.opened_us, p.timestamp_collector
+  FROM sized p ASOF JOIN opened o ON p.exchange = o.exchange AND p.symbol = o.symbol AND p.data_type = o.data_type AND p.rn >= o.rn),
+dated AS (SELECT *, 'srv1' AS server, strftime(make_timestamp(opened_us), '%Y-%m-%d') AS file_date, opened_us // 1000 AS file_ts FROM files)"""
+
+
+def _plain(spark, d):
+    """Root of a new archive of bare-value folders."""
+    root = work_folder(spark, "plain-archive")
+    P.write_plain_archive(market_events(parse_frames(landed_frames(spark, d))), root, server="srv1")
+    return root
+
+
+def _plain_files(spark, d):
+    rows = P.read_plain_archive(spark, _plain(spark, d))
+    return rows.groupBy("exchange", "symbol", "data_type", "server", "file_date", "file_ts").agg(
+        F.count("*").alias("rows"), F.min("timestamp_collector").alias("first_us"), F.max("timestamp_collector").alias("last_us"))
+
+
+add("plain_archive_files", _plain_files, "SRC-2, SNK-1, WIN-7, FN-10, FN-11", f"""{_FILES}
+SELECT {_KEYS}, server, file_date, file_ts, count(*) AS rows, min(timestamp_collector) AS first_us, max(timestamp_collector) AS last_us
+FROM dated GROUP BY ALL""")
+
+
+def _plain_scan(spark, d):
+    rows = P.read_plain_archive(spark, _plain(spark, d), venues=["okx", "upbit"], data_types=["trade"], dates=["2024-01-10", "2024-01-15"])
+    return rows.groupBy("exchange", "symbol", "file_date").agg(F.count("*").alias("rows"), F.countDistinct("file_path").alias("files"))
+
+
+add("plain_archive_scan", _plain_scan, "SRC-2, partition pruning", f"""{_FILES}
+SELECT exchange, symbol, file_date, count(*) AS rows, count(DISTINCT opened_us) AS files FROM dated
+WHERE exchange IN ('okx', 'upbit') AND data_type = 'trade' AND file_date IN ('2024-01-10', '2024-01-15') GROUP BY ALL""")

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickharbor.functions.scalars import utc_date
 from tickharbor.operators.rotation import MAX_FILE_AGE_US
-from tickharbor.schemas import ARCHIVE_FILE, MARKET_EVENT, WRITER_KEY
+from tickharbor.schemas import MARKET_EVENT, WRITER_KEY
 from tickharbor.session import configure
 
 PARTITIONS = [*WRITER_KEY, "server", "date"]
@@ -64,25 +62,6 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
     return configure(spark).read.schema(f"{values}, {partitions}").parquet(root).select(*PARTITIONS, *_VALUES)
 
 
-def read_plain_archive(spark: SparkSession, root: str, globs: Iterable[str] = ()) -> DataFrame:
-    """An archive whose folders are bare values: venue/symbol/type/[server/]date/stamp.parquet.
-
-    The type, server, date and stamp come from the path. Such a path does not prune, so
-    ``globs`` (relative to the root, as in ``binance/btcusdt/*``) narrows what is listed.
-    """
-    paths = [f"{root.rstrip('/')}/{glob}" for glob in globs] or [root]
-    reader = configure(spark).read.schema(ARCHIVE_FILE).option("recursiveFileLookup", "true")
-    path = F.col("_metadata.file_path")
-    tail = r"/(orderbook|trade)/(?:([^/]+)/)?(\d{4}-\d{2}-\d{2})/(\d+)\.parquet$"
-    return reader.parquet(*paths).select(
-        *[field.name for field in ARCHIVE_FILE],
-        F.regexp_extract(path, tail, 1).alias("data_type"),
-        F.nullif(F.regexp_extract(path, tail, 2), F.lit("")).alias("server"),
-        F.regexp_extract(path, tail, 3).alias("file_date"),
-        F.regexp_extract(path, tail, 4).try_cast("bigint").alias("file_ts"),
-        path.alias("file_path"))
-
-
 def file_manifest(spark: SparkSession, root: str) -> DataFrame:
     """One row per archive file: path, key, rows and bytes. Files without rows are left out."""
     rows = read_archive(spark, root).select(
