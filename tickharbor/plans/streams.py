@@ -11,8 +11,10 @@ from tickharbor.plans import payloads  # noqa: F401  its SQL is used here
 from tickharbor.plans.catalog import CATALOG, add
 from tickharbor.plans.frames import DUCK_EXPECTED
 from tickharbor.plans.quality import DUCK_CHECKED
+from tickharbor.schemas import WRITER_KEY
 from tickharbor.session import configure, stored, work_folder
 from tickharbor.sources import archive as A
+from tickharbor.sources import committed as K
 from tickharbor.sources.frames import read_frames
 from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_base
 from tickharbor.streaming import corrections, ingest, progress, state
@@ -59,6 +61,22 @@ add("stream_archive", _stream_archive, "STR-1, STR-2, STR-7, SRC-1, SNK-1", f"""
   count(*) AS rows, min(timestamp_collector) AS first_us FROM expected WHERE kind IN ('orderbook', 'trade') GROUP BY ALL""")
 
 
+def _stream_committed(spark, d):
+    """Four micro-batches; dates that several of them touch are joined in between."""
+    root = work_folder(spark, "committed")
+    frames = _stream_of(spark, d, files=_BATCHES, batch=1)
+    ingest.drain([K.committed_stream(frames, root, work_folder(spark, "checkpoint"), server="srv1", most_parts=1)])
+    parts = spark.createDataFrame(list(K.current_version(spark, root).folders), "part string, date string, n bigint") \
+        .groupBy("date").agg(F.countDistinct("part").alias("parts"))
+    return K.read_committed(spark, root).groupBy(*WRITER_KEY, "date").agg(
+        F.count("*").alias("rows"), F.min("timestamp_collector").alias("first_us")).join(parts, "date")
+
+
+add("stream_committed", _stream_committed, "STR-1, SNK-6, STR-2", f"""WITH {DUCK_EXPECTED} SELECT exchange, symbol, kind AS data_type,
+  strftime(make_timestamp(timestamp_collector), '%Y-%m-%d') AS date, count(*) AS rows, min(timestamp_collector) AS first_us, CAST(1 AS BIGINT) AS parts
+FROM expected WHERE kind IN ('orderbook', 'trade') GROUP BY ALL""")
+
+
 def _stream_per_feed(spark, d):
     path, _ = _landed(spark, d, files=spark.sparkContext.defaultParallelism)
     root = work_folder(spark, "feeds")
