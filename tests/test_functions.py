@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tickharbor.functions import scalars as S
+from tickharbor.venues.subscriptions import api_symbol
 
 
 def values(spark, column, rows):
@@ -10,7 +11,7 @@ def values(spark, column, rows):
 
 def test_symbols(spark):
     assert values(spark, S.normalize_symbol, ["BTC-USDT", "ETH/USD", "eth_eur", "KRW-BTC"]) == ["btcusdt", "ethusd", "etheur", "krwbtc"]
-    assert values(spark, lambda c: S.api_symbol(c, F.lit("btc-Usd")), ["binance", "bybit", "okx", "kraken"]) == [
+    assert values(spark, lambda c: api_symbol(c, F.lit("btc-Usd")), ["binance", "bybit", "okx", "kraken"]) == [
         "btc-usd", "BTCUSD", "BTC-USD", None]
 
 

@@ -21,16 +21,6 @@ def normalize_symbol(symbol: ColumnOrName) -> Column:
     return F.translate(F.lower(_col(symbol)), "-_/", "")
 
 
-def api_symbol(exchange: ColumnOrName, symbol: ColumnOrName) -> Column:
-    """The form of a symbol that a venue's own interface expects."""
-    exchange, symbol = F.lower(_col(exchange)), _col(symbol)
-    return (
-        F.when(exchange == "binance", F.lower(symbol))
-        .when(exchange == "bybit", F.translate(F.upper(symbol), "-_/", ""))
-        .when(exchange.isin("coinbase", "okx", "upbit"), F.upper(symbol))
-    )
-
-
 def ms_to_us(milliseconds: ColumnOrName) -> Column:
     """Milliseconds to microseconds; a missing or overflowing value is 0."""
     return F.coalesce(F.try_multiply(_col(milliseconds), F.lit(1000).cast("bigint")), F.lit(0).cast("bigint"))
@@ -107,20 +97,3 @@ def feed_name(feed: ColumnOrName) -> Column:
 def feed_data_type(feed: ColumnOrName) -> Column:
     """The stored data type of a canonical feed."""
     return F.when(_col(feed) == "trades", "trade").otherwise(_col(feed))
-
-
-def stream_channel(exchange: ColumnOrName, symbol: ColumnOrName, feed: ColumnOrName) -> Column:
-    """The stream, topic or channel that a venue serves a canonical feed under.
-
-    Two venues put the symbol into the name; the other three take it as a separate argument.
-    The names are fixed values of the venues, with their default depth and update speed.
-    """
-    exchange, book = F.lower(_col(exchange)), _col(feed) == "orderbook"
-    native = api_symbol(exchange, symbol)
-    return (
-        F.when(exchange == "binance", F.concat(native, F.when(book, "@depth20@100ms").otherwise("@trade")))
-        .when(exchange == "bybit", F.concat(F.when(book, "orderbook.50.").otherwise("publicTrade."), native))
-        .when(exchange == "okx", F.when(book, "books").otherwise("trades"))
-        .when(exchange == "coinbase", F.when(book, "level2").otherwise("market_trades"))
-        .when(exchange == "upbit", F.when(book, "orderbook").otherwise("trade"))
-    )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickharbor.functions.documents import Document, enclose, is_one_value
 from tickharbor.functions.scalars import normalize_symbol
 from tickharbor.schemas import MARKET_EVENT
-from tickharbor.venues import ERROR, ORDERBOOK, OTHER, PLAIN_TEXT, TRADE, VENUES, Rule
+from tickharbor.venues import ERROR, ORDERBOOK, OTHER, TRADE, VENUES, Rule
 
 PARSED_COLUMNS = [
     "kind", "msg_symbol", "sequence_id", "timestamp_exchange_us", "data", "error", "notice_code", "notice_msg",
@@ -44,12 +44,12 @@ def _rule_columns(names: tuple[str, ...], application: str) -> _RuleColumns:
     """Build the columns once per application; they are a few thousand nodes."""
     exchange = F.lower(F.col("exchange"))
     document = F.col("__document")
-    rules: dict[str, list[Rule]] = {name: VENUES[name](Document(document)) for name in names}
+    rules: dict[str, list[Rule]] = {name: VENUES[name].rules(Document(document)) for name in names}
 
     plain = [
         (exchange.eqNullSafe(name) & (F.col("frame") == text), F.lit(f"{_PLAIN}/{kind}"))
         for name in names
-        for text, kind in PLAIN_TEXT[name].items()
+        for text, kind in VENUES[name].plain_text.items()
     ]
     by_venue = [
         (exchange == name, _cases([(rule.when, F.lit(f"{name}/{rule.name}")) for rule in rules[name]], F.lit(_NO_RULE)))

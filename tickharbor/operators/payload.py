@@ -1,158 +1,44 @@
 """Opening the stored payloads into order-book levels, fills and the current book.
 
 The payload shapes differ by venue and by message. Each shape has a schema that
-``from_json`` reads; levels and fills of all shapes are then normalised in one CASE
-per venue and exploded. Nothing leaves the JVM and no row list is ever collected.
+``from_json`` reads; levels and fills of all shapes, as the venues' modules state them,
+are normalised in one CASE and exploded. Nothing leaves the JVM and no row list is
+ever collected.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickharbor.functions.scalars import iso8601_to_us, ms_to_us, text_ms_to_us
 from tickharbor.schemas import WRITER_KEY
 from tickharbor.session import stored
+from tickharbor.venues import VENUES, Payloads
+from tickharbor.venues.payloads import FILL, LEVEL
 
-_PAIRS = "array<array<string>>"
-# The payload fields that hold levels and fills, by venue.
-BOOK_SHAPES = {
-    "binance": f"bids {_PAIRS}, asks {_PAIRS}",
-    "coinbase": f"type string, bids {_PAIRS}, asks {_PAIRS}, changes {_PAIRS}, "
-                "events array<struct<type string, updates array<struct<side string, price_level string, new_quantity string>>>>",
-    "okx": f"action string, data array<struct<bids {_PAIRS}, asks {_PAIRS}>>",
-    "bybit": f"type string, data struct<b {_PAIRS}, a {_PAIRS}>",
-    "upbit": "tas string, tbs string, total_ask_size string, total_bid_size string, "
-             "obu array<struct<ap string, `as` string, bp string, bs string, "
-             "ask_price string, ask_size string, bid_price string, bid_size string>>, "
-             "orderbook_units array<struct<ap string, `as` string, bp string, bs string, "
-             "ask_price string, ask_size string, bid_price string, bid_size string>>",
-}
-TRADE_SHAPES = {
-    "binance": "variant",  # its keys t and T differ in case only, which a struct cannot tell apart
-    "coinbase": "trade_id string, price string, size string, side string, time string, "
-                "events array<struct<trades array<struct<trade_id string, price string, size string, side string, time string>>>>",
-    "okx": "data array<struct<tradeId string, px string, sz string, side string, ts string>>",
-    "bybit": "data array<struct<i string, p string, v string, S string, T bigint>>",
-    "upbit": "tp string, tv string, ab string, ttms bigint, sid string, trade_price string, trade_volume string, "
-             "ask_bid string, trade_timestamp bigint, sequential_id string",
-}
-# ``part`` numbers the events or elements of one frame, which may each replace the book. A part that
-# replaces the book has a mark: a level without side, price and size, at position -1.
-LEVEL = "array<struct<part int, snapshot boolean, side string, position int, price string, size string, orders string>>"
-FILL = "array<struct<trade_id string, price string, size string, side string, trade_time_us bigint>>"
 AMOUNT = "decimal(38,18)"
 
 
-def _level(side, position, price, size, orders=None, part=None, snapshot=None) -> Column:
-    return F.struct(
-        (F.lit(0) if part is None else part.cast("int")).alias("part"),
-        (F.lit(True) if snapshot is None else F.coalesce(snapshot, F.lit(False))).alias("snapshot"), side.alias("side"), position.cast("int").alias("position"), price.alias("price"), size.alias("size"),
-        (F.lit(None).cast("string") if orders is None else orders).alias("orders"))
-
-
-def _ladder(levels: Column, side: str, orders: bool = False, part: Column | None = None, snapshot: Column | None = None) -> Column:
-    """A list of [price, size, ...] to levels; a missing list is empty."""
-    opened = F.transform(levels, lambda level, i: _level(
-        F.lit(side), i, F.get(level, F.lit(0)), F.get(level, F.lit(1)), F.get(level, F.lit(3)) if orders else None, part, snapshot))
-    return F.coalesce(opened, F.array().cast(LEVEL))
-
-
-def _mark(snapshot: Column | None = None, part: Column | None = None) -> Column:
-    """The mark of a part that replaces the book; nothing for one that does not."""
-    nothing = F.lit(None).cast("string")
-    mark = F.array(_level(nothing, F.lit(-1), nothing, nothing, None, part, None)).cast(LEVEL)
-    return mark if snapshot is None else F.when(F.coalesce(snapshot, F.lit(False)), mark).otherwise(F.array().cast(LEVEL))
-
-
-def _book_side(word: Column) -> Column:
-    """Venue words for a side of the book."""
-    lowered = F.lower(word)
-    return F.when(lowered.isin("bid", "buy"), "bid").when(lowered.isin("ask", "sell", "offer"), "ask")
-
-
-def _book_levels(venue: str, p: Column) -> Column:
-    """Levels and marks of a book message. Depth frames and unit lists always replace the book."""
-    empty = F.array().cast(LEVEL)
-    if venue == "binance":
-        return F.concat(_mark(), _ladder(p["bids"], "bid"), _ladder(p["asks"], "ask"))
-    if venue == "okx":
-        whole = p["action"] == "snapshot"
-        return F.coalesce(F.flatten(F.transform(p["data"], lambda d, n: F.concat(
-            _mark(whole, n), _ladder(d["bids"], "bid", True, n, whole), _ladder(d["asks"], "ask", True, n, whole)))), _mark(whole))
-    if venue == "bybit":
-        whole = p["type"] == "snapshot"
-        return F.concat(_mark(whole), _ladder(p["data"]["b"], "bid", snapshot=whole), _ladder(p["data"]["a"], "ask", snapshot=whole))
-    if venue == "coinbase":
-        whole = p["type"] == "snapshot"
-        changes = F.transform(p["changes"], lambda c, i: _level(
-            _book_side(F.get(c, F.lit(0))), i, F.get(c, F.lit(1)), F.get(c, F.lit(2)), snapshot=whole))
-        updates = F.flatten(F.transform(p["events"], lambda e, n: F.concat(
-            _mark(e["type"] == "snapshot", n), F.coalesce(F.transform(e["updates"], lambda u, i: _level(
-                _book_side(u["side"]), i, u["price_level"], u["new_quantity"], None, n, e["type"] == "snapshot")), empty))))
-        return F.concat(_mark(whole), _ladder(p["bids"], "bid", snapshot=whole), _ladder(p["asks"], "ask", snapshot=whole),
-                        F.coalesce(changes, empty), F.coalesce(updates, empty))
-    units = F.coalesce(p["obu"], p["orderbook_units"])
-    return F.concat(
-        _mark(),
-        F.coalesce(F.transform(units, lambda u, i: _level(
-            F.lit("bid"), i, F.coalesce(u["bp"], u["bid_price"]), F.coalesce(u["bs"], u["bid_size"]))), empty),
-        F.coalesce(F.transform(units, lambda u, i: _level(
-            F.lit("ask"), i, F.coalesce(u["ap"], u["ask_price"]), F.coalesce(u["as"], u["ask_size"]))), empty))
-
-
-def _fill(trade_id, price, size, side, time_us) -> Column:
-    return F.struct(trade_id.alias("trade_id"), price.alias("price"), size.alias("size"),
-                    F.lower(side).alias("side"), time_us.alias("trade_time_us"))
-
-
-def _fills(venue: str, p: Column) -> Column:
-    if venue == "binance":
-        def text(key):
-            return F.try_variant_get(p, f"$.{key}", "string")
-
-        buyer_is_maker = F.try_variant_get(p, "$.m", "boolean")
-        taker = F.when(buyer_is_maker, "sell").when(~buyer_is_maker, "buy")
-        trade_time = ms_to_us(F.try_variant_get(p, "$.T", "bigint"))
-        return F.array(_fill(F.coalesce(text("t"), text("a")), text("p"), text("q"), taker, trade_time))
-    if venue == "coinbase":
-        nested = F.flatten(F.transform(p["events"], lambda e: F.transform(e["trades"], lambda t: _fill(
-            t["trade_id"], t["price"], t["size"], t["side"], iso8601_to_us(t["time"])))))
-        return F.when(p["events"].isNotNull(), nested).otherwise(
-            F.array(_fill(p["trade_id"], p["price"], p["size"], p["side"], iso8601_to_us(p["time"]))))
-    if venue == "okx":
-        return F.transform(p["data"], lambda t: _fill(t["tradeId"], t["px"], t["sz"], t["side"], text_ms_to_us(t["ts"])))
-    if venue == "bybit":
-        return F.transform(p["data"], lambda t: _fill(t["i"], t["p"], t["v"], t["S"], ms_to_us(t["T"])))
-    side = F.coalesce(p["ab"], p["ask_bid"])
-    return F.array(_fill(
-        F.coalesce(p["sid"], p["sequential_id"]), F.coalesce(p["tp"], p["trade_price"]), F.coalesce(p["tv"], p["trade_volume"]),
-        F.when(side == "ASK", "sell").when(side == "BID", "buy"), ms_to_us(F.coalesce(p["ttms"], p["trade_timestamp"]))))
-
-
-def _open_payloads(rows: DataFrame, shapes: dict[str, str], keep: list[str]) -> DataFrame:
-    """One column per venue with the parsed payload, NULL for rows of other venues.
+def _opened(rows: DataFrame, payloads: dict[str, Payloads], keep: list[str], made: Callable[[str, Column], Column]) -> tuple[DataFrame, Column]:
+    """Rows with one parsed payload column per venue, NULL for rows of other venues, and ``made`` of the row's own.
 
     A column of its own, because every field taken from a ``from_json`` inside a larger
     expression would parse the payload again.
     """
-    return rows.select(*keep, *[
-        F.when(F.col("exchange") == venue, F.from_json("data", shape)).alias(f"__{venue}") for venue, shape in shapes.items()])
-
-
-def _by_venue(shapes: dict[str, str], opened) -> Column:
-    chain = None
-    for venue in shapes:
-        value = opened(venue, F.col(f"__{venue}"))
-        condition = F.col("exchange") == venue
-        chain = F.when(condition, value) if chain is None else chain.when(condition, value)
-    return chain
+    parsed = rows.select(*keep, *[
+        F.when(F.col("exchange") == name, F.from_json("data", one.shape)).alias(f"__{name}") for name, one in payloads.items()])
+    chain = F
+    for name in payloads:
+        chain = chain.when(F.col("exchange") == name, made(name, F.col(f"__{name}")))
+    return parsed, chain
 
 
 def _levels_and_marks(events: DataFrame, *keep: str) -> DataFrame:
     head = [*keep, *WRITER_KEY[:2], "timestamp_collector", "timestamp_exchange"]
-    books = _open_payloads(events.where(F.col("data_type") == "orderbook"), BOOK_SHAPES, head)
-    levels = _by_venue(BOOK_SHAPES, lambda venue, p: _book_levels(venue, p).cast(LEVEL))
+    known = {name: one.levels for name, one in VENUES.items() if one.levels}
+    books, levels = _opened(events.where(F.col("data_type") == "orderbook"), known, head, lambda name, p: known[name].rows(p).cast(LEVEL))
     return books.select(*head, F.inline(levels)).select(
         *head, "part", "snapshot", "side", "position",
         F.col("price").try_cast(AMOUNT).alias("price"), F.col("size").try_cast(AMOUNT).alias("size"),
@@ -167,8 +53,8 @@ def explode_levels(events: DataFrame, *keep: str) -> DataFrame:
 def explode_trades(events: DataFrame, *keep: str) -> DataFrame:
     """One row per fill of every trade message."""
     head = [*keep, *WRITER_KEY[:2], "timestamp_collector"]
-    trades = _open_payloads(events.where(F.col("data_type") == "trade"), TRADE_SHAPES, head)
-    fills = _by_venue(TRADE_SHAPES, lambda venue, p: _fills(venue, p).cast(FILL))
+    known = {name: one.fills for name, one in VENUES.items() if one.fills}
+    trades, fills = _opened(events.where(F.col("data_type") == "trade"), known, head, lambda name, p: known[name].rows(p).cast(FILL))
     return trades.select(*head, F.inline(fills)).select(
         *head, "trade_id",
         F.col("price").try_cast(AMOUNT).alias("price"), F.col("size").try_cast(AMOUNT).alias("size"),
@@ -176,13 +62,16 @@ def explode_trades(events: DataFrame, *keep: str) -> DataFrame:
 
 
 def book_totals(events: DataFrame, *keep: str) -> DataFrame:
-    """The total ask and bid size that one venue states with its levels."""
-    rows = events.where((F.col("data_type") == "orderbook") & (F.col("exchange") == "upbit"))
-    p = F.from_json("data", BOOK_SHAPES["upbit"])
-    return rows.select(*keep, *WRITER_KEY[:2], "timestamp_collector", p.alias("__book")).select(
-        *keep, *WRITER_KEY[:2], "timestamp_collector",
-        F.coalesce("__book.tas", "__book.total_ask_size").try_cast(AMOUNT).alias("total_ask_size"),
-        F.coalesce("__book.tbs", "__book.total_bid_size").try_cast(AMOUNT).alias("total_bid_size"))
+    """The total ask and bid size, of venues that state them with their levels."""
+    head = [*keep, *WRITER_KEY[:2], "timestamp_collector"]
+    known = {name: one.levels for name, one in VENUES.items() if one.levels and one.totals}
+    rows = events.where((F.col("data_type") == "orderbook") & F.col("exchange").isin(*known))
+
+    def stated(name: str, p: Column) -> Column:
+        return F.struct(*[size.try_cast(AMOUNT).alias(side) for side, size in zip(("total_ask_size", "total_bid_size"), VENUES[name].totals(p))])
+
+    books, totals = _opened(rows, known, head, stated)
+    return books.select(*head, totals.alias("__totals")).select(*head, "__totals.*")
 
 
 def current_book(events: DataFrame, tiebreak: str, at_us: int | None = None) -> DataFrame:

@@ -12,13 +12,12 @@ from tickharbor.functions.scalars import latency_ms, numeric_sequence, whole
 from tickharbor.operators.ordered import Previous, key_sizes, with_previous
 from tickharbor.operators.rotation import SLICE_ROWS, rotation_files
 from tickharbor.schemas import STREAM_KEY, WRITER_KEY
+from tickharbor.venues import VENUES
 
 # Upper bounds of the latency histogram in milliseconds.
 LATENCY_BOUNDS_MS = [1, 5, 10, 25, 50, 100, 250, 500, 1000, 5000]
 # Upper bounds of the upload duration histogram in seconds.
 UPLOAD_BOUNDS_S = [0.1, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0]
-# Seconds between pings that the client of a venue sends.
-PING_SECONDS = {"coinbase": 20, "bybit": 20, "okx": 15}
 # Fixed value: seconds without any frame after which a connection counts as dead.
 DEAD_CONNECTION_SECONDS = 90
 # Fixed value: seconds a new subscription may stay silent before a warning.
@@ -233,8 +232,9 @@ def dead_after_us(exchange: Column | str = "exchange") -> Column:
     """Silence over all frames after which a connection of the venue counts as dead."""
     exchange = F.col(exchange) if isinstance(exchange, str) else exchange
     limit = F.lit(DEAD_CONNECTION_SECONDS)
-    for name, ping in PING_SECONDS.items():
-        limit = F.when(exchange == name, F.lit(max(DEAD_CONNECTION_SECONDS, 2 * ping))).otherwise(limit)
+    for name, one in VENUES.items():
+        if one.ping_seconds:
+            limit = F.when(exchange == name, F.lit(max(DEAD_CONNECTION_SECONDS, 2 * one.ping_seconds))).otherwise(limit)
     return limit.cast("bigint") * SECOND
 
 

@@ -8,6 +8,7 @@ from tickharbor.plans.catalog import add
 from tickharbor.sources.frames import sample_frames
 from tickharbor.sources.sample_market import DUCK_FRAMES, DUCK_MARKET, landed_frames, market_base
 from tickharbor.venues import VENUES
+from tickharbor.venues.subscriptions import api_symbol, stream_channel
 
 _COLUMNS = ["event_id", "exchange", "kind", "msg_symbol", "sequence_id", "timestamp_exchange_us",
             "data", "error", "notice_code", "notice_msg"]
@@ -70,7 +71,7 @@ def _scalar_functions(spark, d):
     return rows.select(
         "event_id",
         S.normalize_symbol("native_symbol").alias("normalized"),
-        S.api_symbol("exchange", "native_symbol").alias("api_symbol"),
+        api_symbol("exchange", "native_symbol").alias("api_symbol"),
         S.ms_to_us(F.when(F.col("event_id") % 5 > 0, F.col("ts_ms"))).alias("from_ms"),
         S.iso8601_to_us(F.when(F.col("event_id") % 3 > 0, F.col("iso")).otherwise(F.substring("iso", 1, 10))).alias("from_iso"),
         S.text_ms_to_us(F.when(F.col("event_id") % 4 > 0, ms_text).otherwise(F.concat(F.lit(" "), ms_text))).alias("from_text"),
@@ -80,7 +81,7 @@ def _scalar_functions(spark, d):
         S.archive_path("exchange", "symbol", "data_type", us).alias("path"),
         S.archive_path("exchange", "symbol", "data_type", us, F.when(F.col("event_id") % 2 == 0, "srv1")).alias("server_path"),
         S.feed_name(F.when(F.col("event_id") % 7 == 0, "Trades").when(F.col("event_id") % 7 == 1, "trade").otherwise(F.col("feed"))).alias("feed_name"),
-        S.stream_channel("exchange", "native_symbol", "feed").alias("channel"),
+        stream_channel("exchange", "native_symbol", "feed").alias("channel"),
         S.numeric_sequence(F.when(F.col("event_id") % 6 == 0, F.col("iso")).otherwise(F.col("exchange_sequence_id"))).alias("sequence"),
     )
 

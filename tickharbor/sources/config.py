@@ -7,11 +7,12 @@ import tomllib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickharbor.functions.scalars import api_symbol, feed_data_type, feed_name, normalize_symbol, stream_channel
+from tickharbor.functions.scalars import feed_data_type, feed_name, normalize_symbol
 from tickharbor.schemas import MARKET_CONFIG
+from tickharbor.venues import VENUES
+from tickharbor.venues.subscriptions import api_symbol, stream_channel
 
-# Venues there are frame rules for, and the feeds of a market that names none.
-SUPPORTED_EXCHANGES = ["binance", "coinbase", "upbit", "okx", "bybit"]
+# The feeds of a market that names none.
 DEFAULT_FEEDS = ["orderbook", "trades"]
 
 
@@ -68,7 +69,7 @@ def distinct_pairs(config: DataFrame) -> DataFrame:
 
 
 def unsupported_markets(config: DataFrame) -> DataFrame:
-    return market_pairs(config).where(~F.col("exchange").isin(SUPPORTED_EXCHANGES)).select("exchange", "native_symbol")
+    return market_pairs(config).where(~F.col("exchange").isin(*VENUES)).select("exchange", "native_symbol")
 
 
 def invalid_settings(settings: DataFrame) -> DataFrame:

@@ -1,17 +1,16 @@
-"""Frame rules of each trading venue.
-
-A venue is a function from a :class:`~tickharbor.functions.documents.Document` to an
-ordered list of :class:`Rule`; the first rule whose condition holds decides about a
-frame. ``@venue("name")`` adds one, which is all that parsing needs; symbol forms,
-channels, pings and payload shapes of a venue are stated where they are used. The key,
-channel and type names in the rules are fixed values of the venues' own formats, and the
-defaults "unknown" and "0" are fixed values of the stored table.
+"""Everything the library knows of each trading venue, one module a venue.
+
+A :class:`Venue` carries the rules of its frames, the form of its symbols, its channels, its ping and the shapes of its
+payloads; parsing, subscription plans, validation, sessions, levels and fills all read it from ``VENUES``. A new venue
+is one module that calls :func:`venue`, and nothing else changes. Rules are an ordered list of :class:`Rule`; the first
+one whose condition holds decides about a frame. The key, channel and type names in these modules are fixed values of
+the venues' own formats, and the defaults "unknown" and "0" are fixed values of the stored table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 
@@ -35,16 +34,40 @@ class Rule:
     notice_message: Column | None = None
 
 
-VENUES: dict[str, Callable[[Document], list[Rule]]] = {}
+@dataclass(frozen=True)
+class Payloads:
+    """How one kind of stored payload is opened: the type that ``from_json`` reads, and its rows from a parsed payload."""
+
+    shape: str
+    rows: Callable[[Column], Column]
+
+
+@dataclass(frozen=True)
+class Venue:
+    """One venue. ``rules`` takes a :class:`~tickharbor.functions.documents.Document`."""
+
+    name: str
+    rules: Callable[[Document], list[Rule]]
+    # The symbol as the venue spells it, and the channel of a feed from that symbol and whether it is the book's.
+    symbol: Callable[[Column], Column]
+    channel: Callable[[Column, Column], Column]
+    # Frames that are plain text and not JSON, with their kind; they are recognised before JSON is looked at.
+    plain_text: dict[str, str] = field(default_factory=dict)
+    # Seconds between pings that the venue expects, if any.
+    ping_seconds: int | None = None
+    # Levels of book payloads, fills of trade payloads, and total (ask, bid) sizes where the venue states them.
+    levels: Payloads | None = None
+    fills: Payloads | None = None
+    totals: Callable[[Column], tuple[Column, Column]] | None = None
+
 
-# Frames that are plain text and not JSON; they are recognised before JSON is looked at.
-PLAIN_TEXT: dict[str, dict[str, str]] = {}
+VENUES: dict[str, Venue] = {}
 
 
-def venue(name: str, plain_text: dict[str, str] | None = None):
+def venue(name: str, **parts):
+    """Register the decorated rules under a name, in lower case, with the other parts of a :class:`Venue`."""
     def add(rules: Callable[[Document], list[Rule]]):
-        VENUES[name] = rules
-        PLAIN_TEXT[name] = plain_text or {}
+        VENUES[name] = Venue(name, rules, **parts)
         return rules
 
     return add

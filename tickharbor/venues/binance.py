@@ -3,10 +3,32 @@
 from pyspark.sql import functions as F
 
 from tickharbor.functions.scalars import ms_to_us
-from tickharbor.venues import ERROR, ORDERBOOK, OTHER, TRADE, Rule, venue
+from tickharbor.venues import ERROR, ORDERBOOK, OTHER, TRADE, Payloads, Rule, venue
+from tickharbor.venues.payloads import PAIRS, fill, ladder, mark
 
 
-@venue("binance")
+def levels(p):
+    """Depth frames always replace the book."""
+    return F.concat(mark(), ladder(p["bids"], "bid"), ladder(p["asks"], "ask"))
+
+
+def fills(p):
+    def text(key):
+        return F.try_variant_get(p, f"$.{key}", "string")
+
+    buyer_is_maker = F.try_variant_get(p, "$.m", "boolean")
+    taker = F.when(buyer_is_maker, "sell").when(~buyer_is_maker, "buy")
+    trade_time = ms_to_us(F.try_variant_get(p, "$.T", "bigint"))
+    return F.array(fill(F.coalesce(text("t"), text("a")), text("p"), text("q"), taker, trade_time))
+
+
+@venue(
+    "binance",
+    symbol=F.lower,
+    channel=lambda native, book: F.concat(native, F.when(book, "@depth20@100ms").otherwise("@trade")),
+    levels=Payloads(f"bids {PAIRS}, asks {PAIRS}", levels),
+    fills=Payloads("variant", fills),  # its keys t and T differ in case only, which a struct cannot tell apart
+)
 def rules(doc):
     symbol = F.coalesce(doc.string("s"), F.lit("unknown"))
     event_type = doc.string("e")

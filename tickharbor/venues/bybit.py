@@ -3,10 +3,27 @@
 from pyspark.sql import functions as F
 
 from tickharbor.functions.scalars import ms_to_us
-from tickharbor.venues import ORDERBOOK, OTHER, PONG, TRADE, Rule, venue
+from tickharbor.venues import ORDERBOOK, OTHER, PONG, TRADE, Payloads, Rule, venue
+from tickharbor.venues.payloads import PAIRS, fill, ladder, mark
 
 
-@venue("bybit")
+def levels(p):
+    whole = p["type"] == "snapshot"
+    return F.concat(mark(whole), ladder(p["data"]["b"], "bid", snapshot=whole), ladder(p["data"]["a"], "ask", snapshot=whole))
+
+
+def fills(p):
+    return F.transform(p["data"], lambda t: fill(t["i"], t["p"], t["v"], t["S"], ms_to_us(t["T"])))
+
+
+@venue(
+    "bybit",
+    symbol=lambda symbol: F.translate(F.upper(symbol), "-_/", ""),
+    channel=lambda native, book: F.concat(F.when(book, "orderbook.50.").otherwise("publicTrade."), native),
+    ping_seconds=20,
+    levels=Payloads(f"type string, data struct<b {PAIRS}, a {PAIRS}>", levels),
+    fills=Payloads("data array<struct<i string, p string, v string, S string, T bigint>>", fills),
+)
 def rules(doc):
     topic = doc.string("topic")
     unknown, zero = F.lit("unknown"), F.lit("0")
