@@ -65,6 +65,54 @@ def test_leaks(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in rows if i not in flagged)
 
 
+SMALL = "/root/testdata/sf0.001"
+# How a planted item is changed, and the recall that the README states for it.
+CHANGES = {
+    "exact": lambda rng, words, other: words,
+    "a fifth dropped": lambda rng, words, other: [w for w in words if rng.random() > 0.2],
+    "30 % replaced": lambda rng, words, other: [w if rng.random() > 0.3 else other() for w in words],
+    "a foreign word after each": lambda rng, words, other: [x for w in words for x in (w, other())],
+    "first 42 % replaced": lambda rng, words, other: [other() if k < 0.42 * len(words) else w for k, w in enumerate(words)],
+    "two foreign words after each": lambda rng, words, other: [x for w in words for x in (w, other(), other())],
+}
+
+
+def every_window(search, words, item):
+    """Whether the check holds in any window of the text, whatever the search would have looked at."""
+    reach = de.WINDOW + 2 * len(search.items.words[item])
+    return any(search._check(item, words[a:a + reach]) for a in range(max(1, len(words) - reach + 1)))
+
+
+def test_recall_against_every_window(spark):
+    rng = random.Random(5)
+    given = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").where("text IS NOT NULL").collect()]
+    vocabulary = sorted({w for text in given for w in text.split()})
+    rows = [r for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").collect() if r.text]
+    planted = []
+    for way, (name, change) in enumerate(CHANGES.items()):
+        for k, row in enumerate(rows):
+            host = rng.choice(given).split()[:120]
+            at = rng.randrange(len(host) + 1)
+            changed = change(rng, row.text.split(), lambda: rng.choice(vocabulary))
+            planted.append((1_000_000 + 1000 * way + k, " ".join([*host[:at], *changed, *host[at:]])))
+    shape = "doc_id long, text string"
+    docs = spark.createDataFrame(planted + [(k, text) for k, text in enumerate(given)], shape).repartition(4)
+    bench = spark.createDataFrame([(row.item_id, row.text) for row in rows], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in de.leaks(docs, bench).collect() if r.doc_id >= 1_000_000}
+    items = de.read_items([row.asDict() for row in rows])
+    search = de.Search(de.latent_space(docs), items)
+    held = {(doc, items.ids[item]) for (doc, _), words in zip(planted, de._words([text for _, text in planted]))
+            for item in range(len(items.ids)) if every_window(search, words, item)}
+    assert found <= held
+    recall = {}
+    for way, name in enumerate(CHANGES):
+        due = {pair for pair in held if (pair[0] - 1_000_000) // 1000 == way}
+        recall[name] = (len(due & found), len(due))
+    print(recall)
+    assert all(caught >= 0.9 * due for caught, due in recall.values()) and sum(due for _, due in recall.values()) >= 100
+    assert recall["exact"][0] == recall["exact"][1] >= 25
+
+
 def test_empty_tables(odd_documents, odd_rows, no_documents, spark):
     bench = spark.createDataFrame([(1, "some words of an item")], "item_id long, text string")
     assert de.leaks(no_documents, bench).collect() == [] and de.leaks(odd_documents, bench.limit(0)).collect() == []

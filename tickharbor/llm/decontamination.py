@@ -27,12 +27,12 @@ from tickharbor.llm.textbytes import column_bytes, plain_word_hashes, row_blocks
 
 WINDOW, STRIDE = 32, 16
 TERMS, DIMENSIONS = 1 << 15, 64
-# Cosine of a candidate; passages that share no words pass it by chance once in some thousand.
-LEAST_COSINE = 0.4
+# Cosine of a candidate; passages that share no words pass it by chance about once in a hundred.
+LEAST_COSINE = 0.3
 # Share of an item's words in the common subsequence: enough alone, and enough with this share of the answer.
 SHARE, PARAPHRASE, ANSWER = 0.75, 0.55, 0.8
 # Share of an item passage's terms that a passage must have before the words are compared in order.
-LEAST_OVERLAP = 0.4
+LEAST_OVERLAP = 0.3
 # Words of items that are searched for in one pass, and cosines that a task holds at once.
 PASS_WORDS = 1 << 18
 COSINES = 1 << 21
