@@ -12,6 +12,7 @@ from tickharbor.functions.scalars import latency_ms, numeric_sequence, whole
 from tickharbor.operators.ordered import Previous, key_sizes, with_previous
 from tickharbor.operators.rotation import SLICE_ROWS, rotation_files
 from tickharbor.schemas import STREAM_KEY, WRITER_KEY
+from tickharbor.session import stored
 from tickharbor.venues import VENUES
 
 # Upper bounds of the latency histogram in milliseconds.
@@ -263,10 +264,11 @@ def disconnect_diagnostics(parsed: DataFrame, tiebreak: str, keys: list[str] = S
     NULL means never received, which is not the same as just received.
     """
     receipt = F.col("timestamp_collector")
-    narrow = parsed.select(
+    # Stored, because the sizes of the keys are counted first and the frames would be parsed for that as well.
+    narrow = stored(parsed.select(
         *keys, "timestamp_collector", tiebreak,
         F.when(F.col("kind").isin("orderbook", "trade"), receipt).alias("__data_us"),
-        F.when(F.col("kind") == "pong", receipt).alias("__pong_us"))
+        F.when(F.col("kind") == "pong", receipt).alias("__pong_us")), "diagnostics")
     marked = with_previous(narrow, keys, ["timestamp_collector", tiebreak], {
         "__any": Previous("last", "timestamp_collector"),
         "__data": Previous("last", "__data_us"),
