@@ -180,3 +180,23 @@ def test_breaker_trips(spark):
                                "exchange string, symbol string, feed string, timestamp_collector long, event_id long, kind string")
     got = [(r.opened_us, r.tripped_us) for r in Q.breaker_trips(Q.breaker_checks(df, "event_id")).orderBy("opened_us").collect()]
     assert got == [(0, 99 * 100_000), (400 * minute, 400 * minute + 195 * 100_000)]
+
+
+def counted_once(spark, df):
+    """A table that counts its rows whenever they are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+@pytest.mark.parametrize("slice_rows", [10_000, 1])
+def test_rotation_computes_its_events_once(spark, slice_rows):
+    rows = make_rows(3, 200)
+    df, seen = counted_once(spark, spark.createDataFrame(rows, SCHEMA))
+    assert rotation_files(df, age_us=38_000_000, slice_rows=slice_rows).count() > 1
+    assert seen.value == len(rows)
