@@ -200,3 +200,10 @@ def test_rotation_computes_its_events_once(spark, slice_rows):
     df, seen = counted_once(spark, spark.createDataFrame(rows, SCHEMA))
     assert rotation_files(df, age_us=38_000_000, slice_rows=slice_rows).count() > 1
     assert seen.value == len(rows)
+
+
+def test_breaker_computes_its_frames_once(spark):
+    rows = [("okx", "btc", "trades", i * 100_000, i, "error" if i % 2 else "trade") for i in range(300)]
+    df, seen = counted_once(spark, spark.createDataFrame(rows, "exchange string, symbol string, feed string, timestamp_collector long, event_id long, kind string"))
+    assert Q.breaker_trips(Q.breaker_checks(df, "event_id")).count() == 1
+    assert seen.value == len(rows)
