@@ -103,6 +103,18 @@ def test_plain_files_of_null_keys_no_events_and_files_closed_by_size(spark, even
     assert P.read_plain_archive(spark, str(tmp_path / "tied")).count() == 200
 
 
+def test_plain_archive_computes_its_events_once(spark, events, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    manifest = P.write_plain_archive(events.mapInArrow(count, events.schema), str(tmp_path / "once"), age_us=DAY)
+    assert manifest.agg(F.sum("rows")).first()[0] == seen.value == 200
+
+
 def test_copies(spark):
     local = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "relative_path string, size long")
     remote = spark.createDataFrame([("a", 1), ("b", 5), ("d", 4)], "relative_path string, size long")

@@ -34,7 +34,9 @@ def with_file(events: DataFrame, server: str | None = None, age_us: int = MAX_FI
 
     ``rules`` go to :func:`~tickharbor.operators.rotation.rotation_files`. Rows of the very time at which the next file
     opens are placed in that one. Events and openings meet by key and time cell, so a hot key is many cells.
+    Events are stored first, so they are computed once however dear they are.
     """
+    events = stored(events, "plain-events")
     opened = rotation_files(events, age_us=age_us, **rules).groupBy(*WRITER_KEY, "opened_us").agg(F.max("last_us").alias("last_us"))
     following = F.lead("opened_us").over(Window.partitionBy(*WRITER_KEY).orderBy("opened_us"))
     # Before the cells: a window beside a generator would run over its rows.
