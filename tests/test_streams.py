@@ -113,3 +113,18 @@ def test_fan_out_repeats_a_batch_without_doubling(spark, landed, tmp_path):
         ingest.drain([ingest.fan_out_stream(frames, "both", str(tmp_path / "r"), str(tmp_path / "l"), str(tmp_path / f"cp{attempt}"))], 120)
     for root in ("r", "l"):
         assert spark.read.parquet(str(tmp_path / root)).count() == expected.count()
+
+
+def test_micro_batches_are_read_by_all_cores(spark, tmp_path):
+    """Four batches, each in as many files as there are cores, and every row in one of them."""
+    from tickharbor.plans import streams
+
+    cores, batches = spark.sparkContext.defaultParallelism, []
+
+    def note(batch, number):
+        batches.append((batch.count(), batch.select(F.input_file_name().alias("file")).distinct().count()))
+
+    ingest.drain([streams._in_batches(spark, SMALL).writeStream.foreachBatch(note).option("checkpointLocation", str(tmp_path / "cp"))
+                  .trigger(availableNow=True).start()], 120)
+    assert [files for _, files in batches] == [cores] * 4
+    assert sum(rows for rows, _ in batches) == landed_frames(spark, SMALL).count()

@@ -20,7 +20,7 @@ from tickharbor.sources.sample_market import DUCK_MARKET, landed_frames, market_
 from tickharbor.streaming import corrections, ingest, progress, state
 
 _STREAM = "exchange, symbol, feed"
-# Files that are taken in one after another where a query shows several micro-batches.
+# Micro-batches that are taken in one after another where a query shows several.
 _BATCHES = 4
 
 
@@ -39,6 +39,12 @@ def _stream_of(spark, d, table=landed_frames, files=1, batch=None):
     return (reader.option("maxFilesPerTrigger", batch) if batch else reader).parquet(path)
 
 
+def _in_batches(spark, d):
+    """The landed frames as a stream of ``_BATCHES`` stretches of time, each in as many files as there are cores to read them."""
+    cores = spark.sparkContext.defaultParallelism
+    return _stream_of(spark, d, files=_BATCHES * cores, batch=cores)
+
+
 def _to_table(rows):
     spark = rows.sparkSession
     path = work_folder(spark, "stream-table")
@@ -64,7 +70,7 @@ add("stream_archive", _stream_archive, "STR-1, STR-2, STR-7, SRC-1, SNK-1", f"""
 def _stream_committed(spark, d):
     """Four micro-batches; dates that several of them touch are joined in between."""
     root = work_folder(spark, "committed")
-    frames = _stream_of(spark, d, files=_BATCHES, batch=1)
+    frames = _in_batches(spark, d)
     ingest.drain([K.committed_stream(frames, root, work_folder(spark, "checkpoint"), server="srv1", most_parts=1)])
     parts = spark.createDataFrame(list(K.current_version(spark, root).folders), "part string, date string, n bigint") \
         .groupBy("date").agg(F.countDistinct("part").alias("parts"))
@@ -120,7 +126,7 @@ CROSS JOIN (VALUES ('remote'), ('local')) AS roots(root) WHERE kind IN ('orderbo
 def _stream_counters(spark, d):
     """Counters of all micro-batches, summed up from their table."""
     path = work_folder(spark, "counters")
-    rows = market_events(parse_frames(_stream_of(spark, d, files=_BATCHES, batch=1)))
+    rows = market_events(parse_frames(_in_batches(spark, d)))
     ingest.drain([progress.counter_stream(rows, "archived", path, work_folder(spark, "checkpoint"))])
     return progress.counted(spark, path)
 
