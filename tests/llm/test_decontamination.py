@@ -119,3 +119,19 @@ def test_empty_tables(odd_documents, odd_rows, no_documents, spark):
     assert de.leaks(odd_documents, bench).collect() == []
     assert de.without_leaks(odd_documents, bench.limit(0)).count() == len(odd_rows)
     assert de.without_leaks(no_documents, bench).collect() == []
+
+
+def test_sums_of_rows_hold_one_row_of_each_passage():
+    import tracemalloc
+
+    random = np.random.default_rng(3)
+    rows = random.standard_normal((de.TERMS + 1, de.DIMENSIONS)).astype(np.float32)
+    terms = random.integers(0, de.TERMS + 1, (3 * de.STEP + 5, de.WINDOW)).astype(np.int32)
+    expected = rows[terms].sum(axis=1)
+    tracemalloc.start()
+    found = de._summed(rows, terms)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found == expected).all() and (de._summed(np.asfortranarray(rows), terms) == expected).all()
+    assert peak < found.nbytes + (1 << 20)
+    assert len(de._summed(rows, terms[:0])) == 0

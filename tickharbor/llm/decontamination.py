@@ -83,10 +83,17 @@ def _random_matrix() -> np.ndarray:
 
 
 def _summed(rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
-    """The sum of the rows of each passage's terms."""
+    """The sum of the rows of each passage's terms, added place by place: one row of each passage at a time is held."""
+    rows = np.ascontiguousarray(rows)
     out = np.empty((len(terms), rows.shape[1]), dtype=np.float32)
+    held = np.empty((min(STEP, len(terms)), rows.shape[1]), dtype=np.float32)
     for i in range(0, len(terms), STEP):
-        rows[terms[i:i + STEP]].sum(axis=1, out=out[i:i + STEP])
+        first, *others = terms[i:i + STEP].T.astype(np.intp, order="C")
+        here, row = out[i:i + STEP], held[:len(first)]
+        # Terms are within the rows; "clip" only saves a copy.
+        rows.take(first, axis=0, out=here, mode="clip")
+        for term in others:
+            here += rows.take(term, axis=0, out=row, mode="clip")
     return out
 
 
@@ -115,8 +122,9 @@ def _multiplier(weights: np.ndarray):
         sums = np.zeros((DIMENSIONS, TERMS + 1))
         for terms in _some_passages(batches):
             norm = np.maximum((weight[terms] ** 2).sum(axis=1), 1e-12)
-            left = (_summed(right, terms) / norm[:, None]).T.copy()
-            flat = terms.ravel().astype(np.int64)  # as counting wants them, once for all dimensions
+            # Both as counting wants them, once for all dimensions.
+            left = (_summed(right, terms) / norm[:, None]).T.astype(np.float64, order="C")
+            flat = terms.ravel().astype(np.int64)
             for dimension in range(DIMENSIONS):
                 sums[dimension] += np.bincount(flat, np.repeat(left[dimension], WINDOW), TERMS + 1)
         product = sums[:, :-1].T * weight[:-1, None]
@@ -176,7 +184,7 @@ def latent_space(documents: DataFrame) -> Space:
     vectors, singular, _ = np.linalg.svd(factor, full_matrices=False)
     known = singular > 1e-6 * max(singular.max(initial=0.0), 1e-30)
     scaled = vectors[:, known] / singular[known] * weights[:, None]
-    return Space(np.vstack([scaled, np.zeros((1, scaled.shape[1]))]).astype(np.float32), singular[known])
+    return Space(np.vstack([scaled, np.zeros((1, scaled.shape[1]))]).astype(np.float32, order="C"), singular[known])
 
 
 @dataclass
@@ -250,18 +258,19 @@ class Search:
 
     def _candidates(self, terms: np.ndarray) -> Iterator[tuple[int, int]]:
         """(passage, item) near by cosine and with enough terms in common."""
-        wanted = np.zeros(TERMS + 1, dtype=bool)
+        wanted = np.zeros(TERMS + 1, dtype=np.uint8)
         step = max(64, COSINES // max(1, len(self.queries)))
         for i in range(0, len(terms), step):
             queries, near = np.nonzero(self.queries @ self.space.place(terms[i:i + step]).T >= LEAST_COSINE)
             used, begin = np.unique(queries, return_index=True)
             for query, a, b in zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(queries)]):
                 own = self.terms[query]
-                wanted[own] = True
+                wanted[own] = 1
                 some = near[a:b] + i
-                for passage in some[wanted[terms[some]].sum(axis=1) >= LEAST_OVERLAP * len(own)].tolist():
+                shared = wanted.take(terms.take(some, axis=0), mode="clip").sum(axis=1, dtype=np.uint8)  # at most WINDOW
+                for passage in some[shared >= LEAST_OVERLAP * len(own)].tolist():
                     yield passage, int(self.items.owner[query])
-                wanted[own] = False
+                wanted[own] = 0
 
     def find(self, column: pa.Array) -> Iterator[tuple[int, int, float, float]]:
         """(row, item, share, answer share) of every item in a text, at its best passage."""
