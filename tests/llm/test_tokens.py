@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tickharbor.llm import packing, tables, token_files
-from tickharbor.llm.encoding import Encoder
+from tickharbor.llm.encoding import TASK_SLOTS, Encoder
 from tickharbor.llm.perfect_hash import PerfectHash, fingerprint
 
 ODD = ["a<|endoftext|>b c, d", "don't, I'll 's, x'y.z  two  spaces\n\n nl \t tab\x0b x\x85y\xa0 z", " lead", "trail ", "\n",
@@ -92,3 +92,14 @@ def test_repeats_fit_the_histogram():
     used = sum(np.bincount(shapes[:, k], fitted, 33) for k in range(3))
     used[0] = 0
     assert np.abs(used - counts).max() < 0.02 * counts.max() and (fitted >= 0).all()
+
+
+def test_an_encoder_of_one_task_is_small_and_gives_the_same_ids():
+    """Also where its table has far fewer entries than the texts have units."""
+    path = tables.vocabulary("byte_bpe_50k.json")
+    texts = pa.array([" ".join(f"word{(7 * k * k + j) % 4999}x" for j in range(400)) for k in range(40)] + ["", None])
+    expected = [ids.tolist() for ids in Encoder(path).encode(texts, 2)]
+    for slots in (64, TASK_SLOTS):
+        tool = Encoder(path, slots)
+        assert [ids.tolist() for _ in range(2) for ids in tool.encode(texts, 2)] == expected * 2
+    assert tool.keys.nbytes + tool.begin.nbytes + tool.count.nbytes <= 8 << 20

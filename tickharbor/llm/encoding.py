@@ -19,7 +19,11 @@ import pyarrow as pa
 from tickharbor.llm.textbytes import LOWER, SpanHash, column_bytes, row_blocks
 
 SLOTS = 1 << 22
+# Entries where an encoder lives for one task only, which sees fewer units.
+TASK_SLOTS = 1 << 19
 POOL_IDS = 1 << 24
+# Units that the tokenizer takes at once; its results are many times larger than their ids.
+UNITS = 1 << 12
 
 # Classes of bytes, one bit each. First bytes of two-byte characters count from U+00C0 on, none of which is white space.
 _BLANK, _PRINTED, _LETTER, _MARK, _TAIL, _PAIR, _LESS, _BAR = (np.uint8(1 << k) for k in range(8))
@@ -38,9 +42,9 @@ _CLASS[0x7C] |= _BAR
 
 
 class Encoder:
-    """Encodes columns of texts; keeps what it has encoded in a table of ``SLOTS`` entries."""
+    """Encodes columns of texts; keeps what it has encoded in a table of ``slots`` entries, a power of two."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, slots: int = SLOTS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -49,9 +53,9 @@ class Encoder:
             normalizer = json.load(file)["normalizer"]
         # A tokenizer that lowers letters also drops white space here.
         self.folds = normalizer is not None and "Lowercase" in json.dumps(normalizer)
-        self.keys = np.zeros(SLOTS, dtype=np.uint64)
-        self.begin = np.zeros(SLOTS, dtype=np.int32)
-        self.count = np.zeros(SLOTS, dtype=np.int32)
+        self.keys = np.zeros(slots, dtype=np.uint64)
+        self.begin = np.zeros(slots, dtype=np.int32)
+        self.count = np.zeros(slots, dtype=np.int32)
         self.pool = np.empty(1 << 20, dtype=np.uint32)
         self.used = 0
 
@@ -75,7 +79,8 @@ class Encoder:
         return np.flatnonzero(edge)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [e.ids for i in range(0, len(texts), UNITS)
+                 for e in self.tokenizer.encode_batch_fast(texts[i:i + UNITS], add_special_tokens=False)]
         counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         ids = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(counts.sum()))
         begin = self.used + np.cumsum(counts) - counts
@@ -96,9 +101,10 @@ class Encoder:
             solid = (_CLASS[data[starts]] & _BLANK) == 0
             starts, ends = starts[solid], ends[solid]
         hashes = SpanHash(LOWER[data] if self.folds else data).of(starts, ends)
-        slots = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        last = len(self.keys) - 1
+        slots = (hashes & np.uint64(last)).astype(np.int64)
         missed = np.flatnonzero(self.keys[slots] != hashes)
-        slots[missed] = (hashes[missed] >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
+        slots[missed] = (hashes[missed] >> np.uint64(40)).astype(np.int64) & last
         begin, count = self.begin[slots].astype(np.int64), self.count[slots].astype(np.int64)
         new = missed[self.keys[slots[missed]] != hashes[missed]]
         if len(new):
@@ -108,7 +114,7 @@ class Encoder:
             texts = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())]
             new_begin, new_count = self._encode(texts)
             begin[new], count[new] = new_begin[place], new_count[place]
-            kept = (unique & np.uint64(SLOTS - 1)).astype(np.int64)
+            kept = (unique & np.uint64(last)).astype(np.int64)
             kept = np.where(self.keys[kept] == 0, kept, slots[at])
             self.keys[kept], self.begin[kept], self.count[kept] = unique, new_begin, new_count
         stops = np.cumsum(count)
@@ -129,15 +135,15 @@ class Encoder:
                 yield joined[a:b]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, slots: int = SLOTS) -> Encoder:
     """The encoder of a vocabulary file, one for each Python worker."""
-    if path not in _ENCODERS:
+    if (path, slots) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, slots] = Encoder(path, slots)
+    return _ENCODERS[path, slots]
 
 
 def forget() -> None:

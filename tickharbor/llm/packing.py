@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickharbor.llm.encoding import encoder
+from tickharbor.llm.encoding import SLOTS, TASK_SLOTS, encoder
 from tickharbor.llm.memory import freed
 from tickharbor.session import stored
 
@@ -136,10 +136,10 @@ def make_plan(histogram: np.ndarray, capacity: int) -> Plan:
     return Plan(*(table[:, k] for k in range(4)), sequences=sequence)
 
 
-def _cutter(vocabulary: str, end_id: int, capacity: int):
+def _cutter(vocabulary: str, end_id: int, capacity: int, slots: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
-        tool = encoder(vocabulary)
+        tool = encoder(vocabulary, slots)
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tool.encode(batch.column("text"), end_id)):
@@ -159,7 +159,7 @@ _SCHEMA = pa.schema([(name, pa.int32() if name in ("piece", "block") else pa.int
 
 def cut_pieces(documents: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_encoder: bool = True) -> DataFrame:
     """Pieces of at most ``capacity`` ids, the first one shorter; ``place`` counts pieces of a length within a ``block``."""
-    cutter = _cutter(vocabulary, end_id, capacity)
+    cutter = _cutter(vocabulary, end_id, capacity, SLOTS if keep_encoder else TASK_SLOTS)
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .mapInArrow(cutter if keep_encoder else freed(cutter), PIECE)
 
@@ -180,7 +180,7 @@ def pack(documents: DataFrame, vocabulary: str, end_id: int, capacity: int = 102
     A null or empty text is the end id alone. Rows that repeat a ``doc_id``, or have none, are documents of
     their own. Other columns are ignored; an empty table gives no rows. Texts are encoded once and their
     pieces stored; only counts by length and task move to find ranks, so equal lengths never meet in a task.
-    Without ``keep_encoder`` workers drop theirs after each task: slower, but other stages find the memory free.
+    Without ``keep_encoder`` workers have a smaller one and drop it after each task: slower, but memory stays free.
     """
     pieces = stored(cut_pieces(documents, vocabulary, end_id, capacity, keep_encoder), "pieces")
     counts = pieces.groupBy("length", "block").agg(F.count("*").alias("n"))
